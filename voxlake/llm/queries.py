@@ -7,11 +7,11 @@ from importlib import import_module
 #: query name -> module that holds a function of that name and, where SQL can express it, SQL.
 MODULES = {
     "op2_line_dedup": "line_dedup",
+    "op4_packing": "packing",
     "op10_minhash": "minhash",
 }
 
 
-
 def queries() -> dict:
     return {name: getattr(import_module(f"voxlake.llm.{module}"), name) for name, module in MODULES.items()}
 
