@@ -8,6 +8,7 @@ from importlib import import_module
 MODULES = {
     "op2_line_dedup": "line_dedup",
     "op4_packing": "packing",
+    "op5_suffix_dedup": "suffix_dedup",
     "op10_minhash": "minhash",
 }
 
