@@ -166,7 +166,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return pieces.drop("salt").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).drop("n")
     rank = F.row_number().over(Window.partitionBy("length", "salt").orderBy(*order)) - 1
-    ranked = pieces.withColumn("rank", rank).join(before, ["length", "salt"]).withColumn("rank", F.col("rank") + F.coalesce("before", F.lit(0)))
+    ranked = pieces.withColumn("rank", rank).join(before.hint("merge"), ["length", "salt"]).withColumn("rank", F.col("rank") + F.coalesce("before", F.lit(0)))
     # runs placed: bounded by the capacity and the number of rounds
     table = spark.sparkContext.broadcast(placed.toPandas().sort_values(["size", "lo"]).reset_index(drop=True))
     columns = [c for c in pieces.columns if c != "salt"]

@@ -51,81 +51,89 @@ def word_chars(text: Column) -> Column:
     return F.char_length(F.translate(text, GAPS + " ", "")).cast("long")
 
 
-def default_rules(text: Column) -> dict[str, Callable[[Column], Column]]:
-    """Name -> predicate over the text, true where the rule rejects it."""
-    n_words = lambda t: F.size(word_list(t))
+def statistics(text: Column) -> dict[str, Column]:
+    """What rules look at, by name, as expressions over the text."""
     return {
-        "few_words": lambda t: n_words(t) < 50,
-        "repeated_words": lambda t: let(word_list(t), lambda w: 100 * repeat_words(w) > 50 * F.size(w)),
-        "symbols": lambda t: 10 * count_of(t, SYMBOLS) > n_words(t),
-        "word_length": lambda t: let(word_list(t), lambda w: ~word_chars(t).between(2 * F.size(w), 14 * F.size(w))),
-        "duplicate_lines": lambda t: 3 * duplicate_lines(t) > F.size(F.split(t, "\n")),
-        "capitals": lambda t: 10 * count_of(t, CAPITALS) > 3 * word_chars(t),
-        "exclamations": lambda t: 5 * count_of(t, "!") > n_words(t),
+        "n_words": F.size(word_list(text)).cast("long"),
+        "word_chars": word_chars(text),
+        "n_symbols": count_of(text, SYMBOLS),
+        "n_lines": F.size(F.split(text, "\n")),
+        "n_dup_lines": duplicate_lines(text),
+        "n_repeat_words": repeat_words(word_list(text)),
+        "capitals": count_of(text, CAPITALS),
+        "exclamations": count_of(text, "!"),
     }
 
 
-def plan_cascade(docs: DataFrame, rules: dict[str, Callable[[Column], Column]], sample_rows: int = SAMPLE_ROWS) -> list[dict]:
+Rule = Callable[[dict[str, Column]], Column]
+#: Name -> predicate over the statistics, true where the rule rejects the document.
+DEFAULT_RULES: dict[str, Rule] = {
+    "few_words": lambda s: s["n_words"] < 50,
+    "repeated_words": lambda s: 100 * s["n_repeat_words"] > 50 * s["n_words"],
+    "symbols": lambda s: 10 * s["n_symbols"] > s["n_words"],
+    "word_length": lambda s: ~s["word_chars"].between(2 * s["n_words"], 14 * s["n_words"]),
+    "duplicate_lines": lambda s: 3 * s["n_dup_lines"] > s["n_lines"],
+    "capitals": lambda s: 10 * s["capitals"] > 3 * s["word_chars"],
+    "exclamations": lambda s: 5 * s["exclamations"] > s["n_words"],
+}
+
+
+def plan_cascade(docs: DataFrame, rules: dict[str, Rule], sample_rows: int = SAMPLE_ROWS) -> list[dict]:
     """The rules in the order of rejections per second on a sample of about `sample_rows` documents: name, cost in seconds, share rejected."""
     total = docs.count()
     if not total:
         return [{"name": n, "cost": 0.0, "share": 0.0} for n in rules]
     sample = docs.select(F.coalesce("text", F.lit("")).alias("text")).sample(min(1.0, sample_rows / total), seed=17).persist()
-    seen = max(1, sample.count())
+    seen, given = max(1, sample.count()), statistics(F.col("text"))
     found = []
     for name, rule in rules.items():
         began = time.perf_counter()
-        rejected = sample.agg(F.count_if(rule(F.col("text")))).first()[0]
+        rejected = sample.agg(F.count_if(rule(given))).first()[0]
         found.append({"name": name, "cost": time.perf_counter() - began, "share": rejected / seen})
     sample.unpersist()
     return sorted(found, key=lambda r: (-r["share"] / r["cost"], r["name"]))
 
 
-def cascade(docs: DataFrame, rules: dict[str, Callable[[Column], Column]] | None = None, sample_rows: int = SAMPLE_ROWS, text: str = "text", plan: list[dict] | None = None) -> Column:
-    """A column for `docs`: the name of the first rule, in the planned order, that rejects the document; null where all let it pass.
-
-    A null text is judged as the empty one. The order, and so the name given where several rules reject, may differ from run to run; whether the column is
-    null does not.
-    """
-    rules = rules or default_rules(F.col(text))
-    given = F.coalesce(F.col(text), F.lit(""))
-    out = None
-    for step in plan or plan_cascade(docs.withColumnRenamed(text, "text"), rules, sample_rows):
-        verdict, name = rules[step["name"]](given), F.lit(step["name"])
-        out = F.when(verdict, name) if out is None else out.when(verdict, name)
-    return out
+def cascade(plan: list[dict], rules: dict[str, Rule], given: dict[str, Column]) -> Column:
+    """The name of the first rule, in the planned order, that rejects the document; null where all let it pass. Later rules are not evaluated for a rejected document."""
+    out = F
+    for step in plan:
+        out = out.when(rules[step["name"]](given), F.lit(step["name"]))
+    return out if plan else F.lit(None).cast("string")
 
 
-def filter_documents(docs: DataFrame, rules: dict[str, Callable[[Column], Column]] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def filter_documents(docs: DataFrame, rules: dict[str, Rule] = DEFAULT_RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of `docs` that every rule lets pass, with all their columns. Null and empty texts have few words; repeated rows are judged alike; an empty table stays empty."""
-    return docs.where(cascade(docs, rules, sample_rows).isNull())
+    return docs.where(cascade(plan_cascade(docs, rules, sample_rows), rules, statistics(F.coalesce(docs["text"], F.lit("")))).isNull())
 
 
-def measure(docs: DataFrame, rules: dict[str, Callable[[Column], Column]] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def measure(docs: DataFrame, rules: dict[str, Rule] = DEFAULT_RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """For each row of `docs` (doc_id and text are read): n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, reason.
 
     base_failed: fewer than 50 words, or more than half of them in repeated windows of three words. reason: the rule that
-    rejected the document, null where kept. A null text has no words and fails. Null doc_ids and repeated rows are kept as they are.
+    rejected the document, null where kept; where several would, the one given may differ from run to run. A null text has no words and fails. Null doc_ids
+    and repeated rows are kept as they are.
     """
     base = ("few_words", "repeated_words")
-    rules = rules or default_rules(F.col("text"))
     rest = {n: r for n, r in rules.items() if n not in base}
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counts = let(word_list(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeat_words(w).alias("n_repeat_words")))
+    given = statistics(F.col("text"))
+    counts = let(word_list(F.col("text")), lambda w: F.struct(F.size(w).cast("long"), repeat_words(w), given["word_chars"], given["n_symbols"], given["n_dup_lines"]))
     # the generator keeps the optimizer from evaluating the counts once for each use
-    counted = docs.select("doc_id", "text", F.inline(F.array(counts)).alias("n_words", "n_repeat_words"))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    verdict = F.when(F.col("n_words") < 50, F.lit("few_words")).when(failed, F.lit("repeated_words"))
+    names = ["n_words", "n_repeat_words", "word_chars", "n_symbols", "n_dup_lines"]
+    counted = docs.select("doc_id", "text", F.inline(F.array(counts)).alias(*names))
+    given |= {n: F.col(n) for n in names}
+    failed = DEFAULT_RULES["few_words"](given) | DEFAULT_RULES["repeated_words"](given)
+    verdict = F.when(DEFAULT_RULES["few_words"](given), F.lit("few_words")).when(failed, F.lit("repeated_words"))
     if rest:
-        verdict = F.coalesce(verdict, cascade(docs, rest, sample_rows))
-    out = counted.select(
-        "doc_id", "n_words", word_chars(F.col("text")).alias("word_chars"), count_of(F.col("text"), SYMBOLS).alias("n_symbols"), duplicate_lines(F.col("text")).alias("n_dup_lines"), "n_repeat_words", failed.alias("base_failed"), verdict.alias("reason")
-    )
+        verdict = F.coalesce(verdict, cascade(plan_cascade(docs, rest, sample_rows), rest, given))
+    out = counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), F.inline(F.array(F.struct(verdict.alias("reason")))))
     return out.withColumn("kept", F.col("reason").isNull())
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measure(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("reason")
+    out = measure(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return out.drop("reason")
 
 
 SQL = r"""

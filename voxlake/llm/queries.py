@@ -9,6 +9,7 @@ MODULES = {
     "op2_line_dedup": "line_dedup",
     "op4_packing": "packing",
     "op5_suffix_dedup": "suffix_dedup",
+    "op6_quality_rules": "quality_rules",
     "op10_minhash": "minhash",
 }
 
