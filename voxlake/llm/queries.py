@@ -7,9 +7,12 @@ from importlib import import_module
 #: query name -> module that holds a function of that name and, where SQL can express it, SQL.
 MODULES = {
     "op2_line_dedup": "line_dedup",
+    "op3_toxicity": "toxicity",
     "op4_packing": "packing",
     "op5_suffix_dedup": "suffix_dedup",
     "op6_quality_rules": "quality_rules",
+    "op8_fingerprints": "fingerprints",
+    "op9_quality_classifier": "quality_classifier",
     "op10_minhash": "minhash",
 }
 
