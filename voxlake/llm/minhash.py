@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import mix, release, span_hash, staged, steps, words
+from voxlake.llm.common import mix, span_hash, staged, steps, words
 from voxlake.llm.components import components
 
 #: 44 bands of 8 components from 176 permutations: two sets of Jaccard similarity s share a band with probability
 #: 1 - (1 - s^8)^44: 0.9999991 at 0.85, 0.9997 at 0.8, 0.16 at 0.5, 0.003 at 0.3.
 BANDS, ROWS = 44, 8
+#: Rounds in which a bucket's members are compared with one of them.
+STARS = 3
 _RNG = np.random.default_rng(97)
 _HASHES = BANDS * ROWS // 2
 _MULTIPLY = (_RNG.integers(0, 1 << 31, _HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -117,6 +119,59 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (x + y - common)).select("a", "b")
 
 
+def _blocks(members: DataFrame, sets: DataFrame, weight: int = 60_000) -> DataFrame:
+    """Members (g, id, c) of groups as blocks of bounded size: (g, block, low, high, ids, cs, sets); equal components stand together."""
+    size = sets.select("id", F.size("set").alias("n"))
+    counted = members.join(size, "id").join(members.groupBy("g").agg(F.ceil(F.count("*") / 10_000).alias("salts")), "g")
+    counted = counted.withColumn("salt", F.pmod(F.xxhash64("id"), "salts"))
+    at = F.sum(F.col("n") + 150).over(Window.partitionBy("g", "salt").orderBy("c", "id").rowsBetween(Window.unboundedPreceding, 0))
+    dealt = counted.select("g", "id", "c", F.concat_ws("-", "salt", F.floor((at - 1) / weight)).alias("block"))
+    own = dealt.join(sets, "id").groupBy("g", "block").agg(F.sort_array(F.collect_list(F.struct("id", "c", "set"))).alias("m"))
+    return own.select("g", "block", F.array_min("m.c").alias("low"), F.array_max("m.c").alias("high"), F.col("m.id").alias("ids"), F.col("m.c").alias("cs"), F.col("m.set").alias("sets"))
+
+
+def _links_between(x_sets: list[np.ndarray], y_sets: list[np.ndarray], percent: int, columns: int = 8192) -> np.ndarray:
+    """Matrix of whether the sets of two blocks are linked; common shingles are counted by products of 0/1 matrices, a slice of the shingles at a time."""
+    every, at = np.unique(np.concatenate([*x_sets, *y_sets]), return_inverse=True)
+    sizes = np.array([len(s) for s in (*x_sets, *y_sets)])
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    n = len(x_sets)
+    common = np.zeros((n, len(y_sets)), np.float32)
+    for first in range(0, len(every), columns):
+        a, b = np.searchsorted(at, [first, first + columns])
+        m = np.zeros((len(sizes), columns), np.float32)
+        m[row[a:b], at[a:b] - first] = 1
+        common += m[:n] @ m[n:].T
+    common = common.astype(np.int64)
+    return 100 * common >= percent * (sizes[:n, None] + sizes[None, n:] - common)
+
+
+def _links_in_groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a group that are in different components: each member meets every block of its group; of its links to one component in a block, one is given."""
+    blocks = staged(_blocks(members, sets))
+    x = blocks.select("g", *(F.col(c).alias(f"x_{c}") for c in blocks.columns[1:]))
+    y = blocks.select("g", *(F.col(c).alias(f"y_{c}") for c in blocks.columns[1:]))
+    one = (F.col("x_low") == F.col("x_high")) & (F.col("y_low") == F.col("y_high")) & (F.col("x_low") == F.col("y_low"))
+
+    def check(batches):
+        for batch in batches:
+            r = {c: batch.column(c) for c in batch.schema.names}
+            for k in range(batch.num_rows):
+                xs, ys = ([np.asarray(s.values) for s in r[c][k]] for c in ("x_sets", "y_sets"))
+                linked = _links_between(xs, ys, percent)
+                x_c, y_c = (np.asarray(r[c][k].values) for c in ("x_cs", "y_cs"))
+                i, j = np.nonzero(linked & (x_c[:, None] != y_c[None, :]))
+                _, one_each = np.unique(np.stack([i, y_c[j]], 1), axis=0, return_index=True)
+                i, j = i[one_each], j[one_each]
+                yield pa.RecordBatch.from_arrays([pa.array(np.asarray(r["x_ids"][k].values)[i], pa.int64()), pa.array(np.asarray(r["y_ids"][k].values)[j], pa.int64())], names=["a", "b"])
+
+    columns = [f"{s}_{c}" for s in "xy" for c in ("ids", "cs", "sets")]
+    pairs = x.join(y, "g").where((F.col("x_block") <= F.col("y_block")) & ~one).select(*columns)
+    return pairs.mapInArrow(check, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Groups documents whose sets of `width`-word shingles have a Jaccard similarity of `percent` / 100 or more.
 
@@ -124,9 +179,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept (doc_id = component_id).
 
     Links: documents with equal sets are one class. Of each bucket of a band, the member with the smallest component
-    is compared with the others; components of the links found shrink the buckets, and this is repeated while it
-    finds links. What remains, the pairs of a bucket between different components, is compared pair by pair, so no
-    candidate goes unchecked, and pairs inside a component, the bulk of a large group, are never made.
+    is compared with the others; components of the links found shrink the buckets, and this is done up to three times while it
+    finds links. What remains in buckets that hold several components is gathered into groups that share buckets, and
+    in blocks of bounded size every member meets the members of other components, so no candidate goes unchecked;
+    pairs inside a component, the bulk of a large group, are not compared, and pairs never become rows.
 
     A null or empty text, or one without words, has an empty set and is alone. Fewer than `width` words are one
     shingle. doc_id is the key: rows repeating one belong together only as far as their texts do; a null doc_id counts
@@ -142,30 +198,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     buckets = staged(dealt.join(shared, "key"))
     suspects = buckets.select("id").distinct()
     texts = docs.withColumnRenamed("doc_id", "id").join(suspects, "id", "left_semi")
-    # of rows that repeat a doc_id, the set that stands for the class is any that has its digest
     sets = staged(_sets(texts, width).groupBy("id").agg(F.first("set").alias("set")))
 
-    links, tested, named, rounds = None, None, buckets.withColumn("c", F.col("id")), 0
-    while True:
-        spread = named.groupBy("key").agg(F.min(F.struct("c", "id")).alias("p"), F.max("c").alias("most")).where("most > p.c")
-        if rounds < 3:
-            pairs = named.join(spread, "key").where(F.col("c") > F.col("p.c")).select(F.col("p.id").alias("a"), F.col("id").alias("b"))
-        else:
-            mixed = named.join(spread.select("key"), "key", "left_semi")
-            other = mixed.select("key", F.col("id").alias("b"), F.col("c").alias("d"))
-            pairs = mixed.join(other, "key").where("c < d").select(F.col("id").alias("a"), "b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = tested = None
+    named = buckets.withColumn("c", F.col("id"))
+    for _ in range(STARS):
+        pivots = named.groupBy("key").agg(F.min(F.struct("c", "id")).alias("p"), F.max("c").alias("most")).where("most > p.c")
+        pairs = named.join(pivots, "key").where(F.col("c") > F.col("p.c"))
+        pairs = pairs.select(F.least("p.id", "id").alias("a"), F.greatest("p.id", "id").alias("b")).distinct()
         pairs = staged(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs)
+        tested = tested.unionByName(pairs) if tested is not None else pairs
         found = staged(_confirmed(pairs, sets, percent))
-        any_found = not found.isEmpty()
-        if any_found or links is None:
-            links = staged(links.unionByName(found)) if links is not None else found
-            group = staged(components(links))
-            named = staged(buckets.join(group, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("c")))
-        if rounds >= 3:
+        if links is not None and found.isEmpty():
             break
-        tested = tested.unionByName(pairs) if tested is not None else pairs
-        rounds = rounds + 1 if any_found else 3
+        links = staged(links.unionByName(found)) if links is not None else found
+        group = staged(components(links))
+        named = staged(buckets.join(group, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("c")))
+    mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("id").alias("first")).where("low < high")
+    open_ = staged(named.join(mixed, "key").select("id", "c", "first"))
+    if not open_.isEmpty():
+        near = components(open_.select(F.col("id").alias("a"), F.col("first").alias("b")))
+        members = open_.select("id", "c").distinct().join(near, F.col("id") == F.col("node")).select(F.col("component").alias("g"), "id", "c")
+        found = staged(_links_in_groups(members, sets, percent))
+        if not found.isEmpty():
+            group = staged(components(links.unionByName(found)))
     whole = classes.join(group, F.col("id") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("component", "id").alias("component"))
     out = signed.join(whole, ["set_a", "set_b"], "left")
     id_, component = F.col("doc_id"), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component")), F.col("doc_id"))
