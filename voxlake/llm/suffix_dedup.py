@@ -1,18 +1,18 @@
 """Exact substring dedup by distributed prefix doubling.
 
-Positions of all texts get ranks for prefixes of growing length; Spark sorts them by rank (pair), equal pairs share the
-next rank, and a position whose rank is unique drops out, since longer prefixes are unique too. A rank is a 64-bit
-name computed from the bytes, the same for equal prefixes in every task, so a position's pair at offset + length needs
-no join. Three lengths suffice for matches of 50 bytes:
-
-1. the first prefix length (18 bytes), at sampled positions only: of the 33 prefixes that start in a 50-byte window the
-   window's smallest name is taken, so equal windows have equal samples and no match is missed;
-2. 25 bytes, at every position whose window has a sample that two different texts share;
-3. 50 bytes, the pair of the names of 25 bytes at a position and 25 bytes later: sorted once more, every position
-   learns the smallest document with the same pair.
-
-Positions travel as packed arrays, dealt by rank into buckets of bounded size; equal ranks of one block are merged
-before they travel, so a passage in very many documents does not gather in one task.
+Positions of all texts get ranks for prefixes of growing length; Spark brings equal ranks (pairs) together, and a position
+whose rank is unique drops out, since longer prefixes are unique too. A rank is a 64-bit name computed from the bytes, the
+same for equal prefixes in every task, so the pair of ranks at a position and further on needs no join. Two rounds suffice for matches of 50 bytes:
+
+1. Prefixes of 18 bytes, at sampled positions only: of the 33 prefixes that start in a 50-byte window the
+   window's smallest name is taken, so equal windows have equal samples and no match is missed. Samples that no two different
+   texts share drop out.
+2. Around the samples left, the bytes of all windows that hold them travel to the bucket of the sample's name. There the positions
+   are ranked by 25 bytes, then by the pair of ranks at a position and 25 bytes later, that is by 50 bytes, sorted, and each
+   learns the smallest document with its rank.
+
+Samples travel as packed arrays, in buckets of bounded size; equal ones of a block of texts are merged before they travel, so a
+passage in very many documents does not gather in one task (but for the few samples at its edges, where what surrounds it differs).
 """
 
 from __future__ import annotations
@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import byte_codes, mix, staged, steps
+from voxlake.llm.common import byte_codes, mix, span_hash, staged, steps
 
 SAMPLE = 18
-#: Bytes of text a bucket of samples stands for, and positions a bucket of pairs holds, about.
+#: Bytes of text that a bucket of samples stands for, and samples that are merged before they travel, about.
 BUCKET_BYTES = 8 << 20
 BLOCK = 1_000_000
 
@@ -81,16 +81,31 @@ def _sampled(data: np.ndarray, offsets: np.ndarray, length: int, span: int):
 
 
 def _packed(bucket: np.ndarray, buckets: int, columns: dict[str, np.ndarray], direct: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """A row for each bucket: its entries of `columns` as bytes, and a share of `direct`, which no bucket needs to judge."""
-    order = np.argsort(bucket, kind="stable")
+    """A row for each bucket: its entries of `columns` as packed bytes, and a share of `direct`, which no bucket needs to judge. Entries are in the order of `docs` and `spots`."""
+    order = np.lexsort((columns["spots"], columns["docs"], bucket))
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
     known = np.arange(buckets + 1) * len(next(iter(direct.values()))) // buckets
     some = [b for b in range(buckets) if cuts[b] < cuts[b + 1] or known[b] < known[b + 1]]
-    own = [pa.array([x[order[cuts[b] : cuts[b + 1]]].tobytes() for b in some], pa.binary()) for x in columns.values()]
-    own += [pa.array([x[known[b] : known[b + 1]].tobytes() for b in some], pa.binary()) for x in direct.values()]
+    own = [pa.array([_pack(x[order[cuts[b] : cuts[b + 1]]]) for b in some], pa.binary()) for x in columns.values()]
+    own += [pa.array([_pack(x[known[b] : known[b + 1]]) for b in some], pa.binary()) for x in direct.values()]
     return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *own], names=["bucket", *columns, *direct])
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """Bytes of an array: of signed ones the differences, compressed."""
+    if x.dtype.kind == "i":
+        x = np.diff(x, prepend=x.dtype.type(0))
+    raw = x.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True) if raw else b""
+
+
+def _column(rows: pd.Series, kind) -> np.ndarray:
+    """The arrays that _pack made, one after the other."""
+    out = [np.frombuffer(pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd"), kind) for x in rows if x]
+    out = [np.cumsum(x, dtype=kind) for x in out] if np.dtype(kind).kind == "i" else out
+    return np.concatenate(out) if out else np.zeros(0, kind)
+
+
 def _runs(*keys: np.ndarray) -> np.ndarray:
     """Where runs of equal keys begin, in sorted arrays."""
     new = np.ones(len(keys[0]), bool)
@@ -98,10 +113,6 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _column(rows: pd.Series, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(rows), kind)
-
-
 def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     """The samples of all texts as packed arrays, in blocks. A name that two texts of a block share goes to its bucket once; the block's samples of that name are known to be shared."""
     span = length - SAMPLE + 1
@@ -132,7 +143,7 @@ def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 at = np.flatnonzero((_slide(least, span, np.maximum, back=True) == name) & (name < np.uint64(0xFFFFFFFFFFFFFFFF)))
                 row = np.searchsorted(offsets, at, "right") - 1
                 digest = np.array([int.from_bytes(hashlib.blake2b(data[a:b], digest_size=4).digest(), "little") | 1 for a, b in zip(offsets, offsets[1:], strict=False)], np.uint32)
-                held.append((name[at], digest[row], rows.column("doc_id").to_numpy()[row], (at - offsets[row]).astype(np.uint32)))
+                held.append((name[at], digest[row], rows.column("doc_id").to_numpy()[row], (at - offsets[row]).astype(np.int32)))
                 size += len(at)
                 if size >= BLOCK:
                     yield emit(held)
@@ -156,8 +167,8 @@ def _shared_samples(samples: DataFrame) -> DataFrame:
             at = order[np.repeat(mixed, np.diff(np.append(cut, len(order))))]
             at = at[text[at] > 0]
         doc = np.concatenate((_column(rows.docs, np.int64)[at], _column(rows.known_docs, np.int64)))
-        spot = np.concatenate((_column(rows.spots, np.uint32)[at], _column(rows.known_spots, np.uint32)))
-        return pd.DataFrame({"doc_id": doc, "spot": spot.astype(np.int32)})
+        spot = np.concatenate((_column(rows.spots, np.int32)[at], _column(rows.known_spots, np.int32)))
+        return pd.DataFrame({"doc_id": doc, "spot": spot})
 
     return samples.groupBy("bucket").applyInPandas(keep, "doc_id long, spot int")
 
@@ -169,87 +180,101 @@ def _block(doc, blocks: int):
     return F.pmod(doc.bitwiseXOR(F.shiftright(doc, 17)), F.lit(blocks)).cast("int")
 
 
-def _pairs(suspects: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Ranked pairs at the positions whose window has a shared sample. Of equal pairs of a block, only those of its smallest document go to their bucket; the others are known to be repeats."""
-    span, half = length - SAMPLE + 1, length // 2
+def _surroundings(suspects: DataFrame, length: int, buckets: int) -> DataFrame:
+    """The bytes of all windows that hold a shared sample, packed. Of equal ones of a block, that of the smallest document goes to its bucket; the windows of the others are known to be repeats."""
+    before = length - SAMPLE
 
     def emit(held):
-        a, b, doc, spot = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((b, a))
-        a, b, doc, spot = a[order], b[order], doc[order], spot[order]
-        cut = _runs(a, b)
-        known = doc > np.repeat(np.minimum.reduceat(doc, cut), np.diff(np.append(cut, len(a))))
+        digest, name, doc, spot, left, right, raw = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((doc, digest))
+        cut = _runs(digest[order])
+        first = np.repeat(doc[order][cut], np.diff(np.append(cut, len(order))))
+        known = np.zeros(len(doc), bool)
+        known[order] = doc[order] > first
         ask = ~known
-        columns = {"names": a[ask], "more": b[ask], "docs": doc[ask], "spots": spot[ask]}
-        return _packed((a[ask] % np.uint64(buckets)).astype(np.int64), buckets, columns, {"known_docs": doc[known], "known_spots": spot[known]})
+        columns = {"docs": doc[ask], "spots": spot[ask], "lefts": left[ask], "rights": right[ask], "raws": raw[ask]}
+        direct = {"known_docs": doc[known], "known_starts": (spot - left)[known].astype(np.int32), "known_counts": (left.astype(np.int32) + right + 1 - length)[known]}
+        return _packed((name[ask] % np.uint64(buckets)).astype(np.int64), buckets, columns, direct)
 
-    def rank(batches):
+    def gather(batches):
         held, size = [], 0
         for batch in batches:
             for rows, data, offsets in steps(batch, end=""):
-                if len(data) < length:
-                    continue
-                name, least, whole = _sampled(data, offsets, length, span)
                 spots = rows.column("spots")
-                counts = np.diff(spots.offsets.to_numpy())
-                shared = np.full(len(data), np.uint64(0xFFFFFFFFFFFFFFFF))
-                at = spots.flatten().to_numpy() + np.repeat(offsets[:-1], counts)
-                shared[at] = name[at]
-                start = np.flatnonzero((_slide(shared, span, np.minimum) == least) & whole)
-                first = _windows(byte_codes(data), half)
-                rest = _windows(byte_codes(data), length - half) if length - half != half else first
-                x, y = first[start], rest[start + half]
-                row = np.searchsorted(offsets, start, "right") - 1
-                second = (mix(y + np.uint64(0x9E3779B97F4A7C15) * x) >> np.uint64(32)).astype(np.uint32)
-                held.append((mix(x ^ mix(y)), second, rows.column("doc_id").to_numpy()[row], (start - offsets[row]).astype(np.uint32)))
-                size += len(start)
-                if size >= BLOCK:
+                spot = spots.flatten().to_numpy()
+                row = np.repeat(np.arange(rows.num_rows), np.diff(spots.offsets.to_numpy()))
+                at = spot + offsets[row]
+                left = np.minimum(before, spot).astype(np.uint8)
+                right = np.minimum(length, offsets[row + 1] - at).astype(np.uint8)
+                codes = byte_codes(data)
+                name = span_hash(codes, at, at + SAMPLE)
+                digest = mix(span_hash(codes, at - left, at + right) + left)
+                raw = data[np.clip(at[:, None] + np.arange(-before, length), 0, len(data) - 1)] if len(at) else np.zeros((0, before + length), np.uint8)
+                held.append((digest, name, rows.column("doc_id").to_numpy()[row], spot.astype(np.int32), left, right, raw))
+                size += len(at)
+                if size >= BLOCK // 4:
                     yield emit(held)
                     held, size = [], 0
         if size:
             yield emit(held)
 
-    return suspects.mapInArrow(rank, "bucket int, names binary, more binary, docs binary, spots binary, known_docs binary, known_spots binary")
+    return suspects.mapInArrow(gather, "bucket int, docs binary, spots binary, lefts binary, rights binary, raws binary, known_docs binary, known_starts binary, known_counts binary")
 
 
-def _covered(pairs: DataFrame, blocks: int) -> DataFrame:
-    """(block, docs, spots): the positions whose pair also occurs in a smaller document."""
+def _covered(around: DataFrame, length: int, blocks: int) -> DataFrame:
+    """(block, docs, starts, counts): runs of positions whose first `length` bytes also start in a smaller document."""
+    before, half = length - SAMPLE, length // 2
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        name, more, doc = _column(rows.names, np.uint64), _column(rows.more, np.uint32), _column(rows.docs, np.int64)
-        order = np.lexsort((more, name))
-        at = order[:0]
+        doc, spot = _column(rows.docs, np.int64), _column(rows.spots, np.int32)
+        left, right = _column(rows.lefts, np.uint8), _column(rows.rights, np.uint8)
+        raw = _column(rows.raws, np.uint8).reshape(-1, before + length)
+        starts = np.arange(before + 1)
+        rank = np.empty((len(doc), before + 1), np.uint64)
+        for a in range(0, len(doc), 8192):
+            flat = byte_codes(raw[a : a + 8192].ravel())
+            some = _windows(flat, half)
+            rest = _windows(flat, length - half) if length - half != half else some
+            pick = (np.arange(len(flat) // (before + length)) * (before + length))[:, None] + starts
+            rank[a : a + 8192] = mix(some[pick] ^ mix(rest[pick + half]))
+        real = (starts >= before - left[:, None].astype(np.int64)) & (starts + length <= before + right[:, None].astype(np.int64))
+        i, c = np.nonzero(real)
+        value = rank[i, c]
+        order = np.lexsort((doc[i], value))
+        gone = np.zeros(len(rank) * (before + 1) + 1, bool)
         if len(order):
-            cut = _runs(name[order], more[order])
-            first = np.minimum.reduceat(doc[order], cut)
-            at = order[doc[order] > np.repeat(first, np.diff(np.append(cut, len(order))))]
-        doc = np.concatenate((doc[at], _column(rows.known_docs, np.int64)))
-        spot = np.concatenate((_column(rows.spots, np.uint32)[at], _column(rows.known_spots, np.uint32)))
+            cut = _runs(value[order])
+            own = doc[i][order]
+            again = own > np.repeat(own[cut], np.diff(np.append(cut, len(order))))
+            gone[(i * (before + 1) + c)[order[again]]] = True
+        step = np.diff(np.pad(gone[:-1].reshape(-1, before + 1), ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        i, c = np.nonzero(step == 1)
+        _, end = np.nonzero(step == -1)
+        doc = np.concatenate((doc[i], _column(rows.known_docs, np.int64)))
+        start = np.concatenate(((spot[i] - before + c).astype(np.int32), _column(rows.known_starts, np.int32)))
+        count = np.concatenate(((end - c).astype(np.int32), _column(rows.known_counts, np.int32)))
         block = _block(doc, blocks)
-        order = np.argsort(block, kind="stable")
-        doc, spot = doc[order], spot[order]
+        order = np.lexsort((start, doc, block))
         some, begin = np.unique(block[order], return_index=True)
         ends = np.append(begin[1:], len(doc))
-        return pd.DataFrame({"block": some.astype(np.int32), "docs": [doc[a:b].tobytes() for a, b in zip(begin, ends, strict=False)], "spots": [spot[a:b].tobytes() for a, b in zip(begin, ends, strict=False)]})
+        part = lambda x: [_pack(x[order[a:b]]) for a, b in zip(begin, ends, strict=False)]
+        return pd.DataFrame({"block": some.astype(np.int32), "docs": part(doc), "starts": part(start), "counts": part(count)})
 
-    return pairs.groupBy("bucket").applyInPandas(judge, "block int, docs binary, spots binary")
+    return around.groupBy("bucket").applyInPandas(judge, "block int, docs binary, starts binary, counts binary")
 
 
-def _cut(key, texts: pd.DataFrame, found: pd.DataFrame, length: int) -> pd.DataFrame:
-    doc = np.frombuffer(b"".join(found.docs), np.int64)
-    spot = np.frombuffer(b"".join(found.spots), np.uint32).astype(np.int64)
+def _cut(texts: pd.DataFrame, found: pd.DataFrame, length: int) -> pd.DataFrame:
+    doc, start, count = _column(found.docs, np.int64), _column(found.starts, np.int32), _column(found.counts, np.int32)
     order = np.argsort(doc, kind="stable")
-    doc, spot = doc[order], spot[order]
+    doc, start, count = doc[order], start[order].astype(np.int64), count[order]
     out = []
     for i, raw in zip(texts.doc_id, texts.raw, strict=True):
-        a, b = np.searchsorted(doc, [i, i + 1])
-        step = np.zeros(len(raw) + 1, np.int32)
-        np.add.at(step, spot[a:b], 1)
-        np.add.at(step, spot[a:b] + length, -1)
+        a, b = np.searchsorted(doc, i, "left"), np.searchsorted(doc, i, "right")
+        step = np.bincount(start[a:b], minlength=len(raw) + 1) - np.bincount(start[a:b] + count[a:b] + length - 1, minlength=len(raw) + 1)
         gone = np.cumsum(step[:-1]) > 0
         edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
         kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-        out.append((i, len(raw), int(gone.sum()), edge.reshape(-1, 2).ravel().astype(np.int64).tolist(), kept))
+        out.append((i, len(raw), int(gone.sum()), edge.astype(np.int64).tolist(), kept))
     return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
 
@@ -263,8 +288,8 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     repeat it with different texts none removes bytes of another, and only one is returned. Rows with a null doc_id are one document,
     smaller than all others. An empty table gives an empty result.
     """
-    if length < SAMPLE + 1:
-        raise ValueError(f"length is at least {SAMPLE + 1}")
+    if not SAMPLE < length < 128:
+        raise ValueError(f"length is between {SAMPLE + 1} and 127")
     null_id = -(1 << 63)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
@@ -278,11 +303,11 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     block = _block(F.col("doc_id"), buckets).alias("block")
     marked = staged(marked.select("doc_id", "text", F.col("n").isNotNull().alias("copy"), "spots", block).dropDuplicates(["doc_id"]))
     suspects = marked.where(F.col("spots").isNotNull() & ~F.col("copy"))
-    found = _covered(_pairs(suspects.select("doc_id", "text", "spots"), length, buckets), buckets)
+    found = _covered(_surroundings(suspects.select("doc_id", "text", "spots"), length, buckets), length, buckets)
     shape = "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary"
     cut = (
         suspects.select("block", "doc_id", F.col("text").cast("binary").alias("raw")).groupBy("block")
-        .cogroup(found.groupBy("block")).applyInPandas(lambda key, texts, found: _cut(key, texts, found, length), shape)
+        .cogroup(found.groupBy("block")).applyInPandas(lambda texts, found: _cut(texts, found, length), shape)
     )
     n = F.octet_length("text").cast("long")
     gone = F.col("copy") & (n >= length)
