@@ -1,16 +1,58 @@
-"""A corpus from raw documents to packed sequences, stage by stage."""
+"""A corpus from raw documents to packed sequences, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the columns of `documents`. Where a stage
+changes texts, n_chars follows. A document whose text was emptied stays, as an empty one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from voxlake.llm.common import staged
+from voxlake.llm.line_dedup import dedup_lines
+from voxlake.llm.minhash import near_duplicates
+from voxlake.llm.packing import pack_documents
+from voxlake.llm.quality_rules import filter_documents
+from voxlake.llm.suffix_dedup import kept_text, remove_repeats
+
+
+def _with_texts(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """`docs` with the texts of (doc_id, text), in the columns and types of `docs`."""
+    texts = texts.withColumnRenamed("doc_id", "of")
+    out = docs.drop("text", "n_chars").join(texts, docs["doc_id"].eqNullSafe(texts["of"])).withColumn("n_chars", F.char_length("text"))
+    return out.select(*(F.col(f.name).cast(f.dataType) for f in docs.schema))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return filter_documents(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _with_texts(docs, dedup_lines(docs).select("doc_id", F.col("kept_text").alias("text")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("of"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["of"]), "left_semi")
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _with_texts(docs, kept_text(remove_repeats(docs)))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs)
+
 
-STAGES: list = []
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup), ("packing", packing)]
+#: The last stage's tokens aren't expressible in SQL; the tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to `documents`."""
+    """Applies the stages to `documents`, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -172,7 +172,7 @@ def _links_in_groups(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     return pairs.mapInArrow(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85) -> DataFrame:
     """Groups documents whose sets of `width`-word shingles have a Jaccard similarity of `percent` / 100 or more.
 
     Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Returns a row for each row of `docs` (doc_id and text are read):

@@ -6,11 +6,13 @@ from importlib import import_module
 
 #: query name -> module that holds a function of that name and, where SQL can express it, SQL.
 MODULES = {
+    "op1_sentencepiece": "pieces",
     "op2_line_dedup": "line_dedup",
     "op3_toxicity": "toxicity",
     "op4_packing": "packing",
     "op5_suffix_dedup": "suffix_dedup",
     "op6_quality_rules": "quality_rules",
+    "op7_html_text": "html_text",
     "op8_fingerprints": "fingerprints",
     "op9_quality_classifier": "quality_classifier",
     "op10_minhash": "minhash",

@@ -318,6 +318,16 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     return plain.unionByName(cut).withColumn("doc_id", F.nullif("doc_id", F.lit(null_id)))
 
 
+def kept_text(cut: DataFrame) -> DataFrame:
+    """(doc_id, text) of what remove_repeats returns: the bytes kept as text; bytes of a character that lost some of them are left out."""
+
+    def read(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([(x.as_py() or b"").decode("utf-8", "ignore") for x in batch.column("kept")], pa.string())], names=["doc_id", "text"])
+
+    return cut.select("doc_id", "kept").mapInArrow(read, "doc_id long, text string")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
