@@ -25,20 +25,46 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")
 
 
-def collect_features(rows: DataFrame, features) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
-    """Feature ids and counts of each training row, computed in the tasks: features(data, offsets) gives (ids, offsets) for a run of texts."""
+def telling(rows: DataFrame, features, least_docs: int, least_chi2: float) -> np.ndarray:
+    """The sorted feature ids, distinct in each text, that at least `least_docs` of the (text, y) rows have and whose presence depends on y: chi-squared of at least `least_chi2`. Counted in Spark."""
 
     def count(batches):
         for batch in batches:
             for part, data, offsets in steps(batch):
                 ids, at = features(data, offsets)
-                own = [np.unique(ids[a:b], return_counts=True) for a, b in zip(at, at[1:], strict=False)]
+                own, spot = np.unique(ids, return_inverse=True)
+                y = np.repeat(part.column("y").to_numpy(), np.diff(at))
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(np.bincount(spot, minlength=len(own)).astype(np.int64)), pa.array(np.bincount(spot, y, len(own)).astype(np.int64))], names=["id", "df", "hits"])
+
+    n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if not 0 < bad < n:
+        return np.zeros(0, np.uint64)
+    counted = rows.mapInArrow(count, "id long, df long, hits long").groupBy("id").agg(F.sum("df").cast("double").alias("df"), F.sum("hits").cast("double").alias("hits")).where(F.col("df") >= least_docs)
+    odds = n * (F.col("hits") * n - F.col("df") * bad) * (F.col("hits") * n - F.col("df") * bad) / F.greatest(F.col("df") * (n - F.col("df")) * bad * (n - bad), F.lit(1e-9))
+    return np.sort(counted.where(odds >= least_chi2).select("id").toPandas()["id"].to_numpy(np.int64).view(np.uint64))
+
+
+def collect_features(rows: DataFrame, features, known: np.ndarray | None = None) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Feature ids and counts of each training row, computed in the tasks: features(data, offsets) gives (ids, offsets) for a run of texts. With `known`, the places of those of them that it holds."""
+
+    def count(batches):
+        for batch in batches:
+            for part, data, offsets in steps(batch):
+                ids, at = features(data, offsets)
+                own = []
+                for a, b in zip(at, at[1:], strict=False):
+                    i, c = np.unique(ids[a:b], return_counts=True)
+                    if known is not None:
+                        spot = np.searchsorted(known, i)
+                        hit = np.append(known, known[-1:])[np.minimum(spot, len(known))] == i if len(known) else np.zeros(len(i), bool)
+                        i, c = spot[hit], c[hit]
+                    own.append((i, c))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([i.astype(np.uint64).tobytes() for i, _ in own], pa.binary()), pa.array([c.astype(np.float32).tobytes() for _, c in own], pa.binary()), part.column("y")], names=["ids", "counts", "y"]
+                    [pa.array([i.astype(np.uint32).tobytes() for i, _ in own], pa.binary()), pa.array([np.minimum(c, 65535).astype(np.uint16).tobytes() for _, c in own], pa.binary()), part.column("y")], names=["ids", "counts", "y"]
                 )
 
     found = rows.mapInArrow(count, "ids binary, counts binary, y int").toPandas().sort_values(["ids", "counts", "y"])
-    return [(np.frombuffer(i, np.uint64), np.frombuffer(c, np.float32)) for i, c in zip(found.ids, found.counts, strict=True)], found.y.to_numpy(np.float64)
+    return [(np.frombuffer(i, np.uint32), np.frombuffer(c, np.uint16)) for i, c in zip(found.ids, found.counts, strict=True)], found.y.to_numpy(np.float64)
 
 
 def scored(docs: DataFrame, score) -> DataFrame:

@@ -10,8 +10,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import LOWER, byte_codes, span_hash, words
-from voxlake.llm.labelled import collect_features, remainder, scored, sigmoid, sums, training_rows
+from voxlake.llm.common import LOWER, byte_codes, release, span_hash, staged, words
+from voxlake.llm.labelled import collect_features, remainder, scored, sigmoid, sums, telling, training_rows
 
 #: At most so many labelled documents are learned from. Terms in fewer than LEAST_DOCS of them, or independent of the label
 #: (chi-squared below LEAST_CHI2, a chance of 0.001), get no weight.
@@ -41,19 +41,15 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def fit(rows: DataFrame, factors: int = FACTORS, epochs: int = EPOCHS, step: float = STEP) -> dict[str, np.ndarray]:
     """The machine learned from (text, y) rows: bias, and sorted term hashes with weights and vectors. Without rows of both labels the bias is all there is."""
-    found, y = collect_features(rows, terms)
+    rows = staged(rows)
+    ids = telling(rows, terms, LEAST_DOCS, LEAST_CHI2)
+    found, y = collect_features(rows, terms, ids)
+    release(rows)
     rng = np.random.default_rng(7)
-    every = np.concatenate([i for i, _ in found]) if found else np.zeros(0, np.uint64)
-    ids, at = np.unique(every, return_inverse=True)
-    of = np.repeat(y, [len(i) for i, _ in found])
-    df, hits = np.bincount(at, minlength=len(ids)), np.bincount(at, of, minlength=len(ids))
-    n, bad = len(y), y.sum()
-    spread = np.maximum(df * (n - df) * bad * (n - bad), 1e-9)
-    ids = ids[(df >= LEAST_DOCS) & (n * (hits * n - df * bad) ** 2 / spread >= LEAST_CHI2)]
-    share = (bad + 0.5) / (n + 1)
+    share = (y.sum() + 0.5) / (len(y) + 1)
     bias, w, v = np.log(share / (1 - share)), np.zeros(len(ids)), rng.normal(0, 0.05, (len(ids), factors))
-    if len(ids) and 0 < bad < n:
-        own = [np.searchsorted(ids, i[np.isin(i, ids)]) for i, _ in found]
+    own = [i.astype(np.int64) for i, _ in found]
+    if len(ids):
         for t in range(epochs):
             rate = step * (1 - t / epochs)
             for k in rng.permutation(len(own)):
