@@ -41,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame) -> DataFrame:
     """Writes `df` as a Parquet table in the shared folder and reads it back: cuts lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/voxlake-stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

@@ -263,19 +263,48 @@ def _covered(around: DataFrame, length: int, blocks: int) -> DataFrame:
     return around.groupBy("bucket").applyInPandas(judge, "block int, docs binary, starts binary, counts binary")
 
 
-def _cut(texts: pd.DataFrame, found: pd.DataFrame, length: int) -> pd.DataFrame:
-    doc, start, count = _column(found.docs, np.int64), _column(found.starts, np.int32), _column(found.counts, np.int32)
-    order = np.argsort(doc, kind="stable")
-    doc, start, count = doc[order], start[order].astype(np.int64), count[order]
-    out = []
-    for i, raw in zip(texts.doc_id, texts.raw, strict=True):
-        a, b = np.searchsorted(doc, i, "left"), np.searchsorted(doc, i, "right")
-        step = np.bincount(start[a:b], minlength=len(raw) + 1) - np.bincount(start[a:b] + count[a:b] + length - 1, minlength=len(raw) + 1)
-        gone = np.cumsum(step[:-1]) > 0
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
-        kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-        out.append((i, len(raw), int(gone.sum()), edge.astype(np.int64).tolist(), kept))
-    return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+def _by_document(found: DataFrame) -> DataFrame:
+    """(doc_id, starts, counts): the runs of each document, packed."""
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        doc, start, count = _column(rows.docs, np.int64), _column(rows.starts, np.int32), _column(rows.counts, np.int32)
+        order = np.lexsort((start, doc))
+        doc, start, count = doc[order], start[order], count[order]
+        cut = _runs(doc) if len(doc) else order
+        ends = np.append(cut[1:], len(doc))
+        part = lambda x: [_pack(x[a:b]) for a, b in zip(cut, ends, strict=False)]
+        return pd.DataFrame({"doc_id": doc[cut], "starts": part(start), "counts": part(count)})
+
+    return found.groupBy("block").applyInPandas(gather, "doc_id long, starts binary, counts binary")
+
+
+def _cut(marked: DataFrame, length: int) -> DataFrame:
+    """The texts without what (copy, starts, counts) say is covered."""
+
+    def cut(batches):
+        for batch in batches:
+            rows = {c: batch.column(c).to_pylist() for c in ("text", "copy", "starts", "counts")}
+            n_bytes, n_removed, spans, kept = [], [], [], []
+            for text, copy, starts, counts in zip(*rows.values(), strict=True):
+                raw = np.frombuffer(text.encode(), np.uint8)
+                n = len(raw)
+                if copy and n >= length:
+                    edge, raw = np.array([0, n]), raw[:0]
+                elif starts and not copy:
+                    start, count = _column([starts], np.int32), _column([counts], np.int32)
+                    step = np.bincount(np.minimum(start, n), minlength=n + 1) - np.bincount(np.minimum(start + count + length - 1, n), minlength=n + 1)
+                    gone = np.cumsum(step[:-1]) > 0
+                    edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
+                    raw = raw[~gone]
+                else:
+                    edge = np.zeros(0, np.int64)
+                n_bytes.append(n)
+                n_removed.append(n - len(raw))
+                spans.append(edge.tolist())
+                kept.append(raw.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+
+    return marked.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary")
 
 
 def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
@@ -284,9 +313,8 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     Texts are UTF-8 bytes; matches do not cross documents; strings are judged on the input. Reads doc_id and text of `docs`. Returns doc_id, n_bytes,
     n_removed, spans (array of alternating starts and ends of the maximal removed runs), kept (the remaining bytes).
 
-    A null or empty text has no bytes. doc_id is the key: rows repeating a doc_id with one text come back once; of rows that
-    repeat it with different texts none removes bytes of another, and only one is returned. Rows with a null doc_id are one document,
-    smaller than all others. An empty table gives an empty result.
+    A null or empty text has no bytes. doc_id is the key: rows repeating a doc_id are taken for one document, none removes bytes of
+    another, and each comes back. Rows with a null doc_id are one document, smaller than all others. An empty table gives an empty result.
     """
     if not SAMPLE < length < 128:
         raise ValueError(f"length is between {SAMPLE + 1} and 127")
@@ -294,28 +322,17 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(4, -(-total // BUCKET_BYTES))
-    shared = _shared_samples(_samples(docs, length, buckets)).groupBy("doc_id").agg(F.collect_list("spot").alias("spots"))
+    shared = staged(_shared_samples(_samples(docs, length, buckets)))
+    shared = shared.groupBy("doc_id").agg(F.collect_list("spot").alias("spots"))
 
     copies = docs.select("doc_id", F.md5("text").alias("digest"), F.octet_length("text").alias("n"))
     first = staged(copies.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows"))
-    repeats = copies.join(first, "digest").where("doc_id > first").groupBy("doc_id").agg(F.first("n").alias("n"))
-    marked = docs.join(repeats, "doc_id", "left").join(shared, "doc_id", "left")
-    block = _block(F.col("doc_id"), buckets).alias("block")
-    marked = staged(marked.select("doc_id", "text", F.col("n").isNotNull().alias("copy"), "spots", block).dropDuplicates(["doc_id"]))
-    suspects = marked.where(F.col("spots").isNotNull() & ~F.col("copy"))
-    found = _covered(_surroundings(suspects.select("doc_id", "text", "spots"), length, buckets), length, buckets)
-    shape = "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary"
-    cut = (
-        suspects.select("block", "doc_id", F.col("text").cast("binary").alias("raw")).groupBy("block")
-        .cogroup(found.groupBy("block")).applyInPandas(lambda texts, found: _cut(texts, found, length), shape)
-    )
-    n = F.octet_length("text").cast("long")
-    gone = F.col("copy") & (n >= length)
-    plain = marked.where(F.col("spots").isNull() | F.col("copy")).select(
-        "doc_id", n.alias("n_bytes"), F.when(gone, n).otherwise(0).alias("n_removed"), F.when(gone, F.array(F.lit(0).cast("long"), n)).otherwise(F.array().cast("array<long>")).alias("spans"),
-        F.when(gone, F.lit(b"")).otherwise(F.col("text").cast("binary")).alias("kept"),
-    )
-    return plain.unionByName(cut).withColumn("doc_id", F.nullif("doc_id", F.lit(null_id)))
+    repeats = staged(copies.join(first, "digest").where("doc_id > first").groupBy("doc_id").agg(F.first("n").alias("n")))
+    # both uses of the texts read the same exchange
+    suspects = docs.join(shared.join(repeats, "doc_id", "left_anti"), "doc_id").select("doc_id", "text", "spots")
+    found = _by_document(_covered(_surroundings(suspects, length, buckets), length, buckets))
+    marked = docs.join(found, "doc_id", "left").join(repeats, "doc_id", "left").select("doc_id", "text", F.col("n").isNotNull().alias("copy"), "starts", "counts")
+    return _cut(marked, length).withColumn("doc_id", F.nullif("doc_id", F.lit(null_id)))
 
 
 def kept_text(cut: DataFrame) -> DataFrame:
