@@ -71,7 +71,7 @@ def test_count_mask_counts_a_subject_once(spark):
 
 def test_transform_rounds_half_to_even(spark):
     v = spark.createDataFrame([("a", "L", "S", 1, 3, 5)], "subject_id string, side string, sulcus string, i int, j int, k int")
-    space = spark.createDataFrame([("a", "L", [1.0, 1.0, 1.0], [1.0, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0])], "subject_id string, side string, voxel_size array<double>, affine array<double>")
+    space = spark.createDataFrame([("a", "L", [1.0, 1.0, 1.0], [1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0])], "subject_id string, side string, voxel_size array<double>, affine array<double>")
     assert tuple(voxels.to_template(v, space, 2.0).first())[3:] == (0, 2, 2)
 
 
