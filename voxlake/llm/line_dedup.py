@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import LOWER, SPACE, byte_codes, release, span_hash, staged, steps
+from voxlake.llm.common import LOWER, SPACE, byte_codes, span_hash, staged, steps
 
 #: The filters have this many bits a line, from 2^20 bits up to 2^28 (32 MB for the one that is broadcast). Beyond
 #: 2^28 / BITS_A_LINE lines the share of false suspects rises, up to shuffling all lines; the result is the same.
@@ -124,7 +124,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) ->
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     suspects = staged(docs.mapInArrow(suspect, f"doc_id {kind}, line int, key binary"))
-    shared = suspects.select("key", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d")).distinct().groupBy("key").agg(F.count("*").alias("n"), F.max("d").alias("keeper")).where(F.col("n") >= least_docs)
+    # written before it is joined, so that the join can split a key that very many documents hold
+    shared = staged(suspects.select("key", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d")).distinct().groupBy("key").agg(F.count("*").alias("n"), F.max("d").alias("keeper")).where(F.col("n") >= least_docs))
     gone = (
         suspects.join(shared, "key").where(F.coalesce("doc_id", F.lit(-(1 << 63))) < F.col("keeper")).select("doc_id", "line").distinct()
         .groupBy("doc_id").agg(F.collect_list("line").alias("lines"))
