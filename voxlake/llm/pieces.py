@@ -22,6 +22,8 @@ SPACE_MARK = "▁"
 LONG = 96
 #: Words that a task remembers with their ids, at most.
 KNOWN = 400_000
+#: Ids that one vectorised step of decoding works on; a longer list is a step of its own.
+STEP_IDS = 300_000
 _models: dict = {}
 
 
@@ -346,7 +348,7 @@ def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches):
         pieces = load(path)
         for batch in batches:
-            for rows, data, offsets in steps(batch, most=2 << 20):
+            for rows, data, offsets in steps(batch):
                 ids, at = encode(pieces, data, offsets)
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], names=["doc_id", "ids"])
 
@@ -362,12 +364,17 @@ def decode_ids(encoded: DataFrame, path: str | None = None) -> DataFrame:
         pieces = load(path)
         for batch in batches:
             lists = batch.column("ids")
-            ids = lists.flatten().to_numpy().astype(np.int64)
-            at = np.concatenate(([0], np.cumsum([0 if x is None else x for x in lists.value_lengths().to_pylist()]))).astype(np.int64)
-            raw, offsets = decode(pieces, ids, at)
-            raw = raw.tobytes()
-            text = [raw[a:b].decode("utf-8", "replace") if ok else None for a, b, ok in zip(offsets, offsets[1:], lists.is_valid().to_pylist(), strict=False)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(text, pa.string())], names=[*kept, "text"])
+            ids, valid = lists.flatten().to_numpy(), lists.is_valid().to_pylist()
+            at = np.concatenate(([0], np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False))))).astype(np.int64)
+            first = 0
+            while first < len(lists):
+                to = max(first + 1, int(np.searchsorted(at, at[first] + STEP_IDS, "right")) - 1)
+                raw, offsets = decode(pieces, ids[at[first] : at[to]].astype(np.int64), at[first : to + 1] - at[first])
+                raw = raw.tobytes()
+                text = [raw[a:b].decode("utf-8", "replace") if ok else None for a, b, ok in zip(offsets, offsets[1:], valid[first:to], strict=False)]
+                part = batch.slice(first, to - first)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(text, pa.string())], names=[*kept, "text"])
+                first = to
 
     return encoded.select(*kept).mapInArrow(run, ", ".join([*(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in kept), "text string"]))
 
