@@ -67,7 +67,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> list[np.ndarray]:
+def span_powers(n: int) -> list[np.ndarray]:
     if len(_POWERS[0]) < n:
         n = 1 << (n - 1).bit_length()
         for at, base in enumerate((_BASE, _BASE_INV)):
@@ -96,7 +96,7 @@ def steps(batch: pa.RecordBatch, column: str = "text", end: str = " ", most: int
 
 def span_hash(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the spans [start, end) of a sequence of 64-bit codes, equal for equal spans wherever they stand."""
-    powers, inverse = _powers(len(codes) + 1)
+    powers, inverse = span_powers(len(codes) + 1)
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(codes * powers[: len(codes)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))

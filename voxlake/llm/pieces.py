@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import mix, span_hash, steps
+from voxlake.llm.common import mix, span_hash, span_powers, steps
 
 SPACE_MARK = "▁"
 #: Words longer than this are merged one at a time, by a heap.
 LONG = 96
 #: Words that a task remembers with their ids, at most.
-KNOWN = 400_000
+KNOWN = 800_000
 #: Ids that one vectorised step of decoding works on; a longer list is a step of its own.
 STEP_IDS = 300_000
 _models: dict = {}
@@ -52,12 +52,15 @@ class Pieces:
         self.score = np.array([p.score for p in model.pieces], np.float64)
         byte = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
         self.byte = np.array([byte.get(b, self.unknown) for b in range(256)], np.int32)
-        self.longest = max(map(len, self.id))
+        sizes = [len(x) for x in self.id]
+        self.lengths = sorted(set(sizes) | {1}, key=sizes.count, reverse=True)
         points = np.array([ord(c) for c in "".join(self.id)], np.uint32)
         ends = np.cumsum([len(x) for x in self.id])
         key = span_hash(_codes(points), np.concatenate(([0], ends[:-1])), ends)
         order = np.argsort(key)
         self.key, self.key_id = key[order], np.array(list(self.id.values()), np.int32)[order]
+        self._some = np.zeros(1 << 20, bool)
+        self._some[(self.key & np.uint64(0xFFFFF)).astype(np.int64)] = True
         pairs = sorted({ord(x[i]) << 32 | ord(x[i + 1]) for x in self.id for i in range(len(x) - 1)})
         self.inner = np.array(pairs, np.uint64)
         raw = [bytes([int(t[3:5], 16)]) if p.type == 6 else b"" if p.type == 3 else t.replace(SPACE_MARK, " ").encode() for t, p in zip(self.text, model.pieces, strict=True)]
@@ -94,6 +97,10 @@ class Pieces:
             if self.reached[i] and last:
                 self.left[i], self.right[i] = last
 
+    def may(self, key: np.ndarray) -> np.ndarray:
+        """False where a key is surely none of the sorted ones."""
+        return self._some[(key & np.uint64(0xFFFFF)).astype(np.int64)]
+
     def probe(self, key: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
         return np.where(self.key[at] == key, self.key_id[at], -1)
@@ -188,44 +195,54 @@ def load(path: str) -> Pieces:
 def _encode_equal(pieces: Pieces, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of words of one length, one in each row of `points`: (ids, how many of each word); unknown characters as -1 - code point."""
     n, size = points.shape
-    flat = _codes(points.ravel())
-    last = np.full((n, size + 1), -1, np.int64)
-    step = np.zeros((n, size + 1), np.int64)
-    score = np.full((n, size + 1), -np.inf)
-    score[:, 0] = 0
-    base = np.arange(n) * size
+    powers, inverse = span_powers(size + 1)
+    sums = np.zeros((size + 1, n), np.uint64)
+    np.cumsum(_codes(points.T) * powers[:size, None], axis=0, out=sums[1:])
+    last = np.full((size + 1, n), -1, np.int64)
+    step = np.zeros((size + 1, n), np.int8 if size < 128 else np.int64)
+    score = np.full((size + 1, n), -np.inf)
+    score[0] = 0
     for end in range(1, size + 1):
-        for length in range(1, min(end, pieces.longest) + 1):
-            rows = np.flatnonzero(score[:, end - length] > -np.inf)
+        open_ = np.arange(n)
+        for length in pieces.lengths:
+            start = end - length
+            if start < 0 or not len(open_):
+                continue
+            rows = open_[score[start, open_] > -np.inf]
+            key = mix((sums[end, rows] - sums[start, rows]) * inverse[start] + np.uint64(length))
+            if length > 1:
+                some = pieces.may(key)
+                rows, key = rows[some], key[some]
             if not len(rows):
                 continue
-            found = pieces.probe(span_hash_at(flat, base[rows] + end - length, length))
+            found = pieces.probe(key)
             if length == 1:
                 found = np.where(found < 0, pieces.size + points[rows, end - 1].astype(np.int64), found)
             ok = found >= 0
+            rows, found = rows[ok], found[ok]
             if pieces.merges:
-                ok &= (found >= pieces.size) | pieces.reached[np.minimum(found, pieces.size - 1)]
-                rows, found = rows[ok], found[ok]
-                prev = last[rows, end - length]
-                free = (prev < 0) | (prev >= pieces.size) | (found >= pieces.size)
-                fit = free.copy()
-                fit[~free] = pieces.fits(prev[~free], found[~free])
+                prev = last[start, rows]
+                both = (prev >= 0) & (prev < pieces.size) & (found < pieces.size)
+                fit = (found >= pieces.size) | pieces.reached[np.minimum(found, pieces.size - 1)]
+                both &= fit
+                fit[both] = pieces.fits(prev[both], found[both])
                 rows, found = rows[fit], found[fit]
                 value = np.zeros(len(rows))
             else:
-                rows, found = rows[ok], found[ok]
-                value = score[rows, end - length] + np.where(found < pieces.size, pieces.score[np.minimum(found, pieces.size - 1)], pieces.score.min() - 10)
-            better = value > score[rows, end]
+                value = score[start, rows] + np.where(found < pieces.size, pieces.score[np.minimum(found, pieces.size - 1)], pieces.score.min() - 10)
+            better = value > score[end, rows]
             rows, found, value = rows[better], found[better], value[better]
-            score[rows, end], last[rows, end], step[rows, end] = value, found, length
+            score[end, rows], last[end, rows], step[end, rows] = value, found, length
+            if pieces.merges:  # one candidate stands at a position; the others need no look
+                open_ = open_[score[end, open_] == -np.inf]
     out = np.zeros((n, size), np.int64)
-    lost = score[:, size] == -np.inf
+    lost = score[size] == -np.inf
     count, at, live = np.zeros(n, np.int64), np.full(n, size), np.flatnonzero(~lost)
     while len(live):
-        piece = last[live, at[live]]
+        piece = last[at[live], live]
         out[live, size - 1 - count[live]] = np.where(piece >= pieces.size, pieces.size - 1 - piece, piece)
         count[live] += 1
-        at[live] -= step[live, at[live]]
+        at[live] -= step[at[live], live]
         live = live[at[live] > 0]
     for k in np.flatnonzero(lost):
         got = merge(pieces, points[k].astype(np.uint32).tobytes().decode("utf-32-le"))
@@ -235,17 +252,6 @@ def _encode_equal(pieces: Pieces, points: np.ndarray) -> tuple[np.ndarray, np.nd
     return ids, count
 
 
-def span_hash_at(flat: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
-    """What span_hash gives for spans of one length."""
-    from voxlake.llm.common import _powers
-
-    powers, _ = _powers(length + 1)
-    total = np.zeros(len(start), np.uint64)
-    for k in range(length):
-        total += flat[start + k] * powers[k]
-    return mix(total + np.uint64(length))
-
-
 def encode(pieces: Pieces, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of texts that each end in a space: (ids, offsets)."""
     head = np.concatenate((np.frombuffer(b" ", np.uint8), data[:-1])) if pieces.prefix else data
