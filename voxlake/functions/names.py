@@ -14,9 +14,8 @@ ALL_SUFFIXES = r"(\.(nii|gz|trm|csv|json))*(\.minf)?$"
 #: Fixed value: region, then hemisphere, each ended by _ or --.
 EMBEDDING_NAME = r"^_?(.*?)(?:--|_)(left|right)(?:--|_).*_embeddings\.csv$"
 MODEL_ID = r"(name\d{2}-\d{2}-\d{2}--\d+)"
-#: A crops path below a derivatives folder; the folder of the published models; archive suffixes.
+#: A crops path below a derivatives folder; archive suffixes.
 CROPS_PATH = r"(derivatives/)([^/\n]+)(/crops(?:/[^/\n]+)*/2mm)"
-PUBLISHED = "deep_folding-2025"
 ARCHIVES = r"\.(tar\.xz|tar\.gz|tgz|gz|zip)$"
 DEFAULT_MASKS = "canonical_25"
 
@@ -61,8 +60,9 @@ def dataset_name(region: Column, side: Column) -> Column:
     return F.concat(F.translate(region, ".", ""), F.when(side == "L", "_left").otherwise("_right"))
 
 
-def derivatives_folder(legacy: Column, version: Column) -> Column:
-    return F.when(legacy, F.lit(PUBLISHED)).otherwise(version)
+def derivatives_folder(legacy: Column, published: Column, version: Column) -> Column:
+    """The folder that the published models were made in for legacy runs, otherwise that of the version."""
+    return F.when(legacy, published).otherwise(version)
 
 
 def rewrite_derivatives(line: Column, folder: Column) -> Column:

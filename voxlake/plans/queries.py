@@ -410,10 +410,10 @@ def file_stem(s, d):
     return view(s, d, "files").select("path", names.file_stem(n, names.DISCOVER_SUFFIXES).alias("discover"), names.file_stem(n, names.PURGE_SUFFIXES).alias("purge"), names.file_stem(n).alias("every"))
 
 
-@query("SELECT path, regexp_replace('numpy_all: ' || path, '(derivatives/)([^/]+)(/crops(?:/[^/]+)*/2mm)', '\\1v2\\3') AS line FROM (SELECT replace(path, 'derivatives/', 'derivatives/old/') AS path FROM files)")
+@query("SELECT path, regexp_replace('numpy_all: ' || path, '(derivatives/)([^/]+)(/crops(?:/[^/]+)*/2mm)', '\\1' || CASE WHEN length(path) % 2 = 0 THEN 'published' ELSE 'v2' END || '\\3') AS line FROM (SELECT replace(path, 'derivatives/', 'derivatives/old/') AS path FROM files)")
 def rewrite_paths(s, d):
     path = F.replace("path", F.lit("derivatives/"), F.lit("derivatives/old/"))
-    folder = names.derivatives_folder(F.lit(False), F.lit("v2"))
+    folder = names.derivatives_folder(F.length("path") % 2 == 0, F.lit("published"), F.lit("v2"))
     return view(s, d, "files").select(path.alias("path")).select("path", names.rewrite_derivatives(F.concat(F.lit("numpy_all: "), "path"), folder).alias("line"))
 
 
