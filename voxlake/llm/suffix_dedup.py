@@ -352,7 +352,8 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-w AS (SELECT doc_id, i, x[2 * i + 1 : 2 * i + 100] AS s FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM d WHERE len(x) >= 100)),
+y AS (SELECT doc_id, c, x[2000 * c + 1 : 2000 * c + 2098] AS y FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2000 + 1)) AS c FROM d)),
+w AS (SELECT doc_id, 1000 * c + j AS i, y[2 * j + 1 : 2 * j + 100] AS s FROM (SELECT doc_id, c, y, unnest(range(0, len(y) // 2 - 49)) AS j FROM y WHERE len(y) >= 100)),
 m AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
 g AS (SELECT doc_id, i FROM w JOIN m USING (s) WHERE doc_id > first),
 e AS (SELECT *, max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM g),
