@@ -21,7 +21,7 @@ SPACE_MARK = "▁"
 #: Words longer than this are merged one at a time, by a heap.
 LONG = 96
 #: Words that a task remembers with their ids, at most.
-KNOWN = 800_000
+KNOWN = 500_000
 #: Ids that one vectorised step of decoding works on; a longer list is a step of its own.
 STEP_IDS = 300_000
 _models: dict = {}
@@ -74,7 +74,7 @@ class Pieces:
         self._fits = np.zeros(1 << 20, bool)
 
     def forget(self) -> None:
-        self.known = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def remember(self, key: np.ndarray, begin: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
         """Keeps the ids of words met, for the texts that follow; of more than KNOWN words, none."""
@@ -82,7 +82,7 @@ class Pieces:
             return self.forget()
         every = np.concatenate((self.known[0], key))
         order = np.argsort(every)
-        self.known = every[order], np.concatenate((self.known[1], begin))[order], np.concatenate((self.known[2], count))[order], ids
+        self.known = every[order], np.concatenate((self.known[1], begin.astype(np.int32)))[order], np.concatenate((self.known[2], count.astype(np.int32)))[order], ids
 
     def _splits(self) -> None:
         """For each piece the pair it is merged from, as its own text is merged, and its rank; pieces that merging doesn't reach are never candidates."""
@@ -294,13 +294,13 @@ def encode(pieces: Pieces, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nd
         own = np.flatnonzero((size == n) & ~hit & ~runs & (size <= LONG))
         if len(own):
             got, many = _encode_equal(pieces, points[start_1[own][:, None] + np.arange(n)])
-            ids.append(got)
+            ids.append(got.astype(np.int32))
             count[own] = many
             places.append(own)
     for k in np.flatnonzero(~hit & (runs | (size > LONG))):
         text = points[start_1[k] : start_1[k] + size[k]].astype(np.uint32).tobytes().decode("utf-32-le")
         got = np.array(merge(pieces, text), np.int64) if pieces.merges else _encode_equal(pieces, points[None, start_1[k] : start_1[k] + size[k]])[0]
-        ids.append(got)
+        ids.append(got.astype(np.int32))
         count[k] = len(got)
         places.append(np.array([k]))
     ids = np.concatenate(ids)
