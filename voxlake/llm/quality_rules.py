@@ -51,15 +51,15 @@ def word_chars(text: Column) -> Column:
     return F.char_length(F.translate(text, GAPS + " ", "")).cast("long")
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """What rules look at, by name, as expressions over the text."""
+def statistics(text: Column, words: Column) -> dict[str, Column]:
+    """What rules look at, by name, as expressions over the text and its words."""
     return {
-        "n_words": F.size(word_list(text)).cast("long"),
+        "n_words": F.size(words).cast("long"),
         "word_chars": word_chars(text),
         "n_symbols": count_of(text, SYMBOLS),
         "n_lines": F.size(F.split(text, "\n")),
         "n_dup_lines": duplicate_lines(text),
-        "n_repeat_words": repeat_words(word_list(text)),
+        "n_repeat_words": repeat_words(words),
         "capitals": count_of(text, CAPITALS),
         "exclamations": count_of(text, "!"),
     }
@@ -84,11 +84,12 @@ def plan_cascade(docs: DataFrame, rules: dict[str, Rule], sample_rows: int = SAM
     if not total:
         return [{"name": n, "cost": 0.0, "share": 0.0} for n in rules]
     sample = docs.select(F.coalesce("text", F.lit("")).alias("text")).sample(min(1.0, sample_rows / total), seed=17).persist()
-    seen, given = max(1, sample.count()), statistics(F.col("text"))
+    seen, text = max(1, sample.count()), F.col("text")
     found = []
     for name, rule in rules.items():
         began = time.perf_counter()
-        rejected = sample.agg(F.count_if(rule(given))).first()[0]
+        verdict = let(word_list(text), lambda w: rule(statistics(text, w)))  # noqa: B023
+        rejected = sample.agg(F.count_if(verdict)).first()[0]
         found.append({"name": name, "cost": time.perf_counter() - began, "share": rejected / seen})
     sample.unpersist()
     return sorted(found, key=lambda r: (-r["share"] / r["cost"], r["name"]))
@@ -104,7 +105,8 @@ def cascade(plan: list[dict], rules: dict[str, Rule], given: dict[str, Column])
 
 def filter_documents(docs: DataFrame, rules: dict[str, Rule] = DEFAULT_RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of `docs` that every rule lets pass, with all their columns. Null and empty texts have few words; repeated rows are judged alike; an empty table stays empty."""
-    return docs.where(cascade(plan_cascade(docs, rules, sample_rows), rules, statistics(F.coalesce(docs["text"], F.lit("")))).isNull())
+    plan, text = plan_cascade(docs, rules, sample_rows), F.coalesce(docs["text"], F.lit(""))
+    return docs.where(let(word_list(text), lambda w: cascade(plan, rules, statistics(text, w)).isNull()))
 
 
 def measure(docs: DataFrame, rules: dict[str, Rule] = DEFAULT_RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -117,7 +119,7 @@ def measure(docs: DataFrame, rules: dict[str, Rule] = DEFAULT_RULES, sample_rows
     base = ("few_words", "repeated_words")
     rest = {n: r for n, r in rules.items() if n not in base}
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    given = statistics(F.col("text"))
+    given = statistics(F.col("text"), word_list(F.col("text")))
     counts = let(word_list(F.col("text")), lambda w: F.struct(F.size(w).cast("long"), repeat_words(w), given["word_chars"], given["n_symbols"], given["n_dup_lines"]))
     # the generator keeps the optimizer from evaluating the counts once for each use
     names = ["n_words", "n_repeat_words", "word_chars", "n_symbols", "n_dup_lines"]
