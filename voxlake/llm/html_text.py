@@ -45,6 +45,8 @@ LABELLED = [
     (0, 0, 0, 40, 0.0, 30, 0.0, 50, 0.0, 1), (0, 0, 0, 90, 0.05, 2, 1.0, 60, 0.0, 1), (0, 0, 0, 25, 0.0, 70, 0.0, 5, 0.0, 1), (0, 0, 0, 16, 0.0, 40, 0.0, 35, 0.1, 1),
     (0, 0, 0, 60, 0.2, 80, 0.0, 30, 0.0, 1), (0, 0, 0, 7, 0.0, 60, 0.0, 55, 0.0, 1), (0, 0, 0, 3, 0.0, 50, 0.0, 70, 0.0, 1), (0, 0, 1, 7, 0.0, 3, 1.0, 60, 0.0, 1),
     (0, 0, 1, 4, 0.0, 50, 0.0, 45, 0.0, 1), (0, 0, 1, 2, 0.0, 2, 1.0, 2, 1.0, 0), (0, 0, 0, 30, 0.7, 5, 1.0, 6, 1.0, 0), (0, 0, 0, 18, 0.0, 3, 0.0, 40, 0.0, 1),
+    (0, 0, 0, 61, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 0, 20, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 0, 35, 0.1, 3, 1.0, 2, 1.0, 1), (0, 0, 0, 2, 0.0, 0, 0.0, 0, 0.0, 0),
+    (0, 0, 0, 2, 1.0, 1, 1.0, 40, 0.0, 0), (0, 0, 0, 6, 1.0, 2, 1.0, 80, 0.0, 0), (0, 0, 0, 9, 0.8, 0, 0.0, 120, 0.0, 0), (0, 0, 0, 1, 1.0, 60, 0.0, 70, 0.0, 0),
 ]
 
 
