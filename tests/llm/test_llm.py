@@ -170,6 +170,16 @@ def test_fingerprints(table, docs, empty):
     assert fingerprints.fingerprint(empty).count() == 0
 
 
+@pytest.mark.parametrize("n", [62, 63, 64, 70])
+def test_likeness_of_near_copies_of_every_length(spark, n):
+    rng = random.Random(n)
+    texts = [" ".join(rng.choice(VOCABULARY) + str(rng.randrange(99)) for _ in range(n)) for _ in range(20)]
+    pairs = spark.createDataFrame([(t, t + " more", o) for t, o in zip(texts, texts[1:] + texts[:1], strict=True)], "a string, b string, c string")
+    mark = {c: fingerprints.marks(F.col(c)) for c in "abc"}
+    got = pairs.select(fingerprints.likeness(mark["a"], mark["b"]).alias("near"), fingerprints.likeness(mark["c"], mark["b"]).alias("far")).collect()
+    assert min(r.near for r in got) > 0.8 and max(r.far for r in got) < 0.2
+
+
 def test_next_document_across_blocks(spark):
     ids = [1, 2, 511, 512, 513, 1024, 5000, 5001, 70000, None]
     rows = frame(spark, [(i, f"t{i}") for i in ids]).select("doc_id", "text")

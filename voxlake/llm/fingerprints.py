@@ -35,20 +35,31 @@ def syncmers(units: Column, k: int, s: int) -> Column:
     return let(units, lambda u: F.when(F.size(u) == 0, none).when(F.size(u) < k, whole(u)).otherwise(let(grams(u), chosen)))
 
 
-def anchors(text: Column) -> Column:
-    """The distinct anchors of a text, in the order of their first occurrence."""
+def marks(text: Column) -> Column:
+    """(anchors, of_words, short): the distinct anchors of a text, in the order of their first occurrence, how many of them, the first ones, are of words, and whether the rest, of code points, was taken."""
 
     def all_(ws: Column) -> Column:
         chars = F.when(F.size(ws) < SHORT, F.filter(F.split(text, ""), lambda c: c != "")).otherwise(F.array().cast("array<string>"))
-        return F.array_distinct(F.concat(syncmers(ws, WORD_K, WORD_S), syncmers(chars, CHAR_K, CHAR_S)))
+        own = lambda w: F.struct(F.array_distinct(F.concat(w, syncmers(chars, CHAR_K, CHAR_S))).alias("anchors"), F.size(w).alias("of_words"), (F.size(ws) < SHORT).alias("short"))
+        return let(F.array_distinct(syncmers(ws, WORD_K, WORD_S)), own)
 
     return let(word_list(text), all_)
 
 
+def anchors(text: Column) -> Column:
+    """The distinct anchors of a text, in the order of their first occurrence."""
+    return marks(text)["anchors"]
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """2 |A and B| / (|A| + |B|) of two sets of anchors; 1 for two empty ones."""
-    both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise(F.lit(2.0) * F.size(F.array_intersect(a, b)) / both)
+    """2 |A and B| / (|A| + |B|) of two texts' `marks`, over the kinds of anchors that both texts have; 1 for two empty sets."""
+
+    def of(x: Column, y: Column) -> Column:
+        both = F.size(x) + F.size(y)
+        return F.when(both == 0, F.lit(1.0)).otherwise(F.lit(2.0) * F.size(F.array_intersect(x, y)) / both)
+
+    words = lambda m: F.slice(m["anchors"], F.lit(1), m["of_words"])
+    return F.when(a["short"] == b["short"], of(a["anchors"], b["anchors"])).otherwise(of(words(a), words(b)))
 
 
 def as_text(a: Column) -> Column:
@@ -81,13 +92,13 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    marked = with_next(docs.withColumn("anchors", anchors(F.col("text"))), ["text", "anchors"])
+    marked = with_next(docs.withColumn("marks", marks(F.col("text"))), ["text", "marks"])
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))
-    pair = marked.select("doc_id", n.cast("long").alias("n_chars"), "anchors", "next_anchors", F.inline(F.array(F.struct(edited.alias("edited")))))
-    pair = pair.select("*", F.inline(F.array(F.struct(anchors(F.col("edited")).alias("edited_anchors")))))
+    pair = marked.select("doc_id", n.cast("long").alias("n_chars"), "marks", "next_marks", F.inline(F.array(F.struct(edited.alias("edited")))))
+    pair = pair.select("*", F.inline(F.array(F.struct(marks(F.col("edited")).alias("edited_marks")))))
     return pair.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("anchors")).alias("fingerprint"), as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
-        likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"), likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("marks.anchors")).alias("fingerprint"), as_text(F.col("edited_marks.anchors")).alias("edited_fingerprint"),
+        likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"), likeness(F.col("marks"), F.col("next_marks")).alias("near_next"),
     )
