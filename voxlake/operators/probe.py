@@ -43,8 +43,11 @@ def auc(scores: DataFrame, keys: list[str] = ROI) -> DataFrame:
     return out.select(*keys, "n", F.when((F.col("pos") > 0) & (neg > 0), F.round((F.col("ranks") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * neg), 6)).alias("auc"))
 
 
-def label_probe(embeddings: DataFrame, labels: DataFrame, fold: int = 0, k: int = 5) -> DataFrame:
-    """AUC for each region of a linear support vector machine, fitted on all folds but one and scored on that one."""
+def label_probe(embeddings: DataFrame, labels: DataFrame, k: int = 5) -> DataFrame:
+    """AUC for each region of linear support vector machines: the rows of each of the k folds are scored by one fitted on the other folds, and all scores are ranked together.
+
+    A fold whose other folds don't hold both labels has no machine; its rows aren't scored and not counted in n.
+    """
     from pyspark.ml.classification import LinearSVC
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
@@ -52,11 +55,13 @@ def label_probe(embeddings: DataFrame, labels: DataFrame, fold: int = 0, k: int
     out = None
     for r in rows.select(*ROI).distinct().collect():  # as many as there are regions
         own = rows.where((F.col("region") == r["region"]) & (F.col("hemi") == r["hemi"]))
-        if own.where(F.col("fold") != fold).select("label").distinct().count() < 2:
-            continue
-        model = LinearSVC(maxIter=10, regParam=0.1).fit(own.where(F.col("fold") != fold))
-        scored = model.transform(own.where(F.col("fold") == fold)).select(*ROI, F.col("label").cast("int").alias("label"), vector_to_array("rawPrediction")[1].alias("score"))
-        out = scored if out is None else out.unionByName(scored)
+        for fold in range(k):
+            others = own.where(F.col("fold") != fold)
+            if others.select("label").distinct().count() < 2:
+                continue
+            model = LinearSVC(maxIter=10, regParam=0.1).fit(others)
+            scored = model.transform(own.where(F.col("fold") == fold)).select(*ROI, F.col("label").cast("int").alias("label"), vector_to_array("rawPrediction")[1].alias("score"))
+            out = scored if out is None else out.unionByName(scored)
     return auc(out if out is not None else rows.select(*ROI, F.col("label").cast("int").alias("label"), F.lit(0.0).alias("score")).limit(0))
 
 

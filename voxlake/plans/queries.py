@@ -732,7 +732,7 @@ def projection_pairs(s, d):
 
 @query()
 def incremental_project(s, d):
-    """Embeddings arrive in two slices and once not at all; each subject is projected once."""
+    """Embeddings arrive in two slices, which overlap and hold all between them, and once not at all; each subject is projected once."""
     from voxlake.streaming.intake import project_new_files
 
     base = shared_folder(s)
@@ -740,7 +740,7 @@ def incremental_project(s, d):
     model = projection.project_fit(v)
     model.write.parquet(f"{base}/model")
     model = s.read.parquet(f"{base}/model")
-    for part in ("vec_id % 2 = 0", "vec_id % 3 <> 1", None):
+    for part in ("vec_id % 2 = 0", "vec_id % 2 <> 0 OR vec_id % 3 <> 1", None):
         if part:
             v.where(part).drop("vec_id").write.mode("append").parquet(f"{base}/in")
         project_new_files(s, "region string, hemi string, subject_id string, vec array<float>", f"{base}/in", model, f"{base}/out", f"{base}/checkpoint")
