@@ -38,7 +38,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _with_texts(docs, kept_text(remove_repeats(docs)))
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    out = kept_text(remove_repeats(docs, others=others), others).withColumn("n_chars", F.char_length("text"))
+    return out.select(*(F.col(f.name).cast(f.dataType) for f in docs.schema))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

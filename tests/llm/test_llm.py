@@ -120,6 +120,35 @@ def test_suffix_dedup_null_id_and_repeated_rows(spark):
     assert got == {None: 0, 2: len(text.encode()), 3: 0}
 
 
+def test_suffix_dedup_different_texts_under_one_id(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(rng.choice(VOCABULARY) + str(rng.randrange(999)) for _ in range(n))
+    a, b, c, d, e = (text(30) for _ in range(5))
+    rows = [(None, a), (None, "short"), (None, f"{b} {a}"), (2, f"{text(4)} {c} {text(90)}"), (5, f"{text(9)} {a}"), (5, c), (5, text(50)), (5, d), (7, d), (7, e), (7, e), (9, f"{e}{b}")]
+    raw = [(-1 if i is None else i, t.encode()) for i, t in rows]
+    first = {}
+    for i, t in sorted(raw):
+        for p in range(len(t) - 49):
+            first.setdefault(t[p : p + 50], i)
+    want = []
+    for i, t in raw:
+        gone = np.zeros(len(t), bool)
+        for p in range(len(t) - 49):
+            gone[p : p + 50] |= first[t[p : p + 50]] < i
+        want.append((i, bytes(np.frombuffer(t, np.uint8)[~gone])))
+    got = [(-1 if r.doc_id is None else r.doc_id, bytes(r.kept)) for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()]
+    assert sorted(got) == sorted(want) and sum(len(t) for _, t in raw) > sum(len(k) for _, k in want) + 400
+
+
+def test_suffix_stage_keeps_rows_of_one_id_apart(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rows = [(None, "first text", "a"), (None, "second, longer text", "b"), (3, "third", "c"), (3, "fourth", "d")]
+    docs = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = pipeline.suffix_dedup(spark, docs, "")
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    assert sorted((r.text, r.source, r.n_chars) for r in out.collect()) == sorted((t, s, len(t)) for _, t, s in rows)
+
+
 def test_suffix_dedup_text_of_cut_characters(spark):
     rows = spark.createDataFrame([(1, "aé".encode()[:2] + b"b")], "doc_id long, kept binary")
     assert suffix_dedup.kept_text(rows).first()["text"] == "ab"

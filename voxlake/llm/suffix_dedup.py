@@ -118,9 +118,9 @@ def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     span = length - SAMPLE + 1
 
     def emit(held):
-        name, text, doc, spot = (np.concatenate(x) for x in zip(*held, strict=True))
+        name, text, doc, tag, spot = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.argsort(name, kind="stable")
-        name, text, doc, spot = name[order], text[order], doc[order], spot[order]
+        name, text, doc, tag, spot = name[order], text[order], doc[order], tag[order], spot[order]
         cut = _runs(name)
         size = np.diff(np.append(cut, len(name)))
         mixed = np.minimum.reduceat(text, cut) != np.maximum.reduceat(text, cut)
@@ -129,8 +129,8 @@ def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         ask[cut[mixed]] = True
         text = text.copy()
         text[cut[mixed]] = 0  # differs from the digest of any text
-        columns = {"names": (name[ask] >> np.uint64(24)).astype(np.uint32), "texts": text[ask], "docs": doc[ask], "spots": spot[ask]}
-        return _packed((name[ask] % np.uint64(buckets)).astype(np.int64), buckets, columns, {"known_docs": doc[known], "known_spots": spot[known]})
+        columns = {"names": (name[ask] >> np.uint64(24)).astype(np.uint32), "texts": text[ask], "docs": doc[ask], "tags": tag[ask], "spots": spot[ask]}
+        return _packed((name[ask] % np.uint64(buckets)).astype(np.int64), buckets, columns, {"known_docs": doc[known], "known_tags": tag[known], "known_spots": spot[known]})
 
     def sample(batches):
         held, size = [], 0
@@ -143,7 +143,7 @@ def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 at = np.flatnonzero((_slide(least, span, np.maximum, back=True) == name) & (name < np.uint64(0xFFFFFFFFFFFFFFFF)))
                 row = np.searchsorted(offsets, at, "right") - 1
                 digest = np.array([int.from_bytes(hashlib.blake2b(data[a:b], digest_size=4).digest(), "little") | 1 for a, b in zip(offsets, offsets[1:], strict=False)], np.uint32)
-                held.append((name[at], digest[row], rows.column("doc_id").to_numpy()[row], (at - offsets[row]).astype(np.int32)))
+                held.append((name[at], digest[row], rows.column("doc_id").to_numpy()[row], rows.column("tag").to_numpy()[row], (at - offsets[row]).astype(np.int32)))
                 size += len(at)
                 if size >= BLOCK:
                     yield emit(held)
@@ -151,11 +151,11 @@ def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         if size:
             yield emit(held)
 
-    return docs.select("doc_id", "text").mapInArrow(sample, "bucket int, names binary, texts binary, docs binary, spots binary, known_docs binary, known_spots binary")
+    return docs.select("doc_id", "tag", "text").mapInArrow(sample, "bucket int, names binary, texts binary, docs binary, tags binary, spots binary, known_docs binary, known_tags binary, known_spots binary")
 
 
 def _shared_samples(samples: DataFrame) -> DataFrame:
-    """(doc_id, spot) of samples whose name two texts share."""
+    """(doc_id, tag, spot) of samples whose name two texts share."""
 
     def keep(rows: pd.DataFrame) -> pd.DataFrame:
         name, text = _column(rows.names, np.uint32), _column(rows.texts, np.uint32)
@@ -167,10 +167,11 @@ def _shared_samples(samples: DataFrame) -> DataFrame:
             at = order[np.repeat(mixed, np.diff(np.append(cut, len(order))))]
             at = at[text[at] > 0]
         doc = np.concatenate((_column(rows.docs, np.int64)[at], _column(rows.known_docs, np.int64)))
+        tag = np.concatenate((_column(rows.tags, np.int64)[at], _column(rows.known_tags, np.int64)))
         spot = np.concatenate((_column(rows.spots, np.int32)[at], _column(rows.known_spots, np.int32)))
-        return pd.DataFrame({"doc_id": doc, "spot": spot})
+        return pd.DataFrame({"doc_id": doc, "tag": tag, "spot": spot})
 
-    return samples.groupBy("bucket").applyInPandas(keep, "doc_id long, spot int")
+    return samples.groupBy("bucket").applyInPandas(keep, "doc_id long, tag long, spot int")
 
 
 def _block(doc, blocks: int):
@@ -185,15 +186,15 @@ def _surroundings(suspects: DataFrame, length: int, buckets: int) -> DataFrame:
     before = length - SAMPLE
 
     def emit(held):
-        digest, name, doc, spot, left, right, raw = (np.concatenate(x) for x in zip(*held, strict=True))
+        digest, name, doc, tag, spot, left, right, raw = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((doc, digest))
         cut = _runs(digest[order])
         first = np.repeat(doc[order][cut], np.diff(np.append(cut, len(order))))
         known = np.zeros(len(doc), bool)
         known[order] = doc[order] > first
         ask = ~known
-        columns = {"docs": doc[ask], "spots": spot[ask], "lefts": left[ask], "rights": right[ask], "raws": raw[ask]}
-        direct = {"known_docs": doc[known], "known_starts": (spot - left)[known].astype(np.int32), "known_counts": (left.astype(np.int32) + right + 1 - length)[known]}
+        columns = {"docs": doc[ask], "tags": tag[ask], "spots": spot[ask], "lefts": left[ask], "rights": right[ask], "raws": raw[ask]}
+        direct = {"known_docs": doc[known], "known_tags": tag[known], "known_starts": (spot - left)[known].astype(np.int32), "known_counts": (left.astype(np.int32) + right + 1 - length)[known]}
         return _packed((name[ask] % np.uint64(buckets)).astype(np.int64), buckets, columns, direct)
 
     def gather(batches):
@@ -210,7 +211,7 @@ def _surroundings(suspects: DataFrame, length: int, buckets: int) -> DataFrame:
                 name = span_hash(codes, at, at + SAMPLE)
                 digest = mix(span_hash(codes, at - left, at + right) + left)
                 raw = data[np.clip(at[:, None] + np.arange(-before, length), 0, len(data) - 1)] if len(at) else np.zeros((0, before + length), np.uint8)
-                held.append((digest, name, rows.column("doc_id").to_numpy()[row], spot.astype(np.int32), left, right, raw))
+                held.append((digest, name, rows.column("doc_id").to_numpy()[row], rows.column("tag").to_numpy()[row], spot.astype(np.int32), left, right, raw))
                 size += len(at)
                 if size >= BLOCK // 4:
                     yield emit(held)
@@ -218,15 +219,15 @@ def _surroundings(suspects: DataFrame, length: int, buckets: int) -> DataFrame:
         if size:
             yield emit(held)
 
-    return suspects.mapInArrow(gather, "bucket int, docs binary, spots binary, lefts binary, rights binary, raws binary, known_docs binary, known_starts binary, known_counts binary")
+    return suspects.mapInArrow(gather, "bucket int, docs binary, tags binary, spots binary, lefts binary, rights binary, raws binary, known_docs binary, known_tags binary, known_starts binary, known_counts binary")
 
 
 def _covered(around: DataFrame, length: int, blocks: int) -> DataFrame:
-    """(block, docs, starts, counts): runs of positions whose first `length` bytes also start in a smaller document."""
+    """(block, docs, tags, starts, counts): runs of positions whose first `length` bytes also start in a smaller document."""
     before, half = length - SAMPLE, length // 2
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        doc, spot = _column(rows.docs, np.int64), _column(rows.spots, np.int32)
+        doc, tag, spot = _column(rows.docs, np.int64), _column(rows.tags, np.int64), _column(rows.spots, np.int32)
         left, right = _column(rows.lefts, np.uint8), _column(rows.rights, np.uint8)
         raw = _column(rows.raws, np.uint8).reshape(-1, before + length)
         starts = np.arange(before + 1)
@@ -250,36 +251,36 @@ def _covered(around: DataFrame, length: int, blocks: int) -> DataFrame:
         step = np.diff(np.pad(gone[:-1].reshape(-1, before + 1), ((0, 0), (1, 1))).astype(np.int8), axis=1)
         i, c = np.nonzero(step == 1)
         _, end = np.nonzero(step == -1)
-        doc = np.concatenate((doc[i], _column(rows.known_docs, np.int64)))
+        doc, tag = np.concatenate((doc[i], _column(rows.known_docs, np.int64))), np.concatenate((tag[i], _column(rows.known_tags, np.int64)))
         start = np.concatenate(((spot[i] - before + c).astype(np.int32), _column(rows.known_starts, np.int32)))
         count = np.concatenate(((end - c).astype(np.int32), _column(rows.known_counts, np.int32)))
-        block = _block(doc, blocks)
-        order = np.lexsort((start, doc, block))
+        block = _block(doc ^ tag, blocks)
+        order = np.lexsort((start, tag, doc, block))
         some, begin = np.unique(block[order], return_index=True)
         ends = np.append(begin[1:], len(doc))
         part = lambda x: [_pack(x[order[a:b]]) for a, b in zip(begin, ends, strict=False)]
-        return pd.DataFrame({"block": some.astype(np.int32), "docs": part(doc), "starts": part(start), "counts": part(count)})
+        return pd.DataFrame({"block": some.astype(np.int32), "docs": part(doc), "tags": part(tag), "starts": part(start), "counts": part(count)})
 
-    return around.groupBy("bucket").applyInPandas(judge, "block int, docs binary, starts binary, counts binary")
+    return around.groupBy("bucket").applyInPandas(judge, "block int, docs binary, tags binary, starts binary, counts binary")
 
 
 def _by_document(found: DataFrame) -> DataFrame:
-    """(doc_id, starts, counts): the runs of each document, packed."""
+    """(doc_id, tag, starts, counts): the runs of each document, packed."""
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
-        doc, start, count = _column(rows.docs, np.int64), _column(rows.starts, np.int32), _column(rows.counts, np.int32)
-        order = np.lexsort((start, doc))
-        doc, start, count = doc[order], start[order], count[order]
-        cut = _runs(doc) if len(doc) else order
+        doc, tag, start, count = _column(rows.docs, np.int64), _column(rows.tags, np.int64), _column(rows.starts, np.int32), _column(rows.counts, np.int32)
+        order = np.lexsort((start, tag, doc))
+        doc, tag, start, count = doc[order], tag[order], start[order], count[order]
+        cut = _runs(doc, tag) if len(doc) else order
         ends = np.append(cut[1:], len(doc))
         part = lambda x: [_pack(x[a:b]) for a, b in zip(cut, ends, strict=False)]
-        return pd.DataFrame({"doc_id": doc[cut], "starts": part(start), "counts": part(count)})
+        return pd.DataFrame({"doc_id": doc[cut], "tag": tag[cut], "starts": part(start), "counts": part(count)})
 
-    return found.groupBy("block").applyInPandas(gather, "doc_id long, starts binary, counts binary")
+    return found.groupBy("block").applyInPandas(gather, "doc_id long, tag long, starts binary, counts binary")
 
 
-def _cut(marked: DataFrame, length: int) -> DataFrame:
-    """The texts without what (copy, starts, counts) say is covered."""
+def _cut(marked: DataFrame, length: int, others: list[str]) -> DataFrame:
+    """The texts without what (copy, starts, counts) say is covered; `others` stay as they are."""
 
     def cut(batches):
         for batch in batches:
@@ -302,47 +303,56 @@ def _cut(marked: DataFrame, length: int) -> DataFrame:
                 n_removed.append(n - len(raw))
                 spans.append(edge.tolist())
                 kept.append(raw.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            own = [batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*own, *(batch.column(c) for c in others)], names=["doc_id", "n_bytes", "n_removed", "spans", "kept", *others])
 
-    return marked.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary")
+    return marked.mapInArrow(cut, ", ".join(["doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary", *_kinds(marked, others)]))
 
 
-def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+def _kinds(rows: DataFrame, columns: list[str]) -> list[str]:
+    return [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns]
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, others: tuple[str, ...] = ()) -> DataFrame:
     """Removes from each text the bytes covered by a `length`-byte string that also starts in a document with a smaller doc_id.
 
     Texts are UTF-8 bytes; matches do not cross documents; strings are judged on the input. Reads doc_id and text of `docs`. Returns doc_id, n_bytes,
-    n_removed, spans (array of alternating starts and ends of the maximal removed runs), kept (the remaining bytes).
+    n_removed, spans (array of alternating starts and ends of the maximal removed runs), kept (the remaining bytes), and the columns `others` of the row.
 
-    A null or empty text has no bytes. doc_id is the key: rows repeating a doc_id are taken for one document, none removes bytes of
-    another, and each comes back. Rows with a null doc_id are one document, smaller than all others. An empty table gives an empty result.
+    A null or empty text has no bytes. Rows repeating a doc_id are texts of one document: none removes bytes of
+    another, each is judged by its own text, and each comes back. Rows with a null doc_id are one document, smaller than all others. An empty table
+    gives an empty result. A row is known by its doc_id and tag, a hash of the text; where no doc_id is repeated, tags are 0.
     """
     if not SAMPLE < length < 128:
         raise ValueError(f"length is between {SAMPLE + 1} and 127")
-    null_id = -(1 << 63)
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    null_id, row, others = -(1 << 63), ["doc_id", "tag"], list(others)
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *others)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    repeated = not docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty()
+    docs = docs.withColumn("tag", F.xxhash64("text") if repeated else F.lit(0).cast("long"))
     buckets = max(4, -(-total // BUCKET_BYTES))
     shared = staged(_shared_samples(_samples(docs, length, buckets)))
-    shared = shared.groupBy("doc_id").agg(F.collect_list("spot").alias("spots"))
+    shared = shared.groupBy(*row).agg(F.collect_set("spot").alias("spots"))
 
-    copies = docs.select("doc_id", F.md5("text").alias("digest"), F.octet_length("text").alias("n"))
+    copies = docs.select(*row, F.md5("text").alias("digest"), F.octet_length("text").alias("n"))
     first = staged(copies.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows"))
-    repeats = staged(copies.join(first, "digest").where("doc_id > first").groupBy("doc_id").agg(F.first("n").alias("n")))
+    repeats = staged(copies.join(first, "digest").where("doc_id > first").groupBy(*row).agg(F.first("n").alias("n")))
     # both uses of the texts read the same exchange
-    suspects = docs.join(shared.join(repeats, "doc_id", "left_anti"), "doc_id").select("doc_id", "text", "spots")
+    suspects = docs.join(shared.join(repeats, row, "left_anti"), row).select(*row, "text", "spots", *others)
     found = _by_document(_covered(_surroundings(suspects, length, buckets), length, buckets))
-    marked = docs.join(found, "doc_id", "left").join(repeats, "doc_id", "left").select("doc_id", "text", F.col("n").isNotNull().alias("copy"), "starts", "counts")
-    return _cut(marked, length).withColumn("doc_id", F.nullif("doc_id", F.lit(null_id)))
+    marked = docs.join(found, row, "left").join(repeats, row, "left").select("doc_id", "text", F.col("n").isNotNull().alias("copy"), "starts", "counts", *others)
+    return _cut(marked, length, others).withColumn("doc_id", F.nullif("doc_id", F.lit(null_id)))
 
 
-def kept_text(cut: DataFrame) -> DataFrame:
-    """(doc_id, text) of what remove_repeats returns: the bytes kept as text; bytes of a character that lost some of them are left out."""
+def kept_text(cut: DataFrame, others: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text) and the columns `others` of what remove_repeats returns: the bytes kept as text; bytes of a character that lost some of them are left out."""
 
     def read(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([(x.as_py() or b"").decode("utf-8", "ignore") for x in batch.column("kept")], pa.string())], names=["doc_id", "text"])
+            text = pa.array([(x.as_py() or b"").decode("utf-8", "ignore") for x in batch.column("kept")], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, *(batch.column(c) for c in others)], names=["doc_id", "text", *others])
 
-    return cut.select("doc_id", "kept").mapInArrow(read, "doc_id long, text string")
+    return cut.select("doc_id", "kept", *others).mapInArrow(read, ", ".join(["doc_id long, text string", *_kinds(cut, list(others))]))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
