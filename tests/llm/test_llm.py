@@ -329,6 +329,29 @@ def test_html(spark):
     assert html_text.extract(pages).columns == ["page_id", "url", "text"] and html_text.extract(pages.limit(0)).count() == 0
 
 
+WHOLE = "The first paragraph of an article has a good many words, so that nobody could take it for a menu. " * 2
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content with-sidebar'", "div class='has-sidebar'", "div class='page no-sidebar'", "div id='page' class='more'", "form id=f", "div class='sidebar-left'"])
+@pytest.mark.parametrize("inner", ["article", "main"])
+def test_html_article_in_a_layout_wrapper(wrapper, inner):
+    if "sidebar-left" in wrapper and inner == "article":
+        inner = "main"
+    page = f"<body><{wrapper}><nav><a href=1>One</a></nav><{inner}><h1>A title</h1><p>{WHOLE}<p class=share>Share this with all of your friends today<p>{WHOLE}</{inner}><aside><article><p>{WHOLE}</article></aside></{wrapper.split()[0]}>"
+    assert html_text.main_text(page, html_text.default_tree()) == f"A title {WHOLE}{WHOLE}".strip()
+
+
+@pytest.mark.parametrize("wrapper", ["div class='with-sidebar'", "div class='page no-ads'", "div class='site_has_nav'"])
+def test_html_text_in_a_wrapper_named_for_its_layout(wrapper):
+    assert html_text.main_text(f"<body><{wrapper}><p>{WHOLE}<p>{WHOLE}</div>", html_text.default_tree()) == f"{WHOLE}{WHOLE}".strip()
+
+
+@pytest.mark.parametrize("wrapper", ["section id=comments", "div class=related", "footer", "div hidden", "nav"])
+def test_html_articles_of_side_lists_stay_out(wrapper):
+    page = f"<body><article><p>{WHOLE}</article><{wrapper}><article class=comment><p>Other words. {WHOLE}</article></{wrapper.split()[0]}>"
+    assert html_text.main_text(page, html_text.default_tree()) == WHOLE.strip()
+
+
 def test_html_tree_learns_its_table():
     table = np.array(html_text.LABELLED)
     tree = html_text.default_tree()

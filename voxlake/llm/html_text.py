@@ -27,6 +27,14 @@ _SIDE_NAME = re.compile(
     r"|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|newsletter|subscribe|signup|login|search|tags?|copyright|disclaimer|pagination|pager|complementary|contentinfo|toolbar)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Names that say what a layout has or lacks, not what the element is.
+_LAYOUT_NAME = re.compile(r"(?:(?<=[\s_-])|^)(?:has|with|without|no)[_-][\w-]*", re.IGNORECASE)
+#: Elements and names of lists in which articles are comments or teasers: an article in them is no main text.
+_NEVER = {"nav", "footer", "aside", "menu", "dialog"}
+_NEVER_NAME = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|promo\w*|sponsor\w*|popup|modal|sidebar|widget|comments?|replies|respond|disqus|related|recommend\w*|nav|navbar|navigation|footer|complementary|contentinfo)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
 _MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|main|post|entry|story|content|body-?text)(?:$|[\s_-])", re.IGNORECASE)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -46,6 +54,7 @@ LABELLED = [
     (0, 0, 0, 60, 0.2, 80, 0.0, 30, 0.0, 1), (0, 0, 0, 7, 0.0, 60, 0.0, 55, 0.0, 1), (0, 0, 0, 3, 0.0, 50, 0.0, 70, 0.0, 1), (0, 0, 1, 7, 0.0, 3, 1.0, 60, 0.0, 1),
     (0, 0, 1, 4, 0.0, 50, 0.0, 45, 0.0, 1), (0, 0, 1, 2, 0.0, 2, 1.0, 2, 1.0, 0), (0, 0, 0, 30, 0.7, 5, 1.0, 6, 1.0, 0), (0, 0, 0, 18, 0.0, 3, 0.0, 40, 0.0, 1),
     (0, 0, 0, 61, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 0, 20, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 0, 35, 0.1, 3, 1.0, 2, 1.0, 1), (0, 0, 0, 2, 0.0, 0, 0.0, 0, 0.0, 0),
+    (0, 1, 0, 40, 0.0, 4, 1.0, 35, 0.0, 1), (0, 1, 1, 5, 0.0, 4, 1.0, 40, 0.0, 1), (0, 1, 0, 60, 0.0, 40, 0.0, 6, 0.5, 1), (0, 0, 0, 50, 0.0, 4, 1.0, 45, 0.0, 1),
     (0, 0, 0, 2, 1.0, 1, 1.0, 40, 0.0, 0), (0, 0, 0, 6, 1.0, 2, 1.0, 80, 0.0, 0), (0, 0, 0, 9, 0.8, 0, 0.0, 120, 0.0, 0), (0, 0, 0, 1, 1.0, 60, 0.0, 70, 0.0, 0),
 ]
 
@@ -82,7 +91,7 @@ def classify(tree: tuple, block: tuple) -> int:
 def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
     """The non-empty text blocks of a page, in order: (text, link density, side, main, heading)."""
     out, text, linked = [], [], []
-    stack: list[tuple[str, int, int]] = []
+    stack: list[tuple[str, int, int, str]] = []  # what an element adds to side and main, and what becomes of side at an article or main element in it
     side = main = heading = anchor = 0
     at, ends = 0, len(page)
 
@@ -124,7 +133,7 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
                     continue
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == name:
-                        for _, s, a in stack[k:]:
+                        for _, s, a, _ in stack[k:]:
                             side, main = side - s, main - a
                         heading -= sum(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack[k:])
                         del stack[k:]
@@ -148,18 +157,28 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
             if name in _VOID or m[3].endswith("/"):
                 continue
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
-                _, s, a = stack.pop()
+                _, s, a, _ = stack.pop()
                 side, main = side - s, main - a
             elif name not in ("p",) and stack and stack[-1][0] == "p":
-                _, s, a = stack.pop()
+                _, s, a, _ = stack.pop()
                 side, main = side - s, main - a
             given = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(m[3])} if m[3] else {}
             named = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}"
-            s = int((name in _SIDE and not (name == "header" and main)) or bool(_SIDE_NAME.search(named)) or "hidden" in given or given.get("aria-hidden") == "true" or bool(_HIDDEN.search(given.get("style", ""))))
+            own = _LAYOUT_NAME.sub(" ", named)
+            hidden = "hidden" in given or given.get("aria-hidden") == "true" or bool(_HIDDEN.search(given.get("style", "")))
+            by_name = bool(_SIDE_NAME.search(own))
+            s = int((name in _SIDE and not (name == "header" and main)) or by_name or hidden)
             a = int(name in ("article", "main") or bool(_MAIN_NAME.search(named)))
+            keeps = ""
             if name in ("body", "html", "article", "main"):
                 s = 0
-            stack.append((name, s, a))
+                if side and name in ("article", "main") and not any(x[3] == "all" or x[3] == name for x in stack):
+                    s = -side
+            elif name in _NEVER or hidden:
+                keeps = "all"
+            elif by_name and (_NEVER_NAME.search(own) or any(x[0] in ("article", "main") for x in stack)):
+                keeps = "article"
+            stack.append((name, s, a, keeps))
             side, main = side + s, main + a
             heading += name in ("h1", "h2", "h3", "h4", "h5", "h6")
     close()
