@@ -315,6 +315,56 @@ def test_classifiers_on_odd_tables(spark, table, docs, empty, module):
         assert score(empty, model).count() == 0
 
 
+def plain_toxicity(model, text):
+    """The machine's score by its definition: all pairs of the terms that it knows."""
+    data = np.frombuffer(((text or "") + " ").encode(), np.uint8)
+    place = {int(h): k for k, h in enumerate(model["ids"])}
+    own = [place[int(h)] for h in toxicity.terms(data, np.array([0, len(data)]))[0] if int(h) in place]
+    x = toxicity.SCALE / max(1, len(own)) ** 0.5
+    z = float(model["bias"]) + sum(model["w"][i] * x for i in own)
+    z += sum(float(model["v"][i] @ model["v"][j]) * x * x for k, i in enumerate(own) for j in own[k + 1 :])
+    return 1 / (1 + np.exp(-z))
+
+
+@pytest.fixture(scope="module")
+def meetings():
+    """Texts whose label depends on two words together: both or neither. No word tells anything alone."""
+    rng = random.Random(4)
+    out = []
+    for _ in range(4000):
+        words, a, b = [f"filler{rng.randrange(40)}" for _ in range(12)], rng.random() < 0.5, rng.random() < 0.5
+        words += [f"left{rng.randrange(3)}"] * a + [f"right{rng.randrange(3)}"] * b
+        rng.shuffle(words)
+        out.append((" ".join(words), int(a == b)))
+    return out
+
+
+def test_toxicity_learns_meetings_of_terms(spark, meetings, docs):
+    model = toxicity.fit(spark.createDataFrame(meetings[:3200], "text string, y int"), epochs=10)
+    rest = meetings[3200:]
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(frame(spark, [(i, t) for i, (t, _) in enumerate(rest)]), model).collect()}
+    assert sum((got[i] >= 0.5) == y for i, (_, y) in enumerate(rest)) > 0.85 * len(rest)
+    odd = [*rest[:20], *((t, 0) for _, t in docs), (None, 0), ("left1 right2 " * 200_000, 0)]
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(frame(spark, [(i, t) for i, (t, _) in enumerate(odd)]), model).collect()}
+    assert all(abs(got[i] - plain_toxicity(model, t)) < 1e-9 for i, (t, _) in enumerate(odd))
+
+
+def test_toxicity_of_long_documents_stays_finite(spark):
+    rng = random.Random(6)
+    rows = [(" ".join(f"w{rng.randrange(4000)}" for _ in range(rng.choice((20, 3000)))) + " scum" * (k % 3 == 0), int(k % 3 == 0)) for k in range(400)]
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, y int"))
+    assert all(np.isfinite(x).all() for x in model.values())
+
+
+def test_training_rows_within_their_bytes(spark):
+    docs = frame(spark, [(i, "x" * 1000) for i in range(20)] + [(20, None), (21, "y" * 5000)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(22)], "doc_id long, toxic int")
+    every = labelled.training_rows(docs, labels, "toxic", 100, 100_000)
+    assert every.count() == 22
+    some = [r.text for r in labelled.training_rows(docs, labels, "toxic", 100, 5500).collect()]
+    assert some and sum(len(t or "") for t in some) <= 5500
+
+
 PAGE = """<html><head><title>T</title><script>if (a < b) { x("<p>no</p>") }</script></head><body><header><a href=/>Home</a> Site name</header><nav><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></nav>
 <div class="cookie-notice">We use cookies, dear reader, and hope that you will agree to all of them at once.</div><article class=post><h1>A &amp; B&nbsp;title</h1><p>First <b>para</b>graph,<br>with a <a href=x>link</a> in it.
 <p>Second<!-- <p>hidden</p> --> one. <div class="ad">Buy this thing now, it is cheap and it is good and you need it.</div><style>p {}</style><p>Third &lt;one&gt; &#8212; end.</p></article>
