@@ -23,9 +23,7 @@ LOWER[65:91] += 32
 
 _RNG = np.random.default_rng(20240607)
 _BYTE_CODE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_PLACES = np.zeros(0, np.uint64)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -67,14 +65,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        n = 1 << (n - 1).bit_length()
-        for at, base in enumerate((_BASE, _BASE_INV)):
-            p = np.full(n, base, np.uint64)
-            p[0] = 1
-            _POWERS[at] = np.cumprod(p)
-    return _POWERS
+def places(n: int) -> np.ndarray:
+    """A fixed odd number for each of the first n places of a span, without a law that texts could be built to cancel."""
+    global _PLACES
+    if len(_PLACES) < n:
+        _PLACES = mix(np.arange(1, (1 << (n - 1).bit_length()) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    return _PLACES
 
 
 def steps(batch: pa.RecordBatch, column: str = "text", end: str = " ", most: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -95,11 +91,22 @@ def steps(batch: pa.RecordBatch, column: str = "text", end: str = " ", most: int
 
 
 def span_hash(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans [start, end) of a sequence of 64-bit codes, equal for equal spans wherever they stand."""
-    powers, inverse = span_powers(len(codes) + 1)
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * powers[: len(codes)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hashes of the spans [start, end) of a sequence of 64-bit codes, equal for equal spans wherever they stand: each code times the number of its place in the span, summed."""
+    size = ends - starts
+    longest, total = int(size.max(initial=0)), int(size.sum())
+    by = places(longest)
+    if total > 2 * len(codes) or longest < 8:  # spans overlap: place by place
+        out = np.zeros(len(starts), np.uint64)
+        for k in range(longest):
+            own = size > k
+            out[own] += codes[starts[own] + k] * by[k]
+    else:
+        first = np.cumsum(size) - size
+        place = np.arange(total) - np.repeat(first, size)
+        sums = np.zeros(total + 1, np.uint64)
+        np.cumsum(codes[np.repeat(starts, size) + place] * by[place], out=sums[1:])
+        out = sums[first + size] - sums[first]
+    return mix(out + size.astype(np.uint64))
 
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

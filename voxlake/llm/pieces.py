@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import mix, span_hash, span_powers, steps
+from voxlake.llm.common import mix, span_hash, steps
 
 SPACE_MARK = "▁"
 #: Words longer than this are merged one at a time, by a heap.
@@ -25,6 +25,14 @@ KNOWN = 500_000
 #: Ids that one vectorised step of decoding works on; a longer list is a step of its own.
 STEP_IDS = 300_000
 _models: dict = {}
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
 
 def _codes(points: np.ndarray) -> np.ndarray:
@@ -56,7 +64,10 @@ class Pieces:
         self.lengths = sorted(set(sizes) | {1}, key=sizes.count, reverse=True)
         points = np.array([ord(c) for c in "".join(self.id)], np.uint32)
         ends = np.cumsum([len(x) for x in self.id])
-        key = span_hash(_codes(points), np.concatenate(([0], ends[:-1])), ends)
+        # the hash of a piece as the sum that the substrings of a word are probed by; pieces are far too short for powers to cancel
+        size = np.array(sizes)
+        place = np.arange(len(points)) - np.repeat(ends - size, size)
+        key = mix(np.add.reduceat(_codes(points) * _powers(_BASE, max(sizes))[place], ends - size) + size.astype(np.uint64))
         order = np.argsort(key)
         self.key, self.key_id = key[order], np.array(list(self.id.values()), np.int32)[order]
         self._some = np.zeros(1 << 20, bool)
@@ -195,7 +206,7 @@ def load(path: str) -> Pieces:
 def _encode_equal(pieces: Pieces, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of words of one length, one in each row of `points`: (ids, how many of each word); unknown characters as -1 - code point."""
     n, size = points.shape
-    powers, inverse = span_powers(size + 1)
+    powers, inverse = _powers(_BASE, size + 1), _powers(_BASE_INV, size + 1)
     sums = np.zeros((size + 1, n), np.uint64)
     np.cumsum(_codes(points.T) * powers[:size, None], axis=0, out=sums[1:])
     last = np.full((size + 1, n), -1, np.int64)
