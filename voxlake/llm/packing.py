@@ -153,43 +153,43 @@ def _placed(lengths: DataFrame, capacity: int) -> DataFrame:
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to rows with a `length` of 1 to `capacity`: each sequence is filled without gaps from 0, few sequences are used.
 
-    Rows are not merged: repeated rows are placed one by one. Any columns are kept (except rank, salt and before, which this uses). An empty table gives an
-    empty result.
+    Rows are not merged: repeated rows are placed one by one, and of rows with one length it makes no difference which goes where. All columns are kept,
+    whatever their names; only those called sequence_id and offset are replaced. An empty table gives an empty result.
     """
     spark = pieces.sparkSession
+    pieces = pieces.drop("sequence_id", "offset")
     salts = shuffle_partitions(spark)
     order = [c for c in pieces.columns if c != "length"]
-    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
-    counts = staged(pieces.groupBy("length", "salt").agg(F.count("*").alias("n")))
-    placed = _placed(counts.groupBy(F.col("length").alias("size")).agg(F.sum("n").alias("n")), capacity) if not counts.isEmpty() else None
-    if placed is None:
-        return pieces.drop("salt").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
-    before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).drop("n")
-    rank = F.row_number().over(Window.partitionBy("length", "salt").orderBy(*order)) - 1
-    ranked = pieces.withColumn("rank", rank).join(before.hint("merge"), ["length", "salt"]).withColumn("rank", F.col("rank") + F.coalesce("before", F.lit(0)))
+    # the row travels as one column, so that no name of its own can clash
+    dealt = pieces.select(F.struct(*(F.col(f"`{c}`") for c in pieces.columns)).alias("row"), F.col("length").cast("int").alias("size"), F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in order), F.lit(0)), F.lit(salts)).cast("int").alias("salt"))
+    counts = staged(dealt.groupBy("size", "salt").agg(F.count("*").alias("n")))
+    if counts.isEmpty():
+        return pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
+    placed = _placed(counts.groupBy("size").agg(F.sum("n").alias("n")), capacity)
+    before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).drop("n")
+    rank = F.row_number().over(Window.partitionBy("size", "salt").orderBy("row")) - 1
+    ranked = dealt.withColumn("rank", rank).join(before.hint("merge"), ["size", "salt"]).select("row", "size", (F.col("rank") + F.coalesce("before", F.lit(0))).cast("long").alias("rank"))
     # runs placed: bounded by the capacity and the number of rounds
     table = spark.sparkContext.broadcast(placed.toPandas().sort_values(["size", "lo"]).reset_index(drop=True))
-    columns = [c for c in pieces.columns if c != "salt"]
 
     def place(batches):
         t = table.value
         key = t["size"].to_numpy(np.int64) << 40 | t.lo.to_numpy(np.int64)
         for batch in batches:
-            size, r = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
-            at = np.searchsorted(key, size.astype(np.int64) << 40 | r.astype(np.int64), "right") - 1
+            size, r = batch.column("size").to_numpy().astype(np.int64), batch.column("rank").to_numpy()
+            at = np.searchsorted(key, size << 40 | r, "right") - 1
             i, take = r - t.lo.to_numpy()[at], t["take"].to_numpy()[at]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(t.bin.to_numpy()[at] + i // take, pa.int64()), pa.array(t.used.to_numpy()[at] + i % take * size, pa.int64())], names=[*columns, "sequence_id", "offset"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(t.bin.to_numpy()[at] + i // take, pa.int64()), pa.array(t.used.to_numpy()[at] + i % take * size, pa.int64())], names=["row", "sequence_id", "offset"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.drop("salt").schema)
-    return ranked.select(*columns, "rank").mapInArrow(place, f"{kinds}, sequence_id long, offset long")
+    out = ranked.mapInArrow(place, f"row {dealt.schema['row'].dataType.simpleString()}, sequence_id long, offset long")
+    return out.select("row.*", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, fallback: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Packs all `docs` (doc_id, text are read) into few sequences of at most `capacity` tokens: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A null or empty text is the closing id alone. Repeated rows and rows with a null doc_id are packed like others.
+    A null or empty text is the closing id alone; a very long one is encoded whole and cut. Repeated rows and rows with a null doc_id are packed like
+    others. Other columns aren't read. An empty table gives an empty result.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     fallback = fallback or public_tokenizers.path("byte_bpe_50k.json")
