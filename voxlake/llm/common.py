@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that one vectorised step inside a task works on; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
@@ -54,6 +55,11 @@ def release(*tables: DataFrame) -> None:
             where.getFileSystem(t.sparkSession._jsparkSession.sparkContext().hadoopConfiguration()).delete(where, True)
 
 
+def fields(ddl: str, rows: DataFrame, columns: list[str]) -> StructType:
+    """The schema `ddl`, followed by `columns` of `rows` with their types, whatever their names."""
+    return StructType([*StructType.fromDDL(ddl), *(StructField(c, rows.schema[c].dataType) for c in columns)])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

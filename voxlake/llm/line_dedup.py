@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import LOWER, SPACE, byte_codes, span_hash, staged, steps
+from voxlake.llm.common import LOWER, SPACE, byte_codes, fields, span_hash, staged, steps
 
 #: The filters have this many bits a line, from 2^20 bits up to 2^28 (32 MB for the one that is broadcast). Beyond
 #: 2^28 / BITS_A_LINE lines the share of false suspects rises, up to shuffling all lines; the result is the same.
@@ -163,8 +163,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, oth
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string()), *(batch.column(c) for c in others)], names=["doc_id", "n_lines", "n_dropped", "kept_text", *others]
             )
 
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others]
-    return found.mapInArrow(cut, ", ".join([f"doc_id {kind}, n_lines long, n_dropped long, kept_text string", *kinds]))
+    return found.mapInArrow(cut, fields(f"doc_id {kind}, n_lines long, n_dropped long, kept_text string", docs, others))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,39 +60,47 @@ def band_keys(key: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def set_digests(key: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Two 64-bit digests of each set; 0 for an empty one."""
+    full, out = np.flatnonzero(np.diff(offsets)), np.zeros((len(offsets) - 1, 2), np.uint64)
+    if len(full):
+        out[full, 0] = np.add.reduceat(mix(key), offsets[full])
+        out[full, 1] = np.add.reduceat(mix(key ^ np.uint64(0xA5A5A5A5A5A5A5A5)), offsets[full])
+    return out
+
+
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
     def sign(batches):
         for batch in batches:
             for rows, data, offsets in steps(batch):
                 n = rows.num_rows
                 key, at = shingles(data, offsets, n, width)
-                full = np.flatnonzero(np.diff(at))
-                digest = np.zeros((n, 2), np.uint64)
-                if len(full):
-                    digest[full, 0] = np.add.reduceat(mix(key), at[full])
-                    digest[full, 1] = np.add.reduceat(mix(key ^ np.uint64(0xA5A5A5A5A5A5A5A5)), at[full])
+                digest = set_digests(key, at)
                 keys = np.zeros((n, BANDS), np.uint64)
-                keys[full] = band_keys(key, at)
+                keys[np.flatnonzero(np.diff(at))] = band_keys(key, at)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        rows.column("doc_id").cast(pa.int64()),
+                        rows.column("doc_id"),
+                        rows.column("tag"),
                         pa.array(np.diff(at).astype(np.int64)),
                         pa.array(digest[:, 0].view(np.int64)),
                         pa.array(digest[:, 1].view(np.int64)),
                         pa.array([x.tobytes() if f else None for x, f in zip(keys, np.diff(at) > 0, strict=True)], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                    names=["doc_id", "tag", "n_shingles", "set_a", "set_b", "bands"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n_shingles long, set_a long, set_b long, bands binary")
+    return docs.select("doc_id", "tag", "text").mapInArrow(sign, "doc_id long, tag long, n_shingles long, set_a long, set_b long, bands binary")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """(id, set) of texts: the first digest of the set, and its shingles."""
+
     def make(batches):
         for batch in batches:
             for rows, data, offsets in steps(batch):
                 key, at = shingles(data, offsets, rows.num_rows, width)
-                yield pa.RecordBatch.from_arrays([rows.column("id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(key.view(np.int64)))], names=["id", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(set_digests(key, at)[:, 0].view(np.int64)), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(key.view(np.int64)))], names=["id", "set"])
 
     return docs.mapInArrow(make, "id long, set array<long>")
 
@@ -172,32 +180,32 @@ def _links_in_groups(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     return pairs.mapInArrow(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Groups documents whose sets of `width`-word shingles have a Jaccard similarity of `percent` / 100 or more.
 
-    Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Returns a row for each row of `docs` (doc_id and text are read):
-    doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept (doc_id = component_id).
+    Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Returns a row for each row of `docs` (doc_id and text are read, other columns aren't):
+    doc_id, tag (a hash of the text), label (of the group; null for an empty set), n_shingles, component_id (the smallest doc_id reachable by links), kept (doc_id = component_id).
 
     Links: documents with equal sets are one class. Of each bucket of a band, the member with the smallest component
     is compared with the others; components of the links found shrink the buckets, and this is done up to three times while it
-    finds links. What remains in buckets that hold several components is gathered into groups that share buckets, and
-    in blocks of bounded size every member meets the members of other components, so no candidate goes unchecked;
-    pairs inside a component, the bulk of a large group, are not compared, and pairs never become rows.
+    finds links. In buckets that then still hold several components, members meet those of other components in blocks of bounded size, so no
+    candidate goes unchecked; pairs inside a component, the bulk of a large group, are not compared, and pairs never become rows.
 
-    A null or empty text, or one without words, has an empty set and is alone. Fewer than `width` words are one
-    shingle. doc_id is the key: rows repeating one belong together only as far as their texts do; a null doc_id counts
-    as the smallest long and is returned as null. An empty table gives an empty result.
+    A null or empty text, or one without words, has an empty set and is alone; a very long one is worked on whole. Fewer than `width` words are one
+    shingle. Rows that repeat a doc_id are linked by their own texts; equal rows have equal results. A null doc_id counts as the smallest long
+    and is returned as null. An empty table gives an empty result.
     """
     null_id = -(1 << 63)
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_id"), "text")
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"), "text")
     signed = staged(_signatures(docs, width))
     full = signed.where("n_shingles > 0")
-    classes = staged(full.groupBy("set_a", "set_b").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("id")))
-    dealt = _bands(classes).repartition("key")
+    # a class is known by the first digest of its set
+    classes = staged(full.groupBy(F.col("set_a").alias("id")).agg(F.min_by(F.struct("bands", "doc_id", "tag"), F.struct("doc_id", "tag")).alias("one")).select("id", "one.*"))
+    dealt = _bands(classes)
     shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = staged(dealt.join(shared, "key"))
-    suspects = buckets.select("id").distinct()
-    texts = docs.withColumnRenamed("doc_id", "id").join(suspects, "id", "left_semi")
+    suspects = classes.select("id", "doc_id", "tag").join(buckets.select("id").distinct(), "id", "left_semi")
+    texts = docs.join(suspects.select("doc_id", "tag").distinct(), ["doc_id", "tag"], "left_semi").select("text")
     sets = staged(_sets(texts, width).groupBy("id").agg(F.first("set").alias("set")))
 
     links = tested = None
@@ -214,22 +222,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85) -> DataF
         links = staged(links.unionByName(found)) if links is not None else found
         group = staged(components(links))
         named = staged(buckets.join(group, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("c")))
-    mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("id").alias("first")).where("low < high")
-    open_ = staged(named.join(mixed, "key").select("id", "c", "first"))
+    mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low < high and n > 2")
+    open_ = staged(named.join(mixed.select("key"), "key").select(F.col("key").alias("g"), "id", "c"))
     if not open_.isEmpty():
-        near = components(open_.select(F.col("id").alias("a"), F.col("first").alias("b")))
-        members = open_.select("id", "c").distinct().join(near, F.col("id") == F.col("node")).select(F.col("component").alias("g"), "id", "c")
-        found = staged(_links_in_groups(members, sets, percent))
+        found = staged(_links_in_groups(open_, sets, percent))
         if not found.isEmpty():
             group = staged(components(links.unionByName(found)))
-    whole = classes.join(group, F.col("id") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("component", "id").alias("component"))
-    out = signed.join(whole, ["set_a", "set_b"], "left")
+    # the smallest doc_id of a class, then of a component
+    least = full.groupBy(F.col("set_a").alias("id")).agg(F.min("doc_id").alias("least")).join(group, F.col("id") == F.col("node"), "left").withColumn("c", F.coalesce("component", "id"))
+    least = staged(least.select("id", "c", "least"))
+    lowest = staged(least.groupBy("c").agg(F.min("least").alias("component")))
+    whole = least.join(lowest, "c").select(F.col("id").alias("set_a"), F.col("c").alias("label"), "component")
+    out = signed.join(whole, "set_a", "left")
     id_, component = F.col("doc_id"), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component")), F.col("doc_id"))
-    return out.select(F.nullif(id_, F.lit(null_id)).alias("doc_id"), "n_shingles", F.nullif(component, F.lit(null_id)).alias("component_id"), (id_ == component).alias("kept"))
+    return out.select(F.nullif(id_, F.lit(null_id)).alias("doc_id"), "tag", F.when(F.col("n_shingles") > 0, F.col("label")).alias("label"), "n_shingles", F.nullif(component, F.lit(null_id)).alias("component_id"), (id_ == component).alias("kept"))
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, with all their columns, that stay if each group of near-duplicates keeps one document: that of the smallest doc_id.
+
+    Rows with an empty set all stay. Of rows with one doc_id in one group the one with the smallest hash of the text stays, of rows with one doc_id and text any
+    one. A null doc_id counts as the smallest. An empty table stays empty.
+    """
+    found = near_duplicates(docs, width, percent).where("kept")
+    one = found.where("n_shingles > 0").groupBy("doc_id", "label").agg(F.min("tag").alias("t")).unionByName(found.where("n_shingles = 0").select("doc_id", "label", F.col("tag").alias("t")).distinct())
+    kept = staged(one.select(F.col("doc_id").alias("i"), "t").distinct())
+    text = F.coalesce(docs["text"], F.lit(""))
+    if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        empty = F.size(F.filter(F.split(text, "[ \t\n\x0b\f\r]+"), lambda w: w != "")) == 0
+        docs = docs.where(empty).unionByName(docs.where(~empty).dropDuplicates(["doc_id", "text"]))
+        text = F.coalesce(docs["text"], F.lit(""))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["i"]) & (F.xxhash64(text) == kept["t"]), "left_semi")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=85)
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=85).drop("tag", "label")
 
 
 SQL = r"""

@@ -20,6 +20,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from voxlake.llm.common import shuffle_partitions, staged
 
@@ -181,7 +182,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             i, take = r - t.lo.to_numpy()[at], t["take"].to_numpy()[at]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(t.bin.to_numpy()[at] + i // take, pa.int64()), pa.array(t.used.to_numpy()[at] + i % take * size, pa.int64())], names=["row", "sequence_id", "offset"])
 
-    out = ranked.mapInArrow(place, f"row {dealt.schema['row'].dataType.simpleString()}, sequence_id long, offset long")
+    out = ranked.mapInArrow(place, StructType([dealt.schema["row"], *StructType.fromDDL("sequence_id long, offset long")]))
     return out.select("row.*", "sequence_id", "offset")
 
 

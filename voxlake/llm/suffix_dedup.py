@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import byte_codes, mix, span_hash, staged, steps
+from voxlake.llm.common import byte_codes, fields, mix, span_hash, staged, steps
 
 SAMPLE = 18
 #: Bytes of text that a bucket of samples stands for, and samples that are merged before they travel, about.
@@ -306,11 +306,7 @@ def _cut(marked: DataFrame, length: int, others: list[str]) -> DataFrame:
             own = [batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays([*own, *(batch.column(c) for c in others)], names=["doc_id", "n_bytes", "n_removed", "spans", "kept", *others])
 
-    return marked.mapInArrow(cut, ", ".join(["doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary", *_kinds(marked, others)]))
-
-
-def _kinds(rows: DataFrame, columns: list[str]) -> list[str]:
-    return [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns]
+    return marked.mapInArrow(cut, fields("doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary", marked, others))
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, others: tuple[str, ...] = ()) -> DataFrame:
@@ -352,7 +348,7 @@ def kept_text(cut: DataFrame, others: tuple[str, ...] = ()) -> DataFrame:
             text = pa.array([(x.as_py() or b"").decode("utf-8", "ignore") for x in batch.column("kept")], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, *(batch.column(c) for c in others)], names=["doc_id", "text", *others])
 
-    return cut.select("doc_id", "kept", *others).mapInArrow(read, ", ".join(["doc_id long, text string", *_kinds(cut, list(others))]))
+    return cut.select("doc_id", "kept", *others).mapInArrow(read, fields("doc_id long, text string", cut, list(others)))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
