@@ -105,15 +105,39 @@ def test_components(spark):
     assert got == {x: c for x, c in root.items() if any(x in e and e[0] != e[1] for e in edges)}
 
 
-@pytest.mark.parametrize("block", [suffix_dedup.BLOCK, 40])
-def test_suffix_dedup(table, docs, empty, block, monkeypatch):
+@pytest.mark.parametrize(("block", "most"), [(suffix_dedup.BLOCK, suffix_dedup.MOST_AROUND), (40, 20)])
+def test_suffix_dedup(table, docs, empty, block, most, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    monkeypatch.setattr(suffix_dedup, "MOST_AROUND", most)  # too large buckets are judged in parts
+    monkeypatch.setattr(suffix_dedup, "MOST_WINDOWS", 50 * most)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(table).collect()}
     assert got == brute.repeats(docs)
     assert sum(r[1] for r in got.values()) > 1000
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_equal_ranks_are_confirmed_by_bytes():
+    rng = np.random.default_rng(2)
+    raw, doc = rng.integers(0, 2, (300, 6)).astype(np.uint8), rng.integers(0, 40, 300)
+    first = {}
+    for d, r in sorted(zip(doc.tolist(), map(bytes, raw), strict=True)):
+        first.setdefault(r, d)
+    for rank in (np.zeros(300, np.uint64), raw[:, 0].astype(np.uint64), np.packbits(raw, axis=1)[:, 0].astype(np.uint64)):
+        again, lead = suffix_dedup._again(rank, doc, lambda at: raw[at])
+        assert again.tolist() == [first[bytes(r)] < d for d, r in zip(doc.tolist(), raw, strict=True)]
+        assert lead.sum() == len(first) and {bytes(r): d for r, d in zip(raw[lead], doc[lead].tolist(), strict=True)} == first
+
+
+def test_suffix_dedup_of_a_long_text_and_hot_edges(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MOST_AROUND", 60)
+    rng = random.Random(21)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = text(90)
+    rows = [(i, f"{text(40)}{passage}{text(40)}") for i in range(60)] + [(60, text(200_000) + passage), (61, None)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()}
+    assert got == brute.repeats(rows) and sum(r[1] for r in got.values()) >= 60 * 90
+
+
 def test_suffix_dedup_null_id_and_repeated_rows(spark):
     text = " ".join(VOCABULARY)
     got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(frame(spark, [(None, text), (2, text), (2, text), (3, "short")])).collect()}

@@ -1,24 +1,23 @@
-"""Exact substring dedup by distributed prefix doubling.
+"""Exact substring dedup by prefix doubling over sampled positions.
 
-Positions of all texts get ranks for prefixes of growing length; Spark brings equal ranks (pairs) together, and a position
-whose rank is unique drops out, since longer prefixes are unique too. A rank is a 64-bit name computed from the bytes, the
-same for equal prefixes in every task, so the pair of ranks at a position and further on needs no join. Two rounds suffice for matches of 50 bytes:
+Positions get ranks for prefixes of growing length; equal ranks are brought together, and a position whose rank is unique
+drops out, since longer prefixes are unique too. A rank is a 64-bit name computed from the bytes, the same for equal
+prefixes in every task, so the pair of ranks at a position and further on needs no join. For matches of 50 bytes:
 
 1. Prefixes of 18 bytes, at sampled positions only: of the 33 prefixes that start in a 50-byte window the
-   window's smallest name is taken, so equal windows have equal samples and no match is missed. Samples that no two different
-   texts share drop out.
-2. Around the samples left, the bytes of all windows that hold them travel to the bucket of the sample's name. There the positions
-   are ranked by 25 bytes, then by the pair of ranks at a position and 25 bytes later, that is by 50 bytes, sorted, and each
+   window's smallest name is taken, so equal windows have equal samples and no match is missed.
+2. The samples are ranked again by the pairs of ranks 16 bytes apart, that is by 34 bytes from the sample on, and by the 34 bytes up to
+   its end: one of the two lies in any 50-byte window that holds the sample. Samples that share neither with a different text drop out.
+3. Around the samples left, the bytes of all windows that hold them travel to the bucket of the sample's name. There the positions
+   are ranked by 25 bytes, then by the pair of ranks at a position and 25 bytes later, that is by 50 bytes, sorted, confirmed by their bytes, and each
    learns the smallest document with its rank.
 
-Samples travel as packed arrays, in buckets of bounded size; equal ones of a block of texts are merged before they travel, so a
-passage in very many documents does not gather in one task (but for the few samples at its edges, where what surrounds it differs).
+Samples travel as packed arrays, in buckets of bounded size; equal ones of a block of texts are merged before they travel. A bucket that is too large all
+the same, as what surrounds a sample in very many documents differs, is judged in parts; the windows that are left of these meet by their own ranks.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,6 +30,8 @@ SAMPLE = 18
 #: Bytes of text that a bucket of samples stands for, and samples that are merged before they travel, about.
 BUCKET_BYTES = 8 << 20
 BLOCK = 1_000_000
+#: Surroundings that one task judges, and windows that meet in one group after that, about.
+MOST_AROUND, MOST_WINDOWS = 600_000, 2_000_000
 
 
 def _windows(codes: np.ndarray, length: int) -> np.ndarray:
@@ -70,14 +71,15 @@ def _slide(x: np.ndarray, width: int, pick, back: bool = False) -> np.ndarray:
 
 
 def _sampled(data: np.ndarray, offsets: np.ndarray, length: int, span: int):
-    """(names of `SAMPLE` bytes, smallest name of each window, whether a window lies in one text)."""
+    """(names of `SAMPLE` bytes, smallest name of each window, whether a window lies in one text, names of the pairs of ranks half the rest apart, whether these bytes lie in one text)."""
     n = len(data)
     whole = np.zeros(n, bool)
     for_row = np.repeat(offsets[1:], np.diff(offsets))
     whole = np.arange(n) + length <= for_row
     name = _windows(byte_codes(data), SAMPLE)
     name[np.arange(n) + SAMPLE > for_row] = np.uint64(0xFFFFFFFFFFFFFFFF)
-    return name, _slide(name, span, np.minimum), whole
+    half = (length - SAMPLE) // 2
+    return name, _slide(name, span, np.minimum), whole, _joined(name, name, half), np.arange(n) + SAMPLE + half <= for_row
 
 
 def _packed(bucket: np.ndarray, buckets: int, columns: dict[str, np.ndarray], direct: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -113,23 +115,36 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _shared(names: np.ndarray, ranks: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Which entries have a name and rank that two texts have; rank 0 is none, text 0 differs from any."""
+    out = np.zeros(len(names), bool)
+    order = np.lexsort((ranks, names))
+    order = order[ranks[order] > 0]
+    if len(order):
+        cut, own = _runs(names[order], ranks[order]), texts[order]
+        low, high = np.minimum.reduceat(own, cut), np.maximum.reduceat(own, cut)
+        out[order] = np.repeat((low != high) | (low == 0), np.diff(np.append(cut, len(order))))
+    return out
+
+
 def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """The samples of all texts as packed arrays, in blocks. A name that two texts of a block share goes to its bucket once; the block's samples of that name are known to be shared."""
-    span = length - SAMPLE + 1
+    """The samples of all texts as packed arrays, in blocks. What two texts of a block share goes to its bucket once; the block's samples of that kind are known to be shared."""
+    span, half = length - SAMPLE + 1, (length - SAMPLE) // 2
 
     def emit(held):
-        name, text, doc, tag, spot = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(name, kind="stable")
-        name, text, doc, tag, spot = name[order], text[order], doc[order], tag[order], spot[order]
-        cut = _runs(name)
-        size = np.diff(np.append(cut, len(name)))
-        mixed = np.minimum.reduceat(text, cut) != np.maximum.reduceat(text, cut)
-        known = np.repeat(mixed, size)
-        ask = ~known
-        ask[cut[mixed]] = True
-        text = text.copy()
-        text[cut[mixed]] = 0  # differs from the digest of any text
-        columns = {"names": (name[ask] >> np.uint64(24)).astype(np.uint32), "texts": text[ask], "docs": doc[ask], "tags": tag[ask], "spots": spot[ask]}
+        name, left, right, text, doc, tag, spot = (np.concatenate(x) for x in zip(*held, strict=True))
+        known = np.zeros(len(name), bool)
+        tell = np.zeros(len(name), bool)  # speaks for the known ones of its kind
+        for rank in (left, right):
+            mine = _shared(name, rank, text)
+            known |= mine
+            at = np.flatnonzero(mine)
+            at = at[np.lexsort((rank[at], name[at]))]
+            if len(at):
+                tell[at[_runs(name[at], rank[at])]] = True
+        text = np.where(tell, np.uint64(0), text)
+        ask = ~known | tell
+        columns = {"names": (name[ask] >> np.uint64(24)).astype(np.uint32), "lefts": left[ask], "rights": right[ask], "texts": text[ask], "docs": doc[ask], "tags": tag[ask], "spots": spot[ask]}
         return _packed((name[ask] % np.uint64(buckets)).astype(np.int64), buckets, columns, {"known_docs": doc[known], "known_tags": tag[known], "known_spots": spot[known]})
 
     def sample(batches):
@@ -138,12 +153,15 @@ def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             for rows, data, offsets in steps(batch, end=""):
                 if len(data) < length:
                     continue
-                name, least, whole = _sampled(data, offsets, length, span)
+                name, least, whole, pair, inside = _sampled(data, offsets, length, span)
                 least = np.where(whole, least, np.uint64(0))
                 at = np.flatnonzero((_slide(least, span, np.maximum, back=True) == name) & (name < np.uint64(0xFFFFFFFFFFFFFFFF)))
                 row = np.searchsorted(offsets, at, "right") - 1
-                digest = np.array([int.from_bytes(hashlib.blake2b(data[a:b], digest_size=4).digest(), "little") | 1 for a, b in zip(offsets, offsets[1:], strict=False)], np.uint32)
-                held.append((name[at], digest[row], rows.column("doc_id").to_numpy()[row], rows.column("tag").to_numpy()[row], (at - offsets[row]).astype(np.int32)))
+                short = lambda x: (x >> np.uint64(40)).astype(np.uint16) | np.uint16(1)  # noqa: E731 - a part of the rank will do to tell what need not be looked at
+                right = np.where(inside[at], short(pair[at]), np.uint16(0))
+                left = np.where(at - half >= offsets[row], short(pair[np.maximum(at - half, 0)]), np.uint16(0))
+                text = rows.column("mark").to_numpy().view(np.uint64)[row] | np.uint64(1)
+                held.append((name[at], left, right, text, rows.column("doc_id").to_numpy()[row], rows.column("tag").to_numpy()[row], (at - offsets[row]).astype(np.int32)))
                 size += len(at)
                 if size >= BLOCK:
                     yield emit(held)
@@ -151,21 +169,17 @@ def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         if size:
             yield emit(held)
 
-    return docs.select("doc_id", "tag", "text").mapInArrow(sample, "bucket int, names binary, texts binary, docs binary, tags binary, spots binary, known_docs binary, known_tags binary, known_spots binary")
+    marked = docs.select("doc_id", "tag", F.xxhash64("text").alias("mark"), "text")
+    return marked.mapInArrow(sample, "bucket int, names binary, lefts binary, rights binary, texts binary, docs binary, tags binary, spots binary, known_docs binary, known_tags binary, known_spots binary")
 
 
 def _shared_samples(samples: DataFrame) -> DataFrame:
-    """(doc_id, tag, spot) of samples whose name two texts share."""
+    """(doc_id, tag, spot) of samples that share with another text the bytes from them on, or up to them."""
 
     def keep(rows: pd.DataFrame) -> pd.DataFrame:
-        name, text = _column(rows.names, np.uint32), _column(rows.texts, np.uint32)
-        order = np.argsort(name, kind="stable")
-        at = order[:0]
-        if len(order):
-            cut, own = _runs(name[order]), text[order]
-            mixed = (np.maximum.reduceat(own, cut) != np.minimum.reduceat(own, cut)) | (np.minimum.reduceat(own, cut) == 0)
-            at = order[np.repeat(mixed, np.diff(np.append(cut, len(order))))]
-            at = at[text[at] > 0]
+        name, text = _column(rows.names, np.uint32), _column(rows.texts, np.uint64)
+        mixed = _shared(name, _column(rows.lefts, np.uint16), text) | _shared(name, _column(rows.rights, np.uint16), text)
+        at = np.flatnonzero(mixed & (text > 0))
         doc = np.concatenate((_column(rows.docs, np.int64)[at], _column(rows.known_docs, np.int64)))
         tag = np.concatenate((_column(rows.tags, np.int64)[at], _column(rows.known_tags, np.int64)))
         spot = np.concatenate((_column(rows.spots, np.int32)[at], _column(rows.known_spots, np.int32)))
@@ -181,21 +195,36 @@ def _block(doc, blocks: int):
     return F.pmod(doc.bitwiseXOR(F.shiftright(doc, 17)), F.lit(blocks)).cast("int")
 
 
+_AROUND = "docs binary, tags binary, spots binary, lefts binary, rights binary, raws binary"
+_KNOWN = "known_docs binary, known_tags binary, known_starts binary, known_counts binary"
+_FOUND = "block int, docs binary, tags binary, starts binary, counts binary"
+
+
 def _surroundings(suspects: DataFrame, length: int, buckets: int) -> DataFrame:
     """The bytes of all windows that hold a shared sample, packed. Of equal ones of a block, that of the smallest document goes to its bucket; the windows of the others are known to be repeats."""
     before = length - SAMPLE
+    width = before + length
 
     def emit(held):
-        digest, name, doc, tag, spot, left, right, raw = (np.concatenate(x) for x in zip(*held, strict=True))
+        name, doc, tag, spot, left, right, raw = (np.concatenate(x) for x in zip(*held, strict=True))
+        padded = np.zeros((len(raw), -(-width // 8) * 8), np.uint8)
+        padded[:, :width] = raw
+        digest = left.astype(np.uint64) << np.uint64(8) | right
+        for part in padded.view(np.uint64).T:
+            digest = mix(digest ^ part)
         order = np.lexsort((doc, digest))
         cut = _runs(digest[order])
-        first = np.repeat(doc[order][cut], np.diff(np.append(cut, len(order))))
+        first = order[np.repeat(cut, np.diff(np.append(cut, len(order))))]
         known = np.zeros(len(doc), bool)
-        known[order] = doc[order] > first
+        known[order] = (doc[order] > doc[first]) & (left[order] == left[first]) & (right[order] == right[first])
+        at = np.flatnonzero(known[order])
+        known[order[at]] = (raw[order[at]] == raw[first[at]]).all(1)
         ask = ~known
         columns = {"docs": doc[ask], "tags": tag[ask], "spots": spot[ask], "lefts": left[ask], "rights": right[ask], "raws": raw[ask]}
         direct = {"known_docs": doc[known], "known_tags": tag[known], "known_starts": (spot - left)[known].astype(np.int32), "known_counts": (left.astype(np.int32) + right + 1 - length)[known]}
-        return _packed((name[ask] % np.uint64(buckets)).astype(np.int64), buckets, columns, direct)
+        bucket = (name[ask] % np.uint64(buckets)).astype(np.int64)
+        out = _packed(bucket, buckets, columns, direct)
+        return out.append_column("n", pa.array(np.bincount(bucket, minlength=buckets)[out.column("bucket").to_numpy()].astype(np.int64)))
 
     def gather(batches):
         held, size = [], 0
@@ -207,11 +236,11 @@ def _surroundings(suspects: DataFrame, length: int, buckets: int) -> DataFrame:
                 at = spot + offsets[row]
                 left = np.minimum(before, spot).astype(np.uint8)
                 right = np.minimum(length, offsets[row + 1] - at).astype(np.uint8)
-                codes = byte_codes(data)
-                name = span_hash(codes, at, at + SAMPLE)
-                digest = mix(span_hash(codes, at - left, at + right) + left)
-                raw = data[np.clip(at[:, None] + np.arange(-before, length), 0, len(data) - 1)] if len(at) else np.zeros((0, before + length), np.uint8)
-                held.append((digest, name, rows.column("doc_id").to_numpy()[row], rows.column("tag").to_numpy()[row], spot.astype(np.int32), left, right, raw))
+                name = span_hash(byte_codes(data), at, at + SAMPLE)
+                reach = np.arange(-before, length)
+                raw = data[np.clip(at[:, None] + reach, 0, len(data) - 1)] if len(at) else np.zeros((0, width), np.uint8)
+                raw[(reach < -left[:, None].astype(np.int64)) | (reach >= right[:, None])] = 0
+                held.append((name, rows.column("doc_id").to_numpy()[row], rows.column("tag").to_numpy()[row], spot.astype(np.int32), left, right, raw))
                 size += len(at)
                 if size >= BLOCK // 4:
                     yield emit(held)
@@ -219,49 +248,129 @@ def _surroundings(suspects: DataFrame, length: int, buckets: int) -> DataFrame:
         if size:
             yield emit(held)
 
-    return suspects.mapInArrow(gather, "bucket int, docs binary, tags binary, spots binary, lefts binary, rights binary, raws binary, known_docs binary, known_tags binary, known_starts binary, known_counts binary")
+    return suspects.mapInArrow(gather, f"bucket int, {_AROUND}, {_KNOWN}, n long")
+
+
+def _again(value: np.ndarray, doc: np.ndarray, window) -> tuple[np.ndarray, np.ndarray]:
+    """(which windows a smaller document holds too, which are the first of their kind): windows are sorted by rank, equal ranks are confirmed by window(places), the bytes."""
+    again, lead = np.zeros(len(value), bool), np.zeros(len(value), bool)
+    order = np.lexsort((doc, value))
+    if not len(order):
+        return again, lead
+    cut = _runs(value[order])
+    first = order[np.repeat(cut, np.diff(np.append(cut, len(order))))]
+    lead[order[cut]] = True
+    again[order] = doc[order] > doc[first]
+    differ = []
+    for a in range(0, len(order), 1 << 17):
+        x, y = order[a : a + (1 << 17)], first[a : a + (1 << 17)]
+        other = x != y
+        differ.append(y[other][(window(x[other]) != window(y[other])).any(1)])
+    for k in np.unique(np.concatenate(differ)):  # different bytes under one rank
+        own = order[first == k]  # by document
+        _, at, kind = np.unique(window(own), axis=0, return_index=True, return_inverse=True)
+        lead[own] = False
+        lead[own[at]] = True
+        again[own] = doc[own] > doc[own[at]][kind.ravel()]
+    return again, lead
+
+
+def _ranked(rows: pd.DataFrame, length: int):
+    """The windows of packed surroundings: (docs, tags, spots, bytes around, entry and place of each window, its rank)."""
+    before, half = length - SAMPLE, length // 2
+    doc, tag, spot = _column(rows.docs, np.int64), _column(rows.tags, np.int64), _column(rows.spots, np.int32)
+    left, right = _column(rows.lefts, np.uint8), _column(rows.rights, np.uint8)
+    raw = _column(rows.raws, np.uint8).reshape(-1, before + length)
+    starts = np.arange(before + 1)
+    rank = np.empty((len(doc), before + 1), np.uint64)
+    for a in range(0, len(doc), 8192):
+        flat = byte_codes(raw[a : a + 8192].ravel())
+        some = _windows(flat, half)
+        rest = _windows(flat, length - half) if length - half != half else some
+        pick = (np.arange(len(flat) // (before + length)) * (before + length))[:, None] + starts
+        rank[a : a + 8192] = mix(some[pick] ^ mix(rest[pick + half]))
+    real = (starts >= before - left[:, None].astype(np.int64)) & (starts + length <= before + right[:, None].astype(np.int64))
+    i, c = np.nonzero(real)
+    return doc, tag, spot, raw, i, c, rank[i, c]
+
+
+def _dealt(doc, tag, start, count, blocks: int) -> pd.DataFrame:
+    """Runs of positions, packed by the block that their document's results are gathered in."""
+    block = _block(doc ^ tag, blocks)
+    order = np.lexsort((start, tag, doc, block))
+    some, begin = np.unique(block[order], return_index=True)
+    ends = np.append(begin[1:], len(doc))
+    part = lambda x: [_pack(x[order[a:b]]) for a, b in zip(begin, ends, strict=False)]
+    return pd.DataFrame({"block": some.astype(np.int32), "docs": part(doc), "tags": part(tag), "starts": part(start.astype(np.int32)), "counts": part(count.astype(np.int32))})
+
+
+def _bytes_at(raw: np.ndarray, i: np.ndarray, c: np.ndarray, length: int):
+    """A function from places among the windows to their bytes."""
+    flat, width = raw.ravel(), raw.shape[1]
+    every = np.lib.stride_tricks.sliding_window_view(flat, length) if len(flat) >= length else np.zeros((0, length), np.uint8)
+    return lambda at: every[i[at] * width + c[at]]
 
 
 def _covered(around: DataFrame, length: int, blocks: int) -> DataFrame:
     """(block, docs, tags, starts, counts): runs of positions whose first `length` bytes also start in a smaller document."""
-    before, half = length - SAMPLE, length // 2
+    before = length - SAMPLE
 
-    def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        doc, tag, spot = _column(rows.docs, np.int64), _column(rows.tags, np.int64), _column(rows.spots, np.int32)
-        left, right = _column(rows.lefts, np.uint8), _column(rows.rights, np.uint8)
-        raw = _column(rows.raws, np.uint8).reshape(-1, before + length)
-        starts = np.arange(before + 1)
-        rank = np.empty((len(doc), before + 1), np.uint64)
-        for a in range(0, len(doc), 8192):
-            flat = byte_codes(raw[a : a + 8192].ravel())
-            some = _windows(flat, half)
-            rest = _windows(flat, length - half) if length - half != half else some
-            pick = (np.arange(len(flat) // (before + length)) * (before + length))[:, None] + starts
-            rank[a : a + 8192] = mix(some[pick] ^ mix(rest[pick + half]))
-        real = (starts >= before - left[:, None].astype(np.int64)) & (starts + length <= before + right[:, None].astype(np.int64))
-        i, c = np.nonzero(real)
-        value = rank[i, c]
-        order = np.lexsort((doc[i], value))
-        gone = np.zeros(len(rank) * (before + 1) + 1, bool)
-        if len(order):
-            cut = _runs(value[order])
-            own = doc[i][order]
-            again = own > np.repeat(own[cut], np.diff(np.append(cut, len(order))))
-            gone[(i * (before + 1) + c)[order[again]]] = True
+    def runs_of(rows, judged, again):
+        doc, tag, spot, raw, i, c, _ = judged
+        gone = np.zeros(len(doc) * (before + 1) + 1, bool)
+        gone[(i * (before + 1) + c)[again]] = True
         step = np.diff(np.pad(gone[:-1].reshape(-1, before + 1), ((0, 0), (1, 1))).astype(np.int8), axis=1)
         i, c = np.nonzero(step == 1)
         _, end = np.nonzero(step == -1)
-        doc, tag = np.concatenate((doc[i], _column(rows.known_docs, np.int64))), np.concatenate((tag[i], _column(rows.known_tags, np.int64)))
-        start = np.concatenate(((spot[i] - before + c).astype(np.int32), _column(rows.known_starts, np.int32)))
-        count = np.concatenate(((end - c).astype(np.int32), _column(rows.known_counts, np.int32)))
-        block = _block(doc ^ tag, blocks)
-        order = np.lexsort((start, tag, doc, block))
-        some, begin = np.unique(block[order], return_index=True)
-        ends = np.append(begin[1:], len(doc))
-        part = lambda x: [_pack(x[order[a:b]]) for a, b in zip(begin, ends, strict=False)]
-        return pd.DataFrame({"block": some.astype(np.int32), "docs": part(doc), "tags": part(tag), "starts": part(start), "counts": part(count)})
+        known = [_column(rows[k], np.int64 if k in ("known_docs", "known_tags") else np.int32) for k in ("known_docs", "known_tags", "known_starts", "known_counts")]
+        return [np.concatenate(x) for x in zip((doc[i], tag[i], spot[i] - before + c, end - c), known, strict=True)]
 
-    return around.groupBy("bucket").applyInPandas(judge, "block int, docs binary, tags binary, starts binary, counts binary")
+    def judge(rows: pd.DataFrame) -> pd.DataFrame:
+        judged = _ranked(rows, length)
+        doc, _, _, raw, i, c, rank = judged
+        again, _ = _again(rank, doc[i], _bytes_at(raw, i, c, length))
+        return _dealt(*runs_of(rows, judged, again), blocks)
+
+    staged_around = staged(around)
+    sizes = staged_around.groupBy("bucket").agg(F.sum("n").alias("entries")).where(F.col("entries") > MOST_AROUND)
+    # one row for each too large bucket, of which there are at most as many as MOST_AROUND goes into all entries
+    large = staged(sizes.withColumn("parts", F.ceil(F.col("entries") / MOST_AROUND)))
+    if large.isEmpty():
+        return staged_around.groupBy("bucket").applyInPandas(judge, _FOUND)
+    usual = staged_around.join(large, "bucket", "left_anti").groupBy("bucket").applyInPandas(judge, _FOUND)
+    meets = max(1, -(-large.agg(F.sum("entries")).first()[0] * (before + 1) // MOST_WINDOWS))
+
+    def thin(rows: pd.DataFrame) -> pd.DataFrame:
+        judged = _ranked(rows, length)
+        doc, tag, spot, raw, i, c, rank = judged
+        again, lead = _again(rank, doc[i], _bytes_at(raw, i, c, length))
+        found = _dealt(*runs_of(rows, judged, again), blocks).assign(meet=-1, raws=b"")
+        lead = np.flatnonzero(lead)
+        to = (rank[lead] % np.uint64(meets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        some, begin = np.unique(to[order], return_index=True)
+        of = [lead[order[a:b]] for a, b in zip(begin, np.append(begin[1:], len(order)), strict=False)]
+        window = _bytes_at(raw, i, c, length)
+        part = lambda f: [_pack(f(x)) for x in of]
+        left = {"docs": part(lambda x: doc[i[x]]), "tags": part(lambda x: tag[i[x]]), "starts": part(lambda x: (spot[i[x]] - before + c[x]).astype(np.int32)), "counts": [b""] * len(of), "raws": part(window)}
+        return pd.concat([found, pd.DataFrame({"block": -1, "meet": some.astype(np.int32), **left})], ignore_index=True)
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        doc, tag, start = _column(rows.docs, np.int64), _column(rows.tags, np.int64), _column(rows.starts, np.int32)
+        raw = _column(rows.raws, np.uint8).reshape(-1, length)
+        rank = np.zeros(len(raw), np.uint64)
+        for k in range(0, length, 8):
+            part = np.zeros((len(raw), 8), np.uint8)
+            part[:, : length - k] = raw[:, k : k + 8]
+            rank = mix(rank ^ part.view(np.uint64)[:, 0])
+        again, _ = _again(rank, doc, lambda at: raw[at])
+        at = np.flatnonzero(again)
+        return _dealt(doc[at], tag[at], start[at], np.ones(len(at), np.int32), blocks)
+
+    parts = staged_around.join(large.select("bucket", "parts"), "bucket").withColumn("part", F.pmod(F.xxhash64("docs", "spots", "known_docs", "known_starts"), "parts"))
+    thinned = staged(parts.groupBy("bucket", "part").applyInPandas(thin, f"{_FOUND}, meet int, raws binary"))
+    left = thinned.where("meet >= 0").groupBy("meet").applyInPandas(meet, _FOUND)
+    return usual.unionByName(thinned.where("meet < 0").select("block", "docs", "tags", "starts", "counts")).unionByName(left)
 
 
 def _by_document(found: DataFrame) -> DataFrame:
@@ -315,8 +424,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, others: tuple[str, ...] =
     Texts are UTF-8 bytes; matches do not cross documents; strings are judged on the input. Reads doc_id and text of `docs`. Returns doc_id, n_bytes,
     n_removed, spans (array of alternating starts and ends of the maximal removed runs), kept (the remaining bytes), and the columns `others` of the row.
 
-    A null or empty text has no bytes. Rows repeating a doc_id are texts of one document: none removes bytes of
-    another, each is judged by its own text, and each comes back. Rows with a null doc_id are one document, smaller than all others. An empty table
+    A null or empty text has no bytes; a very long one is worked on whole. Rows repeating a doc_id are texts of one document: none removes bytes of
+    another, each is judged by its own text, and each comes back. Rows with a null doc_id are one document, that of the smallest long. An empty table
     gives an empty result. A row is known by its doc_id and tag, a hash of the text; where no doc_id is repeated, tags are 0.
     """
     if not SAMPLE < length < 128:
