@@ -193,8 +193,10 @@ def test_quality_rules_plan_orders_by_rejections_per_cost(table):
 
 
 def plain_anchors(text):
+    """[(place, hash)] by definition."""
     import struct
 
+    import regex
     import xxhash
 
     def h(items):
@@ -203,42 +205,72 @@ def plain_anchors(text):
             seed = xxhash.xxh64_intdigest(x.encode() if isinstance(x, str) else struct.pack("<q", x), seed)
         return seed - (1 << 64) if seed >> 63 else seed
 
-    def chosen(units, k, s):
-        if not units:
-            return []
-        if len(units) < k:
-            return [h([" ".join(units)]) & 0x7FFFFFFF]
-        g = [h(units[p : p + s]) for p in range(len(units) - s + 1)]
-        steps, spots = k - s, sorted({*range(0, k - s, s), k - s})
-        return [h([g[p + i] for i in spots]) & 0x7FFFFFFF for p in range(len(g) - steps) if min(g[p], g[p + steps]) <= min(g[p + 1 : p + steps])]
+    units = regex.findall(r"(?V1)[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}]]+|[^\x20\x09-\x0D]", text or "")
+    k, s = fingerprints.K, fingerprints.S
+    if not units:
+        return []
+    units = [""] * (k - 1) + units + ["\n"] * (k - 1)
+    g = [h(units[p : p + s]) for p in range(len(units) - s + 1)]
+    out = {}
+    for p in range(len(g) - k + s):
+        if min(g[p], g[p + k - s]) <= min(g[p + 1 : p + k - s]):
+            out.setdefault(h([g[p + i] for i in (0, 2, 4)]) & 0x7FFFFFFF, p)
+    return sorted((p, x) for x, p in out.items())
 
-    words = brute.WORD.findall(text or "")
-    out = chosen(words, fingerprints.WORD_K, fingerprints.WORD_S) + (chosen(list(text or ""), fingerprints.CHAR_K, fingerprints.CHAR_S) if len(words) < fingerprints.SHORT else [])
-    return list(dict.fromkeys(out))
+
+def plain_likeness(a, b):
+    place = {x: p for p, x in b}
+    at = [place[x] for _, x in a if x in place]
+    m = len(at) if len(at) < 2 else sum((i > 0 and at[i - 1] < p) or (i + 1 < len(at) and p < at[i + 1]) for i, p in enumerate(at))
+    return 2 * m / (len(a) + len(b)) if a or b else 1.0
 
 
 def test_fingerprints(table, docs, empty):
-    got = {r.doc_id: r.anchors for r in fingerprints.fingerprint(table).collect()}
+    got = {r.doc_id: [(x >> 32, x & 0x7FFFFFFF) for x in r.anchors] for r in fingerprints.fingerprint(table).collect()}
     assert got == {i: plain_anchors(t) for i, t in docs}
+    assert all(bool(a) == bool(brute.WORD.search(dict(docs)[i] or "")) for i, a in got.items())
     assert fingerprints.fingerprint(empty).count() == 0
 
 
-@pytest.mark.parametrize("n", [62, 63, 64, 70])
+def test_fingerprints_query_against_a_plain_version(spark, docs, tmp_path):
+    import hashlib
+
+    rows = [*docs, (-(1 << 63), docs[0][1]), ((1 << 63) - 1, "far off " * 9), (1 << 40, "long text " * 100_000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in fingerprints.op8_fingerprints(spark, str(tmp_path)).collect()}
+    rows = sorted(((i, t or "") for i, t in rows), reverse=True)
+    for (i, t), (_, n) in zip(rows, rows[1:] + rows[:1], strict=True):
+        half = len(t) // 2
+        e = t[: len(t) - half] + n[:half]
+        a, b, c = plain_anchors(t), plain_anchors(e), plain_anchors(n)
+        assert (got[i].n_chars, got[i].edited_sha256) == (len(t), hashlib.sha256(e.encode()).hexdigest())
+        assert got[i].fingerprint == " ".join(f"{p}:{x}" for p, x in a) and got[i].edited_fingerprint == " ".join(f"{p}:{x}" for p, x in b)
+        assert abs(got[i].near_edited - plain_likeness(a, b)) < 1e-12 and abs(got[i].near_next - plain_likeness(a, c)) < 1e-12
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert fingerprints.op8_fingerprints(spark, str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("n", [12, 62, 63, 64, 70, 300])
 def test_likeness_of_near_copies_of_every_length(spark, n):
     rng = random.Random(n)
     texts = [" ".join(rng.choice(VOCABULARY) + str(rng.randrange(99)) for _ in range(n)) for _ in range(20)]
-    pairs = spark.createDataFrame([(t, t + " more", o) for t, o in zip(texts, texts[1:] + texts[:1], strict=True)], "a string, b string, c string")
-    mark = {c: fingerprints.marks(F.col(c)) for c in "abc"}
-    got = pairs.select(fingerprints.likeness(mark["a"], mark["b"]).alias("near"), fingerprints.likeness(mark["c"], mark["b"]).alias("far")).collect()
-    assert min(r.near for r in got) > 0.8 and max(r.far for r in got) < 0.2
-
-
-def test_next_document_across_blocks(spark):
-    ids = [1, 2, 511, 512, 513, 1024, 5000, 5001, 70000, None]
-    rows = frame(spark, [(i, f"t{i}") for i in ids]).select("doc_id", "text")
-    order = [70000, 5001, 5000, 1024, 513, 512, 511, 2, 1, None]
-    got = {r.doc_id: r.next_text for r in fingerprints.with_next(rows, ["text"]).collect()}
-    assert got == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1], strict=True)}
+    turned = [" ".join(t.split(" ")[n // 2 :] + t.split(" ")[: n // 2]) for t in texts]
+    pairs = spark.createDataFrame([(t, t + " more", o, u) for t, o, u in zip(texts, texts[1:] + texts[:1], turned, strict=True)], "a string, b string, c string, d string")
+    mark = {c: fingerprints.anchors(F.col(c)) for c in "abcd"}
+    got = pairs.select(*(fingerprints.likeness(mark[x], mark[y]).alias(name) for x, y, name in (("a", "b", "near"), ("c", "b", "far"), ("a", "a", "same"), ("a", "d", "turned")))).collect()
+    lost = 5 / (0.4 * n)  # the k-mers that hold the end
+    assert sum(r.near for r in got) / 20 > 1 - lost - 0.05 and max(r.far for r in got) < 0.2 and {r.same for r in got} == {1.0}
+    assert sum(r.turned for r in got) / 20 > 0.5 - lost
+
+
+@pytest.mark.parametrize("rows_a_block", [fingerprints.BLOCK_ROWS, 2])
+def test_next_document_across_blocks(spark, rows_a_block, monkeypatch):
+    monkeypatch.setattr(fingerprints, "BLOCK_ROWS", rows_a_block)
+    ids = [1, 2, 511, 512, 513, 1024, 5000, 5001, 70000, None, -(1 << 63), (1 << 63) - 1]
+    rows = spark.createDataFrame([(i, f"t{i}", 1) for i in ids] + [(5000, "t4999", 1)], "doc_id long, text string, block int")
+    order = [(1 << 63) - 1, 70000, 5001, 4999, 5000, 1024, 513, 512, 511, 2, 1, -(1 << 63), None]
+    got = {r.text: r.next_text for r in fingerprints.with_next(rows, ["text"]).collect()}
+    assert got == {f"t{a}": f"t{b}" for a, b in zip(order, order[1:] + order[:1], strict=True)}
     assert fingerprints.with_next(rows.limit(0), ["text"]).count() == 0
 
 
