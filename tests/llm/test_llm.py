@@ -458,6 +458,47 @@ def test_html_articles_of_side_lists_stay_out(wrapper):
     assert html_text.main_text(page, html_text.default_tree()) == WHOLE.strip()
 
 
+@pytest.mark.parametrize("wrapper", ["form id=f", "div id='page' class='more'", "div class='widget text'", "div title='not hidden'", "div title=hidden data-x='class=ad'", "div class=loads"])
+def test_html_long_text_in_an_odd_wrapper_without_article(wrapper):
+    page = f"<body><{wrapper}><nav><a href=1>One</a></nav><h1>A title of it</h1><p>{WHOLE}<p>{WHOLE}<footer>all of us</footer></{wrapper.split()[0]}>"
+    assert html_text.main_text(page, html_text.default_tree()) == f"A title of it {WHOLE}{WHOLE}".strip()
+    assert html_text.main_text(f"<body><article><p>{WHOLE}</article><form>Your name <input> and a word or two</form>", html_text.default_tree()) == WHOLE.strip()
+
+
+@pytest.mark.parametrize("aside", ["<span class='ad'>Buy <span>this</span> thing</span>", "<b hidden>not seen</b>", "<a class='sponsored promo' href=x>Buy</a>", "<span style='display: none'>no</span>"])
+def test_html_adverts_in_a_line(aside):
+    assert html_text.main_text(f"<article><p>{WHOLE}{aside}{WHOLE}<p>{WHOLE}</article>", html_text.default_tree()) == f"{WHOLE}{WHOLE}{WHOLE}".strip()
+    assert html_text.main_text(f"<article><p>{WHOLE}<span>and <i>so</i></span> <b>on</b>{WHOLE}</article>", html_text.default_tree()) == f"{WHOLE}and so on{WHOLE}".strip()
+
+
+def test_html_of_the_given_pages(spark):
+    """Every page of the smallest table against what a parser of the standard library finds in its article element."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.parts = False, []
+
+        def handle_starttag(self, tag, attrs):
+            self.inside |= tag == "article"
+            self.parts.append("" if tag in ("b", "i", "a") else " ")
+
+        def handle_endtag(self, tag):
+            self.inside &= tag != "article"
+            self.parts.append("" if tag in ("b", "i", "a") else " ")
+
+        def handle_data(self, data):
+            self.parts += [data] if self.inside else []
+
+    rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    pages = {r.page_id: r.html for r in rows.collect()}
+    for r in html_text.extract(rows).collect():
+        plain = Article()
+        plain.feed(pages[r.page_id])
+        assert r.text == " ".join("".join(plain.parts).split())
+
+
 def test_html_tree_learns_its_table():
     table = np.array(html_text.LABELLED)
     tree = html_text.default_tree()

@@ -13,20 +13,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 #: Elements whose content is not text of the page.
 _SILENT = {"script", "style", "noscript", "template", "svg", "head", "select", "button", "textarea", "iframe", "object", "canvas", "title", "math", "audio", "video", "datalist"}
 #: Elements that do not end a block.
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_SIDE = {"nav", "footer", "aside", "form", "menu", "header", "dialog", "fieldset"}
+#: Elements and names that hold something else than the article, and those that often do but may also wrap it.
+_SIDE = {"nav", "footer", "aside", "menu", "header", "dialog"}
+_ODD = {"form", "fieldset"}
 _SIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|sidebar|side|widget|comments?|replies|respond|disqus|share|sharing|social|related|recommend\w*|more"
-    r"|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|newsletter|subscribe|signup|login|search|tags?|copyright|disclaimer|pagination|pager|complementary|contentinfo|toolbar)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|advert\w*|promo\w*|sponsor\w*|cookies?|consent|gdpr|popup|modal|overlay|sidebar|comments?|replies|respond|disqus|share|sharing|social|related|recommend\w*"
+    r"|menu|nav|navbar|navigation|breadcrumbs?|footer|newsletter|subscribe|signup|copyright|disclaimer|complementary|contentinfo)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+_ODD_NAME = re.compile(r"(?:^|[\s_-])(?:banner|notice|alert|side|widget|more|header|masthead|login|search|tags?|pagination|pager|toolbar)(?:$|[\s_-])", re.IGNORECASE)
+#: Names that put an inline element apart from the text around it.
+_APART_NAME = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|promo\w*|sponsor\w*|share|sharing|social|newsletter|subscribe)(?:$|[\s_-])", re.IGNORECASE)
 #: Names that say what a layout has or lacks, not what the element is.
 _LAYOUT_NAME = re.compile(r"(?:(?<=[\s_-])|^)(?:has|with|without|no)[_-][\w-]*", re.IGNORECASE)
 #: Elements and names of lists in which articles are comments or teasers: an article in them is no main text.
@@ -38,28 +44,36 @@ _NEVER_NAME = re.compile(
 _MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|main|post|entry|story|content|body-?text)(?:$|[\s_-])", re.IGNORECASE)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
-FEATURES = ("side", "main", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after")
-#: Labelled blocks: side (enclosed by an element for something else than the article), main (enclosed by an article element), heading, words,
-#: link density, words and link density of the block before, of the block after, and whether it is article text.
+FEATURES = ("side", "odd", "main", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after")
+#: Labelled blocks: side (enclosed by an element for something else than the article), odd (by one that may be), main (enclosed by an article element), heading,
+#: words, link density, words and link density of the block before, of the block after, and whether it is article text.
 LABELLED = [
-    (1, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (1, 0, 0, 2, 1.0, 1, 1.0, 1, 1.0, 0), (1, 0, 0, 12, 0.0, 1, 1.0, 14, 0.0, 0), (1, 0, 0, 60, 0.0, 1, 1.0, 14, 0.0, 0),
-    (1, 0, 0, 9, 0.0, 45, 0.0, 0, 0.0, 0), (1, 0, 0, 25, 0.1, 80, 0.0, 0, 0.0, 0), (1, 1, 0, 30, 0.0, 50, 0.0, 22, 0.0, 0), (1, 1, 0, 5, 0.2, 70, 0.0, 40, 0.0, 0),
-    (1, 1, 0, 80, 0.0, 90, 0.0, 60, 0.0, 0), (1, 0, 1, 3, 0.0, 20, 0.0, 10, 1.0, 0), (1, 1, 1, 2, 0.0, 60, 0.0, 20, 0.0, 0), (1, 0, 0, 150, 0.0, 10, 0.0, 5, 0.0, 0),
-    (0, 1, 1, 11, 0.0, 12, 0.0, 60, 0.0, 1), (0, 1, 1, 3, 0.0, 40, 0.0, 70, 0.0, 1), (0, 1, 0, 1, 0.0, 30, 0.0, 45, 0.0, 1), (0, 1, 0, 4, 0.0, 1, 1.0, 5, 0.0, 1),
-    (0, 1, 0, 25, 0.0, 11, 0.0, 90, 0.0, 1), (0, 1, 0, 160, 0.0, 20, 0.0, 14, 0.0, 1), (0, 1, 0, 45, 0.15, 50, 0.0, 30, 0.0, 1), (0, 1, 0, 20, 0.4, 60, 0.0, 50, 0.0, 1),
-    (0, 1, 0, 2, 0.0, 2, 0.0, 2, 0.0, 1), (0, 1, 0, 12, 0.0, 60, 0.0, 15, 0.0, 1), (0, 1, 0, 3, 1.0, 80, 0.0, 70, 0.0, 1), (0, 1, 0, 8, 1.0, 90, 0.1, 40, 0.0, 1),
-    (0, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (0, 0, 0, 3, 1.0, 1, 1.0, 2, 1.0, 0), (0, 0, 0, 8, 0.9, 2, 1.0, 3, 1.0, 0), (0, 0, 0, 20, 0.8, 30, 0.0, 2, 1.0, 0),
-    (0, 0, 0, 2, 0.0, 1, 1.0, 1, 1.0, 0), (0, 0, 0, 4, 0.0, 3, 1.0, 2, 0.0, 0), (0, 0, 0, 5, 0.0, 2, 0.0, 3, 0.0, 0), (0, 0, 0, 6, 0.1, 4, 0.5, 0, 0.0, 0),
-    (0, 0, 0, 40, 0.0, 30, 0.0, 50, 0.0, 1), (0, 0, 0, 90, 0.05, 2, 1.0, 60, 0.0, 1), (0, 0, 0, 25, 0.0, 70, 0.0, 5, 0.0, 1), (0, 0, 0, 16, 0.0, 40, 0.0, 35, 0.1, 1),
-    (0, 0, 0, 60, 0.2, 80, 0.0, 30, 0.0, 1), (0, 0, 0, 7, 0.0, 60, 0.0, 55, 0.0, 1), (0, 0, 0, 3, 0.0, 50, 0.0, 70, 0.0, 1), (0, 0, 1, 7, 0.0, 3, 1.0, 60, 0.0, 1),
-    (0, 0, 1, 4, 0.0, 50, 0.0, 45, 0.0, 1), (0, 0, 1, 2, 0.0, 2, 1.0, 2, 1.0, 0), (0, 0, 0, 30, 0.7, 5, 1.0, 6, 1.0, 0), (0, 0, 0, 18, 0.0, 3, 0.0, 40, 0.0, 1),
-    (0, 0, 0, 61, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 0, 20, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 0, 35, 0.1, 3, 1.0, 2, 1.0, 1), (0, 0, 0, 2, 0.0, 0, 0.0, 0, 0.0, 0),
-    (0, 1, 0, 40, 0.0, 4, 1.0, 35, 0.0, 1), (0, 1, 1, 5, 0.0, 4, 1.0, 40, 0.0, 1), (0, 1, 0, 60, 0.0, 40, 0.0, 6, 0.5, 1), (0, 0, 0, 50, 0.0, 4, 1.0, 45, 0.0, 1),
-    (0, 0, 0, 2, 1.0, 1, 1.0, 40, 0.0, 0), (0, 0, 0, 6, 1.0, 2, 1.0, 80, 0.0, 0), (0, 0, 0, 9, 0.8, 0, 0.0, 120, 0.0, 0), (0, 0, 0, 1, 1.0, 60, 0.0, 70, 0.0, 0),
+    (1, 0, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (1, 0, 0, 0, 2, 1.0, 1, 1.0, 1, 1.0, 0), (1, 0, 0, 0, 12, 0.0, 1, 1.0, 14, 0.0, 0), (1, 0, 0, 0, 60, 0.0, 1, 1.0, 14, 0.0, 0),
+    (1, 0, 0, 0, 9, 0.0, 45, 0.0, 0, 0.0, 0), (1, 0, 0, 0, 25, 0.1, 80, 0.0, 0, 0.0, 0), (1, 0, 1, 0, 30, 0.0, 50, 0.0, 22, 0.0, 0), (1, 0, 1, 0, 5, 0.2, 70, 0.0, 40, 0.0, 0),
+    (1, 0, 1, 0, 80, 0.0, 90, 0.0, 60, 0.0, 0), (1, 0, 0, 1, 3, 0.0, 20, 0.0, 10, 1.0, 0), (1, 0, 1, 1, 2, 0.0, 60, 0.0, 20, 0.0, 0), (1, 0, 0, 0, 150, 0.0, 10, 0.0, 5, 0.0, 0),
+    (0, 0, 1, 1, 11, 0.0, 12, 0.0, 60, 0.0, 1), (0, 0, 1, 1, 3, 0.0, 40, 0.0, 70, 0.0, 1), (0, 0, 1, 0, 1, 0.0, 30, 0.0, 45, 0.0, 1), (0, 0, 1, 0, 4, 0.0, 1, 1.0, 5, 0.0, 1),
+    (0, 0, 1, 0, 25, 0.0, 11, 0.0, 90, 0.0, 1), (0, 0, 1, 0, 160, 0.0, 20, 0.0, 14, 0.0, 1), (0, 0, 1, 0, 45, 0.15, 50, 0.0, 30, 0.0, 1), (0, 0, 1, 0, 20, 0.4, 60, 0.0, 50, 0.0, 1),
+    (0, 0, 1, 0, 2, 0.0, 2, 0.0, 2, 0.0, 1), (0, 0, 1, 0, 12, 0.0, 60, 0.0, 15, 0.0, 1), (0, 0, 1, 0, 3, 1.0, 80, 0.0, 70, 0.0, 1), (0, 0, 1, 0, 8, 1.0, 90, 0.1, 40, 0.0, 1),
+    (0, 0, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (0, 0, 0, 0, 3, 1.0, 1, 1.0, 2, 1.0, 0), (0, 0, 0, 0, 8, 0.9, 2, 1.0, 3, 1.0, 0), (0, 0, 0, 0, 20, 0.8, 30, 0.0, 2, 1.0, 0),
+    (0, 0, 0, 0, 2, 0.0, 1, 1.0, 1, 1.0, 0), (0, 0, 0, 0, 4, 0.0, 3, 1.0, 2, 0.0, 0), (0, 0, 0, 0, 5, 0.0, 2, 0.0, 3, 0.0, 0), (0, 0, 0, 0, 6, 0.1, 4, 0.5, 0, 0.0, 0),
+    (0, 0, 0, 0, 40, 0.0, 30, 0.0, 50, 0.0, 1), (0, 0, 0, 0, 90, 0.05, 2, 1.0, 60, 0.0, 1), (0, 0, 0, 0, 25, 0.0, 70, 0.0, 5, 0.0, 1), (0, 0, 0, 0, 16, 0.0, 40, 0.0, 35, 0.1, 1),
+    (0, 0, 0, 0, 60, 0.2, 80, 0.0, 30, 0.0, 1), (0, 0, 0, 0, 7, 0.0, 60, 0.0, 55, 0.0, 1), (0, 0, 0, 0, 3, 0.0, 50, 0.0, 70, 0.0, 1), (0, 0, 0, 1, 7, 0.0, 3, 1.0, 60, 0.0, 1),
+    (0, 0, 0, 1, 4, 0.0, 50, 0.0, 45, 0.0, 1), (0, 0, 0, 1, 2, 0.0, 2, 1.0, 2, 1.0, 0), (0, 0, 0, 0, 30, 0.7, 5, 1.0, 6, 1.0, 0), (0, 0, 0, 0, 18, 0.0, 3, 0.0, 40, 0.0, 1),
+    (0, 0, 0, 0, 61, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 0, 0, 20, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 0, 0, 35, 0.1, 3, 1.0, 2, 1.0, 1), (0, 0, 0, 0, 2, 0.0, 0, 0.0, 0, 0.0, 0),
+    (0, 0, 1, 0, 40, 0.0, 4, 1.0, 35, 0.0, 1), (0, 0, 1, 1, 5, 0.0, 4, 1.0, 40, 0.0, 1), (0, 0, 1, 0, 60, 0.0, 40, 0.0, 6, 0.5, 1), (0, 0, 0, 0, 50, 0.0, 4, 1.0, 45, 0.0, 1),
+    (0, 0, 0, 0, 2, 1.0, 1, 1.0, 40, 0.0, 0), (0, 0, 0, 0, 6, 1.0, 2, 1.0, 80, 0.0, 0), (0, 0, 0, 0, 9, 0.8, 0, 0.0, 120, 0.0, 0), (0, 0, 0, 0, 1, 1.0, 60, 0.0, 70, 0.0, 0),
+    (0, 1, 0, 0, 17, 0.0, 1, 1.0, 11, 0.0, 0), (0, 1, 0, 0, 8, 0.0, 40, 0.0, 40, 0.0, 0), (0, 1, 0, 0, 1, 0.0, 60, 0.0, 0, 0.0, 0), (0, 1, 0, 0, 3, 1.0, 2, 1.0, 2, 1.0, 0),
+    (0, 1, 0, 0, 12, 0.5, 30, 0.0, 60, 0.0, 0), (0, 1, 1, 0, 8, 0.0, 80, 0.0, 70, 0.0, 0), (0, 1, 1, 0, 15, 0.1, 60, 0.0, 90, 0.0, 0), (0, 1, 0, 1, 2, 0.0, 1, 1.0, 9, 0.0, 0),
+    (0, 1, 0, 0, 22, 0.1, 5, 0.5, 3, 1.0, 0), (0, 1, 0, 0, 30, 0.8, 20, 0.9, 15, 1.0, 0), (0, 1, 0, 0, 40, 0.0, 40, 0.0, 40, 0.0, 1), (0, 1, 0, 0, 60, 0.0, 5, 0.0, 70, 0.0, 1),
+    (0, 1, 0, 0, 90, 0.05, 60, 0.0, 1, 1.0, 1), (0, 1, 0, 0, 34, 0.0, 1, 1.0, 36, 0.0, 1), (0, 1, 0, 0, 120, 0.1, 2, 1.0, 80, 0.0, 1), (0, 1, 0, 1, 6, 0.0, 2, 1.0, 55, 0.0, 1),
+    (0, 1, 0, 1, 5, 0.0, 70, 0.0, 60, 0.0, 1), (0, 1, 0, 0, 38, 0.0, 34, 0.0, 0, 0.0, 1), (0, 1, 1, 0, 70, 0.0, 60, 0.0, 50, 0.0, 1), (1, 0, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0),
+    (1, 0, 0, 0, 1, 1.0, 1, 1.0, 12, 0.0, 0), (1, 0, 0, 0, 12, 0.0, 1, 1.0, 8, 0.0, 0), (1, 0, 0, 0, 13, 0.0, 1, 1.0, 8, 0.0, 0), (0, 0, 1, 1, 8, 0.0, 12, 0.0, 8, 0.0, 1),
+    (0, 0, 1, 0, 8, 0.0, 8, 0.0, 102, 0.0, 1), (0, 0, 1, 0, 1, 0.0, 14, 0.0, 10, 0.0, 1), (0, 0, 1, 0, 102, 0.0, 8, 0.0, 63, 0.0, 1), (0, 0, 1, 0, 10, 0.0, 1, 0.0, 56, 0.0, 1),
+    (0, 0, 1, 0, 16, 0.0, 86, 0.0, 15, 0.0, 1), (1, 0, 0, 0, 15, 0.0, 16, 0.0, 0, 0.0, 0), (1, 0, 0, 0, 13, 0.0, 1, 0.0, 0, 0.0, 0),
 ]
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6) -> tuple:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 7) -> tuple:
     """A decision tree: (feature, threshold, tree where the feature is at most it, tree elsewhere), or a label; splits have the least Gini impurity."""
     if depth == 0 or len(set(labels.tolist())) < 2:
         return (int(labels.mean() >= 0.5),)
@@ -88,11 +102,20 @@ def classify(tree: tuple, block: tuple) -> int:
     return tree[0]
 
 
-def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
-    """The non-empty text blocks of a page, in order: (text, link density, side, main, heading)."""
+def _given(attributes: str) -> dict[str, str]:
+    return {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
+
+
+def _hidden(given: dict[str, str]) -> bool:
+    return "hidden" in given or given.get("aria-hidden") == "true" or bool(_HIDDEN.search(given.get("style", "")))
+
+
+def blocks(page: str) -> list[tuple[str, float, int, int, int, int]]:
+    """The non-empty text blocks of a page, in order: (text, link density, side, odd, main, heading)."""
     out, text, linked = [], [], []
-    stack: list[tuple[str, int, int, str]] = []  # what an element adds to side and main, and what becomes of side at an article or main element in it
-    side = main = heading = anchor = 0
+    # name, what the element adds to side, odd and main, and what becomes of side at an article or main element in it
+    stack: list[tuple[str, int, int, int, str]] = []
+    side = odd = main = heading = anchor = 0
     at, ends = 0, len(page)
 
     def close():
@@ -100,7 +123,7 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
             own = " ".join(html.unescape("".join(text)).split())
             if own:
                 n = len(own.split(" "))
-                out.append((own, min(1.0, len(html.unescape("".join(linked)).split()) / n), int(side > 0), int(main > 0), int(heading > 0)))
+                out.append((own, min(1.0, len(html.unescape("".join(linked)).split()) / n), int(side > 0), int(odd > 0), int(main > 0), int(heading > 0)))
             text.clear()
             linked.clear()
 
@@ -110,6 +133,18 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
             if anchor:
                 linked.append(part)
 
+    def push(name: str, s: int = 0, o: int = 0, a: int = 0, keeps: str = ""):
+        nonlocal side, odd, main
+        stack.append((name, s, o, a, keeps))
+        side, odd, main = side + s, odd + o, main + a
+
+    def pop(k: int):
+        nonlocal side, odd, main, heading
+        for name, s, o, a, _ in stack[k:]:
+            side, odd, main = side - s, odd - o, main - a
+            heading -= name in ("h1", "h2", "h3", "h4", "h5", "h6")
+        del stack[k:]
+
     while at < ends:
         m = _TOKEN.search(page, at)
         if not m:
@@ -127,19 +162,15 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
                 anchor = max(0, anchor - 1)
                 if linked:
                     linked.append(" ")
-            elif name not in _INLINE:
-                close()
-                if name == "p" and not any(x[0] == "p" for x in stack):
-                    continue
+            if name == "br":
+                say(" ")
+            elif name not in _INLINE or any(x[0] == name for x in stack):
+                if name not in _INLINE or next(x for x in reversed(stack) if x[0] == name)[1]:
+                    close()
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == name:
-                        for _, s, a, _ in stack[k:]:
-                            side, main = side - s, main - a
-                        heading -= sum(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack[k:])
-                        del stack[k:]
+                        pop(k)
                         break
-            elif name == "br":
-                say(" ")
             continue
         if name in _SILENT:
             if not m[3].endswith("/"):
@@ -150,37 +181,40 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
             continue
         if name == "a":
             anchor += 1
-        elif name in ("br", "wbr"):
+        if name in ("br", "wbr"):
             say(" " if name == "br" else "")
-        elif name not in _INLINE:
-            close()
-            if name in _VOID or m[3].endswith("/"):
-                continue
-            if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
-                _, s, a, _ = stack.pop()
-                side, main = side - s, main - a
-            elif name not in ("p",) and stack and stack[-1][0] == "p":
-                _, s, a, _ = stack.pop()
-                side, main = side - s, main - a
-            given = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(m[3])} if m[3] else {}
-            named = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}"
-            own = _LAYOUT_NAME.sub(" ", named)
-            hidden = "hidden" in given or given.get("aria-hidden") == "true" or bool(_HIDDEN.search(given.get("style", "")))
-            by_name = bool(_SIDE_NAME.search(own))
-            s = int((name in _SIDE and not (name == "header" and main)) or by_name or hidden)
-            a = int(name in ("article", "main") or bool(_MAIN_NAME.search(named)))
-            keeps = ""
-            if name in ("body", "html", "article", "main"):
-                s = 0
-                if side and name in ("article", "main") and not any(x[3] == "all" or x[3] == name for x in stack):
-                    s = -side
-            elif name in _NEVER or hidden:
-                keeps = "all"
-            elif by_name and (_NEVER_NAME.search(own) or any(x[0] in ("article", "main") for x in stack)):
-                keeps = "article"
-            stack.append((name, s, a, keeps))
-            side, main = side + s, main + a
-            heading += name in ("h1", "h2", "h3", "h4", "h5", "h6")
+            continue
+        given = _given(m[3]) if m[3] else {}
+        named = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}"
+        if name in _INLINE:
+            apart = name not in _VOID and bool(given) and (_hidden(given) or bool(_APART_NAME.search(_LAYOUT_NAME.sub(" ", named))))
+            if apart:
+                close()
+                push(name, 1, keeps="all")
+            elif any(x[0] == name for x in stack):
+                push(name)  # so that its end isn't taken for that of the one around it
+            continue
+        close()
+        if name in _VOID or m[3].endswith("/"):
+            continue
+        if stack and stack[-1][0] == "p" and name != "p" or stack and stack[-1][0] == name and name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
+            pop(len(stack) - 1)
+        own, hidden = _LAYOUT_NAME.sub(" ", named), _hidden(given)
+        by_name = bool(_SIDE_NAME.search(own))
+        s = int((name in _SIDE and not (name == "header" and main)) or by_name or hidden)
+        o = int(name in _ODD or bool(_ODD_NAME.search(own)))
+        a = int(name in ("article", "main") or bool(_MAIN_NAME.search(named)))
+        keeps = ""
+        if name in ("body", "html", "article", "main"):
+            s = o = 0
+            if name in ("article", "main") and not any(x[4] == "all" or x[4] == name for x in stack):
+                s, o = -side, -odd
+        elif name in _NEVER or hidden:
+            keeps = "all"
+        elif (by_name or o) and (_NEVER_NAME.search(own) or any(x[0] in ("article", "main") for x in stack)):
+            keeps = "article"
+        push(name, s, o, a, keeps)
+        heading += name in ("h1", "h2", "h3", "h4", "h5", "h6")
     close()
     return out
 
@@ -189,14 +223,14 @@ def main_text(page: str, tree: tuple) -> str:
     found = blocks(page)
     words = [0, *(len(b[0].split(" ")) for b in found), 0]
     links = [0.0, *(b[1] for b in found), 0.0]
-    return " ".join(b[0] for i, b in enumerate(found, 1) if classify(tree, (b[2], b[3], b[4], words[i], links[i], words[i - 1], links[i - 1], words[i + 1], links[i + 1])))
+    return " ".join(b[0] for i, b in enumerate(found, 1) if classify(tree, (*b[2:], words[i], links[i], words[i - 1], links[i - 1], words[i + 1], links[i + 1])))
 
 
 def extract(pages: DataFrame, tree: tuple | None = None) -> DataFrame:
     """Adds text, the main text, to the rows of `pages` and drops html.
 
-    A null or empty page has an empty text. Other columns, null or not, repeated rows and an empty table stay as they are; a column named
-    text is replaced.
+    A null or empty page has an empty text; a very long one is worked on whole. Other columns, null or not, repeated rows and an empty table stay as they
+    are; a column named text is replaced.
     """
     tree = tree or default_tree()
     pages = pages.drop("text")
@@ -207,8 +241,7 @@ def extract(pages: DataFrame, tree: tuple | None = None) -> DataFrame:
             found = pa.array([main_text(x.as_py() or "", tree) for x in batch.column("html")], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), found], names=[*kept, "text"])
 
-    kinds = [f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in kept]
-    return pages.select(*kept, "html").mapInArrow(run, ", ".join([*kinds, "text string"]))
+    return pages.select(*(f"`{c}`" for c in kept), "html").mapInArrow(run, StructType([*(pages.schema[c] for c in kept), StructField("text", StringType())]))
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
