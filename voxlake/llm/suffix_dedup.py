@@ -71,15 +71,14 @@ def _slide(x: np.ndarray, width: int, pick, back: bool = False) -> np.ndarray:
 
 
 def _sampled(data: np.ndarray, offsets: np.ndarray, length: int, span: int):
-    """(names of `SAMPLE` bytes, smallest name of each window, whether a window lies in one text, names of the pairs of ranks half the rest apart, whether these bytes lie in one text)."""
+    """(names of `SAMPLE` bytes, smallest name of each window, whether a window lies in one text)."""
     n = len(data)
     whole = np.zeros(n, bool)
     for_row = np.repeat(offsets[1:], np.diff(offsets))
     whole = np.arange(n) + length <= for_row
     name = _windows(byte_codes(data), SAMPLE)
     name[np.arange(n) + SAMPLE > for_row] = np.uint64(0xFFFFFFFFFFFFFFFF)
-    half = (length - SAMPLE) // 2
-    return name, _slide(name, span, np.minimum), whole, _joined(name, name, half), np.arange(n) + SAMPLE + half <= for_row
+    return name, _slide(name, span, np.minimum), whole
 
 
 def _packed(bucket: np.ndarray, buckets: int, columns: dict[str, np.ndarray], direct: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -115,16 +114,18 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _shared(names: np.ndarray, ranks: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Which entries have a name and rank that two texts have; rank 0 is none, text 0 differs from any."""
-    out = np.zeros(len(names), bool)
-    order = np.lexsort((ranks, names))
-    order = order[ranks[order] > 0]
-    if len(order):
-        cut, own = _runs(names[order], ranks[order]), texts[order]
-        low, high = np.minimum.reduceat(own, cut), np.maximum.reduceat(own, cut)
-        out[order] = np.repeat((low != high) | (low == 0), np.diff(np.append(cut, len(order))))
-    return out
+def _kinds(names: np.ndarray, ranks: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries by name (48 bits) and rank (16): (which of them are of a kind that two texts have, one entry of each such kind); rank 0 is none, text 0 differs from any."""
+    at = np.flatnonzero(ranks)
+    key = names[at] << np.uint64(16) | ranks[at]
+    order = np.argsort(key)
+    at, key = at[order], key[order]
+    if not len(at):
+        return at, at
+    cut, own = _runs(key), texts[at]
+    low = np.minimum.reduceat(own, cut)
+    mixed = (low != np.maximum.reduceat(own, cut)) | (low == 0)
+    return at[np.repeat(mixed, np.diff(np.append(cut, len(at))))], at[cut[mixed]]
 
 
 def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -136,12 +137,8 @@ def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         known = np.zeros(len(name), bool)
         tell = np.zeros(len(name), bool)  # speaks for the known ones of its kind
         for rank in (left, right):
-            mine = _shared(name, rank, text)
-            known |= mine
-            at = np.flatnonzero(mine)
-            at = at[np.lexsort((rank[at], name[at]))]
-            if len(at):
-                tell[at[_runs(name[at], rank[at])]] = True
+            mine, one = _kinds(name >> np.uint64(16), rank, text)
+            known[mine], tell[one] = True, True
         text = np.where(tell, np.uint64(0), text)
         ask = ~known | tell
         columns = {"names": (name[ask] >> np.uint64(24)).astype(np.uint32), "lefts": left[ask], "rights": right[ask], "texts": text[ask], "docs": doc[ask], "tags": tag[ask], "spots": spot[ask]}
@@ -153,13 +150,14 @@ def _samples(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             for rows, data, offsets in steps(batch, end=""):
                 if len(data) < length:
                     continue
-                name, least, whole, pair, inside = _sampled(data, offsets, length, span)
+                name, least, whole = _sampled(data, offsets, length, span)
                 least = np.where(whole, least, np.uint64(0))
                 at = np.flatnonzero((_slide(least, span, np.maximum, back=True) == name) & (name < np.uint64(0xFFFFFFFFFFFFFFFF)))
                 row = np.searchsorted(offsets, at, "right") - 1
-                short = lambda x: (x >> np.uint64(40)).astype(np.uint16) | np.uint16(1)  # noqa: E731 - a part of the rank will do to tell what need not be looked at
-                right = np.where(inside[at], short(pair[at]), np.uint16(0))
-                left = np.where(at - half >= offsets[row], short(pair[np.maximum(at - half, 0)]), np.uint16(0))
+                # a part of the rank of the pair (p, p + half) will do to tell what need not be looked at
+                pair = lambda p: (mix(name[p] ^ mix(name[np.minimum(p + half, len(name) - 1)])) >> np.uint64(48)).astype(np.uint16) | np.uint16(1)  # noqa: B023, E731
+                right = np.where(at + SAMPLE + half <= offsets[row + 1], pair(at), np.uint16(0))
+                left = np.where(at - half >= offsets[row], pair(np.maximum(at - half, 0)), np.uint16(0))
                 text = rows.column("mark").to_numpy().view(np.uint64)[row] | np.uint64(1)
                 held.append((name[at], left, right, text, rows.column("doc_id").to_numpy()[row], rows.column("tag").to_numpy()[row], (at - offsets[row]).astype(np.int32)))
                 size += len(at)
@@ -177,8 +175,10 @@ def _shared_samples(samples: DataFrame) -> DataFrame:
     """(doc_id, tag, spot) of samples that share with another text the bytes from them on, or up to them."""
 
     def keep(rows: pd.DataFrame) -> pd.DataFrame:
-        name, text = _column(rows.names, np.uint32), _column(rows.texts, np.uint64)
-        mixed = _shared(name, _column(rows.lefts, np.uint16), text) | _shared(name, _column(rows.rights, np.uint16), text)
+        name, text = _column(rows.names, np.uint32).astype(np.uint64), _column(rows.texts, np.uint64)
+        mixed = np.zeros(len(name), bool)
+        for rank in (rows.lefts, rows.rights):
+            mixed[_kinds(name, _column(rank, np.uint16), text)[0]] = True
         at = np.flatnonzero(mixed & (text > 0))
         doc = np.concatenate((_column(rows.docs, np.int64)[at], _column(rows.known_docs, np.int64)))
         tag = np.concatenate((_column(rows.tags, np.int64)[at], _column(rows.known_tags, np.int64)))
@@ -254,20 +254,24 @@ def _surroundings(suspects: DataFrame, length: int, buckets: int) -> DataFrame:
 def _again(value: np.ndarray, doc: np.ndarray, window) -> tuple[np.ndarray, np.ndarray]:
     """(which windows a smaller document holds too, which are the first of their kind): windows are sorted by rank, equal ranks are confirmed by window(places), the bytes."""
     again, lead = np.zeros(len(value), bool), np.zeros(len(value), bool)
-    order = np.lexsort((doc, value))
-    if not len(order):
+    if not len(value):
         return again, lead
-    cut = _runs(value[order])
-    first = order[np.repeat(cut, np.diff(np.append(cut, len(order))))]
-    lead[order[cut]] = True
-    again[order] = doc[order] > doc[first]
+    order = np.argsort(value)
+    cut, own = _runs(value[order]), doc[order]
+    size = np.diff(np.append(cut, len(order)))
+    smallest = np.flatnonzero(own == np.repeat(np.minimum.reduceat(own, cut), size))
+    head = order[smallest[np.searchsorted(smallest, cut)]]
+    first = np.repeat(head, size)
+    lead[head] = True
+    again[order] = own > doc[first]
     differ = []
     for a in range(0, len(order), 1 << 17):
         x, y = order[a : a + (1 << 17)], first[a : a + (1 << 17)]
         other = x != y
         differ.append(y[other][(window(x[other]) != window(y[other])).any(1)])
     for k in np.unique(np.concatenate(differ)):  # different bytes under one rank
-        own = order[first == k]  # by document
+        own = order[first == k]
+        own = own[np.argsort(doc[own], kind="stable")]
         _, at, kind = np.unique(window(own), axis=0, return_index=True, return_inverse=True)
         lead[own] = False
         lead[own[at]] = True
