@@ -86,13 +86,14 @@ def with_next(docs: DataFrame, columns: list[str], add: dict[str, Column] | None
     blocks = max(1, min(BLOCKS, docs.count() // BLOCK_ROWS))
     cuts = docs.select(F.col("doc_id").cast("double").alias("number")).approxQuantile("number", [i / blocks for i in range(1, blocks)], 0.25 / blocks) if blocks > 1 else []
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), number.alias("number"))
-    rows = Bucketizer(splits=[-math.inf, *sorted(set(cuts)), math.inf], inputCol="number", outputCol="block").transform(rows).drop("number") if cuts else rows.select("row", F.lit(0.0).alias("block"))
+    rows = Bucketizer(splits=[-math.inf, *sorted(set(cuts)), math.inf], inputCol="number", outputCol="block").transform(rows).select("row", F.col("block").cast("int")) if cuts else rows.select("row", F.lit(0).alias("block"))
     heads = rows.groupBy("block").agg(F.max("row.doc_id").alias("id"))
     above = Window.orderBy("block")  # over at most BLOCKS rows
     heads = heads.select(F.col("block").alias("from"), "id", F.coalesce(F.lead("block").over(above), F.min("block").over(above.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("to"))
     guests = rows.join(F.broadcast(heads), (F.col("block") == F.col("from")) & F.col("row.doc_id").eqNullSafe(F.col("id"))).select("row", F.col("to").alias("block"), F.lit(True).alias("guest"))
     both = rows.select("row", "block", F.lit(False).alias("guest")).unionByName(guests)
-    flat = both.select("row", "block", "guest", *(e.alias(c) for c, e in (add or {}).items()))
+    # the texts are dealt before the columns are added, so that only they travel
+    flat = both.repartition("block").select("row", "block", "guest", *(e.alias(c) for c, e in (add or {}).items()))
     own = {c: F.col(c) if c in (add or {}) else F.col(f"row.`{c}`") for c in columns}
     order = Window.partitionBy("block").orderBy("guest", F.desc_nulls_last("row.doc_id"), *own.values())
     return flat.select("row", "guest", *(add or {}), *(F.lead(e).over(order).alias(f"next_{c}") for c, e in own.items())).where(~F.col("guest")).select("row.*", *(add or {}), *(f"next_{c}" for c in columns))
