@@ -11,7 +11,7 @@ def campaign_compare(counts: DataFrame, a: str = "A", b: str = "B") -> DataFrame
     subjects that have it (0 if none has), and the ratio of the means, null where a's is 0."""
     totals = counts.groupBy("campaign").agg(F.count_distinct("subject_id").alias("total"))
     own = counts.groupBy("campaign", "sulcus").agg(F.count("*").alias("subjects"), F.avg("n").alias("mean"))
-    own = own.join(F.broadcast(totals), "campaign")
+    own = own.join(totals, "campaign")
     of = lambda c, name: F.max(F.when(F.col("campaign") == c, F.col(name)))
     both = own.groupBy("sulcus").agg(*(F.coalesce(of(c, name), F.lit(0)).alias(f"{name}_{s}") for c, s in ((a, "a"), (b, "b")) for name in ("subjects", "mean", "total")))
     percent = lambda s: F.when(F.col(f"total_{s}") > 0, F.round(100.0 * F.col(f"subjects_{s}") / F.col(f"total_{s}"), 1)).otherwise(F.lit(0.0))
@@ -35,7 +35,7 @@ def campaign_subjects(counts: DataFrame, a: str = "A", b: str = "B") -> DataFram
 def with_mask_stats(comparison: DataFrame, stats: DataFrame, counts: DataFrame, a: str = "A", b: str = "B") -> DataFrame:
     """The comparison with each campaign's mask statistics; sums also for each of its subjects."""
     totals = counts.groupBy("campaign").agg(F.count_distinct("subject_id").alias("total")).withColumnRenamed("campaign", "mask_set")
-    own = stats.groupBy("mask_set", "sulcus").agg(F.max("max_n").alias("max_n"), F.sum("sum_n").alias("sum_n"), F.sum("nonzero").alias("nonzero")).join(F.broadcast(totals), "mask_set", "left")
+    own = stats.groupBy("mask_set", "sulcus").agg(F.max("max_n").alias("max_n"), F.sum("sum_n").alias("sum_n"), F.sum("nonzero").alias("nonzero")).join(totals, "mask_set", "left")
     out = comparison
     for c, s in ((a, "a"), (b, "b")):
         per = F.round(F.col("sum_n") / F.greatest(F.coalesce("total", F.lit(1)), F.lit(1)), 6)

@@ -49,19 +49,30 @@ def roi_sizes(embeddings: DataFrame) -> DataFrame:
     return embeddings.groupBy(*ROI).agg(F.count("*").alias("n"), F.count_distinct("subject_id").alias("n_subjects"), F.min(size).alias("min_dim"), F.max(size).alias("max_dim"))
 
 
+#: Keys whose matrices a task holds.
+MOST_HELD = 256
 _GRAM = "n long, sx binary, sy binary, xx binary, yy binary, xy binary"
 
 
 def grams(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Sums and products of the vectors x and y of each key, summed over parts of the input: partial matrices in the tasks, one addition a key and task."""
+    """Sums and products of the vectors x and y of each key, summed over parts of the input: partial matrices in the tasks, about one addition a key and task."""
 
     def part(batches):
+        held: dict[tuple, list] = {}
+
+        def rows():
+            return pd.DataFrame([(*key, own[0], *(m.tobytes() for m in own[1:])) for key, own in held.items()], columns=[*keys, "n", "sx", "sy", "xx", "yy", "xy"])
+
         for batch in batches:
-            rows = []
             for key, own in batch.groupby(keys, sort=False):
                 x, y = (np.array(own[c].tolist(), np.float64) for c in "xy")
-                rows.append((*key, len(own), *(m.tobytes() for m in (x.sum(0), y.sum(0), x.T @ x, y.T @ y, x.T @ y))))
-            yield pd.DataFrame(rows, columns=[*keys, "n", "sx", "sy", "xx", "yy", "xy"])
+                new = [len(own), x.sum(0), y.sum(0), x.T @ x, y.T @ y, x.T @ y]
+                held[key] = [a + b for a, b in zip(held[key], new, strict=True)] if key in held else new
+            if len(held) > MOST_HELD:
+                yield rows()
+                held.clear()
+        if held:
+            yield rows()
 
     kinds = ", ".join(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys)
     return pairs.select(*keys, "x", "y").mapInPandas(part, f"{kinds}, {_GRAM}")

@@ -38,18 +38,25 @@ def wasserstein_axis(masks: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def mask_distance(masks: DataFrame, a: str, b: str) -> DataFrame:
-    """The Euclidean norm of the three axis distances, for masks of both sets."""
-    axes = wasserstein_axis(masks, a, b).where(~F.col("empty_side"))
-    return axes.groupBy(*KEY).agg(F.round(F.sqrt(F.sum(F.col("w") * F.col("w"))), 6).alias("distance"))
+    """The Euclidean norm of the three axis distances; 0 where one side is empty, and said so."""
+    return wasserstein_axis(masks, a, b).groupBy(*KEY).agg(F.round(F.sqrt(F.sum(F.col("w") * F.col("w"))), 6).alias("distance"), F.max("empty_side").alias("empty_side"))
 
 
 def mask_buckets(distances: DataFrame) -> DataFrame:
-    """Masks by unit of distance, in the order of distance."""
+    """Masks of both sets by unit of distance, in the order of distance."""
     name = F.concat_ws("/", *KEY)
-    return distances.groupBy(F.floor("distance").alias("low"), bucket_label(F.col("distance")).alias("bucket")).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list(name)), ",").alias("names"))
+    return distances.where(~F.col("empty_side")).groupBy(F.floor("distance").alias("low"), bucket_label(F.col("distance")).alias("bucket")).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list(name)), ",").alias("names"))
 
 
 def mask_report(distances: DataFrame, sets: DataFrame) -> DataFrame:
     """A row of summary: masks common and on one side, mean and largest distance."""
     found = sets.agg(*(F.count_if(F.col("where_found") == w).alias(w) for w in ("common", "only_a", "only_b")))
-    return found.crossJoin(distances.agg(F.round(F.avg("distance"), 6).alias("mean_distance"), F.max("distance").alias("max_distance")))
+    return found.crossJoin(distances.where(~F.col("empty_side")).agg(F.round(F.avg("distance"), 6).alias("mean_distance"), F.max("distance").alias("max_distance")))
+
+
+def report_rows(distances: DataFrame, sets: DataFrame) -> DataFrame:
+    """The whole report as rows (section, name, value): the summary, the number of masks in each bucket, and the distance of each mask."""
+    summary = mask_report(distances, sets)
+    summary = summary.select(F.inline(F.array(*(F.struct(F.lit("summary").alias("section"), F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in summary.columns))))
+    buckets = mask_buckets(distances).select(F.lit("buckets").alias("section"), F.col("bucket").alias("name"), F.col("n").cast("double").alias("value"))
+    return summary.unionByName(buckets).unionByName(distances.select(F.lit("masks").alias("section"), F.concat_ws("/", *KEY).alias("name"), F.col("distance").alias("value")))

@@ -62,7 +62,10 @@ def label_probe(embeddings: DataFrame, labels: DataFrame, k: int = 5) -> DataFra
             model = LinearSVC(maxIter=10, regParam=0.1).fit(others)
             scored = model.transform(own.where(F.col("fold") == fold)).select(*ROI, F.col("label").cast("int").alias("label"), vector_to_array("rawPrediction")[1].alias("score"))
             out = scored if out is None else out.unionByName(scored)
-    return auc(out if out is not None else rows.select(*ROI, F.col("label").cast("int").alias("label"), F.lit(0.0).alias("score")).limit(0))
+    result = auc(out if out is not None else rows.select(*ROI, F.col("label").cast("int").alias("label"), F.lit(0.0).alias("score")).limit(0))
+    found = result.collect()  # a row for each region
+    rows.unpersist()
+    return rows.sparkSession.createDataFrame(found, result.schema)
 
 
 def eval_grid(datasets: DataFrame, labels: DataFrame, subsets: DataFrame, done: DataFrame) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def sulcus_voxels(voxels: DataFrame) -> DataFrame:
@@ -51,7 +54,7 @@ def contributors(voxels: DataFrame) -> DataFrame:
 
 def region_mask(masks: DataFrame, region_sulci: DataFrame, threshold: int) -> DataFrame:
     """The voxels of each region whose sulcus masks sum up to more than `threshold`."""
-    own = masks.join(F.broadcast(region_sulci), ["side", "sulcus"])
+    own = masks.join(region_sulci, ["side", "sulcus"])
     return own.groupBy("region", "side", "x", "y", "z").agg(F.sum("n").cast("int").alias("n")).where(F.col("n") > threshold)
 
 
@@ -86,14 +89,14 @@ def input_volumes(voxels: DataFrame) -> DataFrame:
     )
     # labels are numbered over the names, which are few, not over the voxels
     names = voxels.select("side", "sulcus").distinct().withColumn("label", label)
-    numbered = voxels.join(F.broadcast(names), ["side", "sulcus"])
+    numbered = voxels.join(names, ["side", "sulcus"])
     flat = numbered.select("subject_id", "side", "x", "y", "z", F.inline(F.filter(kinds, lambda k: k.isNotNull())))
     return flat.groupBy("input_type", "subject_id", "side", "x", "y", "z").agg(F.max("value").alias("value"))
 
 
 def crop(voxels: DataFrame, box: DataFrame) -> DataFrame:
     """Voxels in the box of their region and side, from the box's corner on."""
-    own = voxels.join(F.broadcast(box), ["region", "side"])
+    own = voxels.join(box, ["region", "side"])
     own = own.where(reduce(Column.__and__, (F.col(c).between(F.col(f"min_{c}"), F.col(f"max_{c}")) for c in "xyz")))
     return own.select(*(c for c in voxels.columns if c not in "xyz"), *((F.col(c) - F.col(f"min_{c}")).alias(c) for c in "xyz"), "size_x", "size_y", "size_z")
 
@@ -102,16 +105,50 @@ def crop_tensor(cropped: DataFrame) -> DataFrame:
     """A dense array, row-major, for each subject of a region and side, and its place among them."""
     spot = (F.col("x") * F.col("size_y") + F.col("y")) * F.col("size_z") + F.col("z")
     cells = cropped.select("region", "side", "subject_id", "size_x", "size_y", "size_z", spot.alias("spot"), "value").dropDuplicates(["region", "side", "subject_id", "spot"])
-    rows = cells.groupBy("region", "side", "subject_id", "size_x", "size_y", "size_z").agg(F.map_from_entries(F.collect_list(F.struct("spot", "value"))).alias("at"))
-    total = F.col("size_x") * F.col("size_y") * F.col("size_z")
-    values = F.transform(F.sequence(F.lit(0), total - 1), lambda p: F.coalesce(F.try_element_at(F.col("at"), p), F.lit(0)))
+    rows = cells.groupBy("region", "side", "subject_id", "size_x", "size_y", "size_z").agg(F.sort_array(F.collect_list(F.struct("spot", "value"))).alias("at"))
+    total, at = F.col("size_x") * F.col("size_y") * F.col("size_z"), F.col("at")
+    # from filled spot to filled spot, with the zeros between them
+    zeros = lambda n: F.array_repeat(F.lit(0).cast(cropped.schema["value"].dataType), n)
+    runs = F.transform(at, lambda c, i: F.concat(zeros(c["spot"] - F.coalesce(F.get(at, i - 1)["spot"], F.lit(-1)) - 1), F.array(c["value"])))
+    values = F.concat(F.flatten(runs), zeros(total - F.element_at(at, -1)["spot"] - 1))
     place = F.row_number().over(Window.partitionBy("region", "side").orderBy("subject_id")) - 1
     return rows.select("region", "side", place.alias("row_idx"), "subject_id", F.array("size_x", "size_y", "size_z").alias("shape"), values.alias("values"))
 
 
-def bottom_distance(voxels: DataFrame) -> DataFrame:
-    """Of each voxel the distance to the nearest bottom voxel of the same subject and side."""
-    bottom = voxels.where(F.col("bucket") == "aims_bottom").select("subject_id", "side", *(F.col(c).alias(f"b{c}") for c in "xyz")).distinct()
-    square = reduce(Column.__add__, ((F.col(c) - F.col(f"b{c}")) * (F.col(c) - F.col(f"b{c}")) for c in "xyz"))
-    cells = voxels.select("subject_id", "side", "x", "y", "z").distinct()
-    return cells.join(bottom, ["subject_id", "side"]).groupBy("subject_id", "side", "x", "y", "z").agg(F.round(F.sqrt(F.min(square).cast("double")), 6).alias("distance"))
+#: Cells of a subject's box that a task holds at most; sparser subjects are compared voxel by voxel, in slices.
+MOST_CELLS = 1 << 25
+
+
+def _square_distance(cells: np.ndarray, bottom: np.ndarray) -> np.ndarray:
+    """Of each cell the squared distance to the nearest of `bottom`: one axis after the other over the box of both, as squares of the axes add up."""
+    low, high = np.minimum(cells.min(0), bottom.min(0)), np.maximum(cells.max(0), bottom.max(0))
+    shape = high - low + 1
+    if shape.prod() > MOST_CELLS:
+        step = max(1, MOST_CELLS // (8 * len(bottom)))
+        return np.concatenate([((cells[k : k + step, None] - bottom[None]) ** 2).sum(2).min(1) for k in range(0, len(cells), step)])
+    far = np.int64(4) * (shape**2).sum()
+    box = np.full(shape, far, np.int64)
+    box[tuple((bottom - low).T)] = 0
+    for axis in range(3):
+        lines = np.moveaxis(box, axis, 0)
+        out = lines.copy()
+        for by in range(1, len(lines)):
+            np.minimum(out[by:], lines[:-by] + by * by, out=out[by:])
+            np.minimum(out[:-by], lines[by:] + by * by, out=out[:-by])
+        box = np.moveaxis(out, 0, axis)
+    return box[tuple((cells - low).T)]
+
+
+def bottom_distance(voxels: DataFrame, keys: tuple[str, ...] = ("subject_id", "side")) -> DataFrame:
+    """Of each voxel the distance to the nearest bottom voxel of its crop: rows of the same `keys`. Crops without a bottom voxel have no rows."""
+    cells = voxels.groupBy(*keys, "x", "y", "z").agg(F.max(F.col("bucket") == "aims_bottom").alias("bottom"))
+
+    def one(rows: pa.Table) -> pa.Table:
+        at = np.stack([rows[c].to_numpy().astype(np.int64) for c in "xyz"], 1)
+        low = rows["bottom"].to_numpy(zero_copy_only=False).astype(bool)
+        if not low.any():
+            at, rows = at[:0], rows.slice(0, 0)
+        far = np.round(np.sqrt(_square_distance(at, at[low]).astype(float)), 6) if len(at) else np.zeros(0)
+        return rows.drop_columns(["bottom"]).append_column("distance", pa.array(far, pa.float64()))
+
+    return cells.groupBy(*keys).applyInArrow(one, StructType([*(f for f in cells.schema if f.name != "bottom"), StructField("distance", DoubleType())]))

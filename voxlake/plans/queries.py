@@ -59,9 +59,17 @@ def _new(s, d):
     return v.where("vec_id % 20 = 0"), v.where("vec_id % 20 <> 0")
 
 
+def _search(s, d):
+    """Every vector whose id is divisible by 20, and all of them."""
+    v = view(s, d, "vectors")
+    return v.where("vec_id % 20 = 0"), v
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared one; where none is set (tests), a local one."""
+    """A new folder in the cluster's shared one; where none is set and the master is local (tests), a local one."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/voxlake-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="spark-voxlake-", dir="/tmp")
 
 
@@ -183,7 +191,7 @@ def wasserstein_axis(s, d):
     return masks.wasserstein_axis(_masks(s, d), "A", "B").withColumn("w", F.round("w", 9))
 
 
-@query(f"WITH {_WASS} SELECT * FROM di")
+@query(f"WITH {_WASS} SELECT side, sulcus, round(sqrt(sum(CASE WHEN empty_side THEN 0 ELSE w * w END)), 6) AS distance, bool_or(empty_side) AS empty_side FROM wa GROUP BY ALL")
 def mask_distance(s, d):
     return masks.mask_distance(_masks(s, d), "A", "B")
 
@@ -695,23 +703,23 @@ def project_new(s, d):
     new, reference = _new(s, d)
     model = projection.project_fit(reference)
     both = new.withColumn("kind", F.lit("new")).unionByName(reference.withColumn("kind", F.lit("reference")))
-    return projection.project(both, model).join(both.select("subject_id", "kind"), "subject_id")
+    return projection.project(both, model, ("kind",))
 
 
-_KNN = "kn AS (SELECT n.region, n.hemi, n.subject_id, r.subject_id AS ref_id, list_distance(n.vec::DOUBLE[], r.vec::DOUBLE[]) AS d FROM new_vectors n JOIN reference r USING (region, hemi)), kr AS (SELECT *, CAST(row_number() OVER (PARTITION BY region, hemi, subject_id ORDER BY d, ref_id) AS INTEGER) AS rank FROM kn)"
+_KNN = "kn AS (SELECT n.region, n.hemi, n.subject_id, r.subject_id AS ref_id, list_distance(n.vec::DOUBLE[], r.vec::DOUBLE[]) AS d FROM new_vectors n JOIN vectors r USING (region, hemi) WHERE r.subject_id <> n.subject_id), kr AS (SELECT *, CAST(row_number() OVER (PARTITION BY region, hemi, subject_id ORDER BY d, ref_id) AS INTEGER) AS rank FROM kn)"
 
 
 @query(f"WITH {_KNN} SELECT region, hemi, subject_id, ref_id, round(d, 6) AS d, rank FROM kr WHERE rank <= 15")
 def knn(s, d):
-    return projection.knn(*_new(s, d))
+    return projection.knn(*_search(s, d))
 
 
 @query(
     f"""WITH {_KNN} SELECT region, hemi, subject_id, round(sum(w * u) / sum(w), 5) AS u, round(sum(w * v) / sum(w), 5) AS v FROM (SELECT kr.region, kr.hemi, kr.subject_id, 1 / (round(d, 6) + 1e-6::DOUBLE) AS w, vec[1]::DOUBLE AS u, vec[2]::DOUBLE AS v
-FROM kr JOIN reference r ON r.region = kr.region AND r.hemi = kr.hemi AND r.subject_id = ref_id WHERE rank <= 15) GROUP BY ALL"""
+FROM kr JOIN vectors r ON r.region = kr.region AND r.hemi = kr.hemi AND r.subject_id = ref_id WHERE rank <= 15) GROUP BY ALL"""
 )
 def knn_project(s, d):
-    new, reference = _new(s, d)
+    new, reference = _search(s, d)
     coords = reference.select("region", "hemi", "subject_id", F.col("vec")[0].cast("double").alias("u"), F.col("vec")[1].cast("double").alias("v"))
     return projection.knn_project(projection.knn(new, reference), coords)
 

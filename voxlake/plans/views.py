@@ -16,7 +16,7 @@ _SIMPLE = {
         "(l_returnflag = 'A' AND l_suppkey % 5 <> 0 AND l_partkey % 64 <> 1) OR (l_returnflag = 'R' AND l_suppkey % 7 <> 0 AND l_partkey % 64 <> 2)",
     ),
     "region_sulci": ("customer", ["c_mktsegment AS region", "CASE WHEN c_nationkey % 2 = 0 THEN 'L' ELSE 'R' END AS side", "concat('S', CAST(c_nationkey * 2 + c_custkey % 7 AS STRING)) AS sulcus"], "c_acctbal > 9000"),
-    "vectors": ("embeddings", ["concat('R', CAST(label AS STRING)) AS region", "CASE WHEN vec_id % 2 = 0 THEN 'left' ELSE 'right' END AS hemi", "CAST(vec_id AS STRING) AS subject_id", "vec_id", "label", "embedding AS vec"], None),
+    "vectors": ("embeddings", ["concat('R', CAST(label AS STRING)) AS region", "CASE WHEN CAST(floor(vec_id / 7) AS BIGINT) % 2 = 0 THEN 'left' ELSE 'right' END AS hemi", "CAST(vec_id AS STRING) AS subject_id", "vec_id", "label", "embedding AS vec"], None),
     "qc": ("labels", ["CAST(doc_id AS STRING) AS participant_id", "CASE WHEN doc_id % 11 = 3 THEN NULL ELSE quality END AS qc"], None),
     "subjects": ("documents", ["CAST(doc_id AS STRING) AS subject_id"], None),
     "files": (
