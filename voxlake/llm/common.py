@@ -32,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not where:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = tempfile.mkdtemp(prefix="spark-voxlake-", dir="/tmp")
         sc.setCheckpointDir(where)
     return where.rstrip("/")
