@@ -163,3 +163,39 @@ def test_sources(spark, tmp_path):
     got = tables.read_arrays(spark, str(tmp_path / "t")).orderBy("row_idx").collect()
     assert [r["shape"] for r in got] == [[1, 2, 3]] * 2 and got[1]["values"] == list(range(6, 12))
     assert tables.list_files(spark, str(tmp_path / "t")).count() == 1
+
+
+def test_sinks_and_small_rules(spark, tmp_path):
+    from voxlake.sources import tables
+
+    m = spark.createDataFrame([("s1", "L", "S", 1, 1, 1, 1)], "subject_id string, side string, sulcus string, x int, y int, z int, n int")
+    assert not tables.write_subject_masks(m, str(tmp_path / "p"), public_use=True) and not (tmp_path / "p").exists()
+    assert tables.write_subject_masks(m, str(tmp_path / "q"), public_use=False) and spark.read.parquet(str(tmp_path / "q")).count() == 1
+    assert one(spark, names.relative_path(F.col("p"), F.lit("/a/b")), p="/a/b/c/d") == "c/d"
+    assert one(spark, names.relative_path(F.col("p"), F.lit("/a/b/")), p="/a/x") == "../x"
+    assert one(spark, names.relative_path(F.col("p"), F.lit("/a/b")), p="/a/b") == "."
+    assert one(spark, names.bare_sulcus(F.col("n"), F.lit("L")), n="S.C._left") == "S.C." and one(spark, names.voxel_folder(F.col("v")), v=2.0) == "2mm"
+    rows = spark.createDataFrame([("R1",), ("R17",)], "region string")
+    assert embeddings.of_regions(rows, ["R1"]).count() == 1 and embeddings.of_regions(rows, ["R1"], contains=True).count() == 2
+    with pytest.raises(ValueError):
+        embeddings.of_regions(rows, ["none"])
+    report = {r.table: r for r in qc.erase_report({"a": spark.createDataFrame([("x",), ("y",), (None,)], "subject_id string")}, "x").collect()}
+    assert (report["a"].n_removed, report["a"].n_kept, report["a"].found) == (1, 2, True)
+    lists = spark.createDataFrame([("x", "train")], "subject_id string, subset string")
+    assert {tuple(r) for r in probe.custom_split(spark.createDataFrame([("x",), ("y",)], "subject_id string"), lists).collect()} == {("x", "train"), ("y", None)}
+
+
+def test_count_mask_of_named_sulci(spark):
+    v = spark.createDataFrame([("a", "L", "S", 1, 1, 1), ("a", "L", "T", 1, 1, 1), ("a", "L", None, 1, 1, 1)], "subject_id string, side string, sulcus string, x int, y int, z int")
+    wanted = spark.createDataFrame([("S",)], "sulcus string")
+    assert [r.sulcus for r in voxels.count_mask(v, (4, 4, 4), wanted).collect()] == ["S"]
+    named = v.withColumn("campaign", F.lit("A"))
+    assert {r.sulcus for r in voxels.sulcus_voxels(named).collect()} == {"S", "T"}
+
+
+@pytest.mark.parametrize("most", [voxels.MOST_CELLS, 40])
+def test_bottom_distance_equals_all_pairs(most, monkeypatch):
+    monkeypatch.setattr(voxels, "MOST_CELLS", most)
+    rng = np.random.default_rng(5)
+    cells, bottom = rng.integers(-9, 9, (200, 3)), rng.integers(-12, 12, (7, 3))
+    assert voxels._square_distance(cells, bottom).tolist() == ((cells[:, None] - bottom[None]) ** 2).sum(2).min(1).tolist()

@@ -77,6 +77,14 @@ def parent_of(path: Column, component: str) -> Column:
     return F.when(at > 0, F.array_join(F.slice(parts, F.lit(1), (at - 1).cast("int")), "/"))
 
 
+def relative_path(path: Column, root: Column) -> Column:
+    """An absolute path as seen from an absolute folder, by steps up where it lies elsewhere."""
+    a, b = F.filter(F.split(path, "/"), lambda x: x != ""), F.filter(F.split(root, "/"), lambda x: x != "")
+    same = F.aggregate(F.sequence(F.lit(0), F.size(b)), F.lit(0), lambda n, i: F.when((n == i) & F.get(a, i).isNotNull() & (F.get(a, i) == F.get(b, i)), n + 1).otherwise(n))
+    steps = F.concat(F.array_repeat(F.lit(".."), F.size(b) - same), F.slice(a, same + 1, F.greatest(F.size(a) - same, F.lit(0))))
+    return F.when(F.size(steps) == 0, ".").otherwise(F.array_join(steps, "/"))
+
+
 def nth_parent(path: Column, n: Column) -> Column:
     """The n-th parent of an absolute path, at most the first component, which then ends in a slash."""
     parts = F.split(path, "/")

@@ -37,6 +37,20 @@ def pair_embeddings(a: DataFrame, b: DataFrame) -> DataFrame:
     return pair_by_model_id(a, b).select("name_a", "name_b") if named.isEmpty() else named
 
 
+def of_regions(rows: DataFrame, regions: list[str], contains: bool = False) -> DataFrame:
+    """The rows of the regions named, or of those whose name contains one of them; an error where there is none."""
+    region = F.col("region")
+    wanted = region.isin(*regions)
+    if contains:
+        wanted = F.lit(False)
+        for r in regions:
+            wanted = wanted | region.contains(r)
+    found = rows.where(wanted)
+    if found.isEmpty():
+        raise ValueError(f"no rows of the regions {', '.join(regions)}")
+    return found
+
+
 def pair_by_region(a: DataFrame, b: DataFrame) -> DataFrame:
     """Regions of either set: (region, hemi, status)."""
     x, y = (d.select(*ROI).distinct().withColumn(f, F.lit(True)) for d, f in ((a, "in_a"), (b, "in_b")))

@@ -67,3 +67,13 @@ def first_subjects(subjects: DataFrame, n: int) -> DataFrame:
     """The first n subjects by id; all for -1."""
     own = subjects.select("subject_id").distinct()
     return own if n < 0 else own.orderBy("subject_id").limit(n)
+
+
+def erase_report(tables: dict[str, DataFrame], subject: str) -> DataFrame:
+    """How many rows of each table (by name, with a column subject_id) erasing a subject removes and leaves, and whether the subject was found in it."""
+    gone = F.col("subject_id") == subject
+    counts = [t.agg(F.count_if(gone).alias("n_removed"), F.count_if(~gone | gone.isNull()).alias("n_kept")).select(F.lit(n).alias("table"), "*") for n, t in tables.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out.withColumn("found", F.col("n_removed") > 0)

@@ -792,3 +792,95 @@ def eval_grid(s, d):
     v = view(s, d, "vectors").withColumn("dataset", F.concat_ws("_", "region", "hemi"))
     done = v.where("label % 2 = 0").select("dataset", F.lit("Sex").alias("label_name"), F.lit("train").alias("subset")).distinct()
     return probe.eval_grid(v.select("dataset").distinct(), constants(s, "label_name", "Sex", "Age"), constants(s, "subset", "train", "test"), done)
+
+
+# --- sinks: written and read again ---
+
+
+@query(_COMPARE + "SELECT * FROM cmp")
+def comparison_csv(s, d):
+    from voxlake.sources.tables import write_comparison
+
+    path, out = shared_folder(s) + "/comparison", campaign.campaign_compare(_merged(s, d))
+    write_comparison(out, path)
+    return s.read.schema(out.schema).csv(path, header=True)
+
+
+@query(
+    f"""WITH {_WASS}, {_SETS}, al AS (SELECT side, sulcus, round(sqrt(sum(CASE WHEN empty_side THEN 0 ELSE w * w END)), 6) AS distance FROM wa GROUP BY ALL)
+SELECT 'masks' AS section, side || '/' || sulcus AS name, CAST(distance AS DOUBLE) AS value FROM al UNION ALL SELECT 'buckets', floor(distance)::BIGINT || '-' || (floor(distance)::BIGINT + 1) || 'vox', CAST(count(*) AS DOUBLE) FROM di GROUP BY 2
+UNION ALL SELECT 'summary', where_found, CAST(count(*) AS DOUBLE) FROM ms GROUP BY 2 UNION ALL SELECT 'summary', 'mean_distance', round(avg(distance), 6) FROM di UNION ALL SELECT 'summary', 'max_distance', max(distance) FROM di"""
+)
+def mask_report_json(s, d):
+    from voxlake.sources.tables import read_report, write_report
+
+    m, path = _masks(s, d), shared_folder(s) + "/report"
+    write_report(masks.report_rows(masks.mask_distance(m, "A", "B"), masks.mask_sets(m, "A", "B")), path)
+    return read_report(s, path, "section string, name string, value double")
+
+
+@query("SELECT region, side, count(*) AS n_files, string_agg(path, ',' ORDER BY path) AS files FROM files GROUP BY ALL")
+def artefact_manifest(s, d):
+    from voxlake.sources.tables import read_report, write_manifest
+
+    path = shared_folder(s) + "/manifest"
+    write_manifest(view(s, d, "files"), path)
+    return read_report(s, path, "region string, side string, n_files long, files array<string>").withColumn("files", F.array_join("files", ","))
+
+
+@query("SELECT side, sulcus, x, y, z, n FROM mask_voxels WHERE mask_set = 'B'")
+def mask_files(s, d):
+    from voxlake.sources.tables import write_masks
+
+    path = shared_folder(s) + "/masks"
+    write_masks(_masks(s, d).where("mask_set = 'B'").drop("mask_set"), path)
+    return s.read.schema("x int, y int, z int, n int, side string, sulcus string").parquet(path)
+
+
+@query("SELECT status, subject_id FROM statuses WHERE status NOT IN ('ok', 'skipped')")
+def invalid_log(s, d):
+    """Appended in two runs; the time is checked and dropped."""
+    from voxlake.sources.tables import log_invalid
+
+    path, v = shared_folder(s) + "/invalid", view(s, d, "statuses")
+    for part in ("subject_id % 2 = 0", "subject_id % 2 <> 0"):
+        log_invalid(v.where(part), path)
+    return s.read.parquet(path).where(F.to_timestamp("at").isNotNull()).select("status", "subject_id")
+
+
+@query(f"WITH sp AS (SELECT CASE WHEN {_BUCKET} % 100 < 70 THEN 'train' WHEN {_BUCKET} % 100 < 85 THEN 'val' ELSE 'test' END AS subset, vec FROM vectors), al AS (SELECT * FROM sp UNION ALL SELECT 'full', vec FROM sp) SELECT subset, count(*) AS n, round(sum(list_sum(vec::DOUBLE[])), 3) AS total FROM al GROUP BY 1")
+def split_tables(s, d):
+    from voxlake.sources.tables import write_splits
+
+    path = shared_folder(s) + "/splits"
+    write_splits(probe.split_subjects(view(s, d, "vectors").select("subject_id", "vec")), path)
+    total = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return s.read.parquet(path).groupBy("subset").agg(F.count("*").alias("n"), F.round(F.sum(total), 3).alias("total"))
+
+
+@query(f"SELECT max(name) AS name_a, max('new_' || name) AS name_b FROM (SELECT name, regexp_extract(name, '(name\\d{{2}}-\\d{{2}}-\\d{{2}}--\\d+)', 1) AS model_id FROM table_names WHERE name LIKE '%_embeddings.csv' AND {_NAMES_A} AND {_NAMES_B}) GROUP BY model_id")
+def pair_with_fallback(s, d):
+    """No file names are equal, so the model ids pair them."""
+    a, b = _names(s, d)
+    return embeddings.pair_embeddings(a, b.withColumn("name", F.concat(F.lit("new_"), "name")))
+
+
+@query("SELECT t.name AS \"table\", count(*) FILTER (t.subject_id = '12') AS n_removed, count(*) FILTER (t.subject_id <> '12') AS n_kept, count(*) FILTER (t.subject_id = '12') > 0 AS found FROM (SELECT 'vectors' AS name, subject_id FROM vectors UNION ALL SELECT 'voxels', subject_id FROM campaign_voxels UNION ALL SELECT 'files', subject_id FROM files) t GROUP BY 1")
+def erase_report(s, d):
+    tables = {"vectors": view(s, d, "vectors"), "voxels": view(s, d, "campaign_voxels"), "files": view(s, d, "files")}
+    return qc.erase_report(tables, "12")
+
+
+@query("SELECT path, '../crops' || path[len('/data/derivatives/crops') + 1:] AS rel FROM files")
+def relative_paths(s, d):
+    return view(s, d, "files").select("path", names.relative_path(F.col("path"), F.lit("/data/derivatives/models")).alias("rel"))
+
+
+@query("SELECT subject_id, region, hemi FROM vectors WHERE region IN ('R1', 'R3')")
+def region_exact(s, d):
+    return embeddings.of_regions(view(s, d, "vectors"), ["R1", "R3"]).select("subject_id", "region", "hemi")
+
+
+@query("SELECT subject_id, region, hemi FROM vectors WHERE contains(region, '1') OR contains(region, '7')")
+def region_substring(s, d):
+    return embeddings.of_regions(view(s, d, "vectors"), ["1", "7"], contains=True).select("subject_id", "region", "hemi")

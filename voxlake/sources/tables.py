@@ -53,9 +53,28 @@ def read_arrays(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_masks(masks: DataFrame, path: str) -> None:
+    """A partition for each side and sulcus; masks of single subjects have a column subject_id."""
     masks.write.partitionBy("side", "sulcus").parquet(path)
 
 
+def write_subject_masks(masks: DataFrame, path: str, public_use: bool) -> bool:
+    """Masks of single subjects, unless the output is for public use; whether they were written."""
+    if not public_use:
+        write_masks(masks, path)
+    return not public_use
+
+
+def write_splits(subsets: DataFrame, path: str) -> None:
+    """Embeddings with a column subset: a partition for each, and all of them as `full`."""
+    subsets.unionByName(subsets.withColumn("subset", F.lit("full"))).write.partitionBy("subset").parquet(path)
+
+
+def write_manifest(files: DataFrame, path: str) -> None:
+    """The files of each region and side, a line of JSON for each."""
+    own = files.groupBy("region", "side").agg(F.sort_array(F.collect_list("path")).alias("files"))
+    write_report(own.select("region", "side", F.size("files").alias("n_files"), "files"), path)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Rows as lines of JSON."""
     report.select(F.to_json(F.struct(*report.columns)).alias("value")).write.text(path)
@@ -70,6 +89,10 @@ def collect_embeddings(runs: DataFrame, path: str) -> None:
     runs.write.partitionBy("region", "hemi").parquet(path)
 
 
+def read_report(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    return spark.read.text(path).select(F.from_json("value", fields).alias("r")).select("r.*")
+
+
 def log_invalid(status: DataFrame, path: str) -> None:
     """Appends the subjects whose run went wrong, with the time."""
     bad = status.where(~F.col("status").isin("ok", "skipped"))
