@@ -199,3 +199,20 @@ def test_bottom_distance_equals_all_pairs(most, monkeypatch):
     rng = np.random.default_rng(5)
     cells, bottom = rng.integers(-9, 9, (200, 3)), rng.integers(-12, 12, (7, 3))
     assert voxels._square_distance(cells, bottom).tolist() == ((cells[:, None] - bottom[None]) ** 2).sum(2).min(1).tolist()
+
+
+def test_no_paths_to_check_is_an_error(spark):
+    paths = spark.createDataFrame([("/a",), ("/b",)], "path string")
+    assert {r.path: r.found for r in catalog.paths_found(paths, paths.where("path = '/a'")).collect()} == {"/a": True, "/b": False}
+    with pytest.raises(ValueError, match="no paths"):
+        catalog.paths_found(paths.limit(0), paths)
+
+
+def test_best_epoch_of_equals_is_the_earlier(spark):
+    models = spark.createDataFrame([("d", 1, 0.5), ("d", 2, 0.7), ("d", 3, 0.7), ("e", 9, 0.1)], "dataset string, epoch int, score double")
+    assert {r.dataset: r.epoch for r in probe.best_epoch(models).collect()} == {"d": 2, "e": 9}
+
+
+def test_voxels_without_a_name_do_not_count(spark):
+    rows = spark.createDataFrame([("A", "L", "1", None), ("A", "L", "1", "S1")], "campaign string, side string, subject_id string, sulcus string")
+    assert [(r.sulcus, r.n) for r in voxels.sulcus_voxels(rows).collect()] == [("S1", 1)]

@@ -56,10 +56,21 @@ def bare_sulcus(name: Column, side: Column) -> Column:
     return F.replace(name, F.concat(F.lit("_"), F.when(side == "L", "left").otherwise("right")), F.lit(""))
 
 
+def complete_sulcus(name: Column, side: Column) -> Column:
+    return F.concat(name, F.when(side == "L", "_left").otherwise("_right"))
+
+
 def dataset_name(region: Column, side: Column) -> Column:
     return F.concat(F.translate(region, ".", ""), F.when(side == "L", "_left").otherwise("_right"))
 
 
+def fill_template(template: Column, values: dict[str, Column]) -> Column:
+    """The template with every placeholder replaced by its value."""
+    for name, value in values.items():
+        template = F.replace(template, F.lit(name), value.cast("string"))
+    return template
+
+
 def derivatives_folder(legacy: Column, published: Column, version: Column) -> Column:
     """The folder that the published models were made in for legacy runs, otherwise that of the version."""
     return F.when(legacy, published).otherwise(version)

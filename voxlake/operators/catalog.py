@@ -114,6 +114,14 @@ def eligibility(subjects: DataFrame, files: DataFrame, kinds: tuple[str, ...]) -
     return checked.groupBy("subject_id").agg(F.bool_and("found").alias("eligible"), missing.alias("missing"))
 
 
+def paths_found(wanted: DataFrame, listing: DataFrame) -> DataFrame:
+    """Each wanted path and whether the listing has it; an error where no path is wanted."""
+    if wanted.isEmpty():
+        raise ValueError("no paths to check")
+    there = listing.select("path").distinct().withColumn("there", F.lit(True))
+    return wanted.join(there, "path", "left").select("path", F.col("there").isNotNull().alias("found"))
+
+
 def status_summary(status: DataFrame) -> DataFrame:
     """Counts of outcomes; whatever isn't ok, skipped or invalid counts as failed."""
     is_ = lambda *s: F.count_if(F.col("status").isin(*s))

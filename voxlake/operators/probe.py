@@ -71,3 +71,8 @@ def label_probe(embeddings: DataFrame, labels: DataFrame, k: int = 5) -> DataFra
 def eval_grid(datasets: DataFrame, labels: DataFrame, subsets: DataFrame, done: DataFrame) -> DataFrame:
     """Every dataset, label and subset that has no result yet."""
     return datasets.crossJoin(F.broadcast(labels)).crossJoin(F.broadcast(subsets)).join(done, ["dataset", "label_name", "subset"], "left_anti")
+
+
+def best_epoch(models: DataFrame) -> DataFrame:
+    """(dataset, epoch) of the model with the highest score; the earlier of equals."""
+    return models.groupBy("dataset").agg(F.max_by("epoch", F.struct("score", -F.col("epoch"))).alias("epoch"))

@@ -41,11 +41,12 @@ def _masks(s, d):
 
 
 def _region_mask(s, d):
-    return voxels.region_mask(_masks(s, d).where("mask_set = 'A'").drop("mask_set"), view(s, d, "region_sulci"), 1)
+    """Over the subjects of both campaigns."""
+    return voxels.region_mask(voxels.count_mask(view(s, d, "campaign_voxels"), dims()), view(s, d, "region_sulci"), 1)
 
 
 def _region_voxels(s, d):
-    own = view(s, d, "campaign_voxels").where("campaign = 'A'").join(F.broadcast(view(s, d, "region_sulci")), ["side", "sulcus"])
+    own = view(s, d, "campaign_voxels").join(view(s, d, "region_sulci"), ["side", "sulcus"])
     return own.select("region", "side", "subject_id", "x", "y", "z", F.lit(1).alias("value")).distinct()
 
 
@@ -148,9 +149,9 @@ def count_mask_delta(s, d):
     return voxels.add_subjects(old, new)
 
 
-@query("SELECT side, sulcus, subject_id, x, y, z, 1 AS n FROM campaign_voxels WHERE x BETWEEN 0 AND 49 AND y BETWEEN 0 AND 7 AND z BETWEEN 0 AND 10 AND campaign = 'A' GROUP BY ALL")
+@query("SELECT side, sulcus, subject_id, x, y, z, 1 AS n FROM campaign_voxels WHERE x BETWEEN 0 AND 49 AND y BETWEEN 0 AND 7 AND z BETWEEN 0 AND 10 GROUP BY ALL")
 def subject_masks(s, d):
-    return voxels.count_mask(view(s, d, "campaign_voxels").where("campaign = 'A'").withColumn("own", F.col("subject_id")), dims(), keys=("side", "sulcus", "own")).withColumnRenamed("own", "subject_id")
+    return voxels.count_mask(view(s, d, "campaign_voxels").withColumn("own", F.col("subject_id")), dims(), keys=("side", "sulcus", "own")).withColumnRenamed("own", "subject_id")
 
 
 @query(f"WITH {_STATS} SELECT * FROM st")
@@ -260,7 +261,7 @@ def mask_bbox(s, d):
     return voxels.bounding_box(_region_mask(s, d))
 
 
-_ALL_VOXELS = "rv AS (SELECT DISTINCT region, side, subject_id, x, y, z, 1 AS value FROM campaign_voxels JOIN region_sulci USING (side, sulcus) WHERE campaign = 'A')"
+_ALL_VOXELS = "rv AS (SELECT DISTINCT region, side, subject_id, x, y, z, 1 AS value FROM campaign_voxels JOIN region_sulci USING (side, sulcus))"
 
 
 @query(f"WITH {_ALL_VOXELS} SELECT rv.* FROM rv SEMI JOIN region_mask USING (region, side, x, y, z)")
@@ -287,21 +288,21 @@ def crop_tensor(s, d):
 
 
 @query(
-    """WITH l AS (SELECT side, sulcus, dense_rank() OVER (PARTITION BY side ORDER BY sulcus) AS label FROM (SELECT DISTINCT side, sulcus FROM campaign_voxels WHERE campaign = 'A')),
-v AS (SELECT * FROM campaign_voxels JOIN l USING (side, sulcus) WHERE campaign = 'A'),
+    """WITH l AS (SELECT side, sulcus, dense_rank() OVER (PARTITION BY side ORDER BY sulcus) AS label FROM (SELECT DISTINCT side, sulcus FROM campaign_voxels)),
+v AS (SELECT * FROM campaign_voxels JOIN l USING (side, sulcus)),
 u AS (SELECT 'skeleton' AS input_type, subject_id, side, x, y, z, 1 AS value FROM v UNION ALL SELECT 'foldlabel', subject_id, side, x, y, z, label FROM v UNION ALL SELECT 'extremities', subject_id, side, x, y, z, 1 FROM v WHERE bucket = 'aims_bottom')
 SELECT input_type, subject_id, side, x, y, z, CAST(max(value) AS INTEGER) AS value FROM u GROUP BY ALL"""
 )
 def input_volumes(s, d):
-    return voxels.input_volumes(view(s, d, "campaign_voxels").where("campaign = 'A'"))
+    return voxels.input_volumes(view(s, d, "campaign_voxels"))
 
 
 @query(
-    """WITH v AS (SELECT DISTINCT subject_id, side, x, y, z FROM campaign_voxels WHERE campaign = 'A'), b AS (SELECT DISTINCT subject_id, side, x AS bx, y AS by_, z AS bz FROM campaign_voxels WHERE campaign = 'A' AND bucket = 'aims_bottom')
+    """WITH v AS (SELECT DISTINCT subject_id, side, x, y, z FROM campaign_voxels), b AS (SELECT DISTINCT subject_id, side, x AS bx, y AS by_, z AS bz FROM campaign_voxels WHERE bucket = 'aims_bottom')
 SELECT subject_id, side, x, y, z, round(sqrt(min((x - bx) * (x - bx) + (y - by_) * (y - by_) + (z - bz) * (z - bz))), 6) AS distance FROM v JOIN b USING (subject_id, side) GROUP BY ALL"""
 )
 def dist_bottom(s, d):
-    return voxels.bottom_distance(view(s, d, "campaign_voxels").where("campaign = 'A'"))
+    return voxels.bottom_distance(view(s, d, "campaign_voxels"))
 
 
 @query("SELECT * FROM region_sulci")
@@ -367,14 +368,14 @@ def erase_plan(s, d):
     return qc.erase_plan(view(s, d, "files"), "sub-12")
 
 
-_TENSOR = "tn AS (SELECT region, hemi AS side, 'vector' AS input_type, CAST(row_number() OVER (PARTITION BY region, hemi ORDER BY vec_id) - 1 AS INTEGER) AS row_idx, subject_id, round(vec[1]::DOUBLE, 6) AS first_value, len(vec) AS n_values FROM vectors)"
+_TENSOR = "tn AS (SELECT region, hemi AS side, 'vector' AS input_type, CAST(row_number() OVER (PARTITION BY region, hemi ORDER BY vec_id) - 1 AS INTEGER) AS row_idx, subject_id, round(CAST(list_sum(vec::DOUBLE[]) AS DOUBLE), 4) AS total, len(vec) AS n_values FROM vectors)"
 
 
 def _tensor(s, d):
     from pyspark.sql import Window
 
     row = (F.row_number().over(Window.partitionBy("region", "hemi").orderBy("vec_id")) - 1).cast("int")
-    return view(s, d, "vectors").select("region", F.col("hemi").alias("side"), F.lit("vector").alias("input_type"), row.alias("row_idx"), "subject_id", F.round(F.col("vec")[0].cast("double"), 6).alias("first_value"), F.size("vec").cast("long").alias("n_values"))
+    return view(s, d, "vectors").select("region", F.col("hemi").alias("side"), F.lit("vector").alias("input_type"), row.alias("row_idx"), "subject_id", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"), F.size("vec").cast("long").alias("n_values"))
 
 
 @query(f"WITH {_TENSOR} SELECT * FROM tn")
@@ -499,9 +500,9 @@ def input_files(s, d):
     return catalog.input_files(view(s, d, "files").select("path"))
 
 
-@query("SELECT h AS hemi, coalesce(array_to_string(list_sort(list(DISTINCT region) FILTER (kind = 'skeleton' AND region LIKE '%1')), ','), '') AS regions FROM files JOIN (VALUES ('left', 'L'), ('right', 'R')) v(h, side) USING (side) GROUP BY 1")
+@query("SELECT h AS hemi, coalesce(array_to_string(list_sort(list(DISTINCT region) FILTER (kind = 'skeleton')), ','), '') AS regions FROM files JOIN (VALUES ('left', 'L'), ('right', 'R')) v(h, side) USING (side) GROUP BY 1")
 def completed_regions(s, d):
-    f = view(s, d, "files").where("region like '%1'").withColumn("kind", F.when(F.col("kind") == "skeleton", "mask_skeleton").otherwise(F.col("kind")))
+    f = view(s, d, "files").withColumn("kind", F.when(F.col("kind") == "skeleton", "mask_skeleton").otherwise(F.col("kind")))
     return catalog.completed_regions(f)
 
 
@@ -551,14 +552,15 @@ def invalid_subjects(s, d):
     return view(s, d, "statuses").where(~F.col("status").isin("ok", "skipped"))
 
 
-_SIZES = "sz AS (SELECT region, side, coalesce(max(length) FILTER (kind = 'skeleton'), max(length) FILTER (kind = 'crop'), max(length) FILTER (kind = 'volume')) AS size FROM (SELECT * FROM files WHERE length > 4500) GROUP BY region, side), cs AS (SELECT region, side, coalesce(sz.size, b.size) AS size FROM sz FULL JOIN (SELECT region, side, CASE WHEN side = 'L' THEN min(length) END AS size FROM files GROUP BY region, side) b USING (region, side))"
+_SIZES = "sz AS (SELECT region, side, coalesce(max(length) FILTER (kind = 'skeleton'), max(length) FILTER (kind = 'crop'), max(length) FILTER (kind = 'volume')) AS size FROM (SELECT * REPLACE (CASE WHEN length > 4500 THEN length END AS length) FROM files) GROUP BY region, side), cs AS (SELECT region, side, coalesce(sz.size, b.size) AS size FROM sz FULL JOIN (SELECT region, side, CASE WHEN side = 'L' THEN min(length) END AS size FROM files GROUP BY region, side) b USING (region, side))"
 
 
 def _crop_sizes(s, d):
+    """Sizes up to 4,500 count as unknown, so that each kind of file decides somewhere."""
     f = view(s, d, "files").withColumnRenamed("length", "size")
     kinds = F.when(F.col("kind") == "crop", "foldlabel").when(F.col("kind") == "volume", "distbottom").otherwise(F.col("kind"))
     boxes = f.groupBy("region", "side").agg(F.min("size").alias("size")).withColumn("size", F.when(F.col("side") == "L", F.col("size")))
-    return catalog.crop_sizes(f.where("size > 4500").withColumn("kind", kinds), boxes)
+    return catalog.crop_sizes(f.withColumns({"kind": kinds, "size": F.when(F.col("size") > 4500, F.col("size"))}), boxes)
 
 
 @query(f"WITH {_SIZES} SELECT region, side, CAST(size AS DOUBLE) AS size FROM cs")
@@ -573,6 +575,7 @@ def dataset_manifest(s, d):
 
 @query("SELECT region, count(*) AS n_files, CASE WHEN region IN (SELECT region FROM files WHERE contains(path, '/v1/') AND kind = 'crop' AND length > 4800) THEN 'conflict' ELSE 'move' END AS action FROM files WHERE NOT contains(path, '/v1/') GROUP BY 1")
 def migrate_plan(s, d):
+    """A region is there already where its versioned folder has a crop beyond 4,800 bytes; other crops of it count as not yet written."""
     f = view(s, d, "files")
     new = f.where(F.col("path").contains("/v1/"))
     return catalog.migrate_plan(f.where(~F.col("path").contains("/v1/")), new.where("kind = 'crop' and length > 4800"))
@@ -581,7 +584,7 @@ def migrate_plan(s, d):
 # --- embeddings ---
 
 
-@query("SELECT subject_id, round(CAST(list_sum(vec[1:8]::DOUBLE[]) AS DOUBLE), 4) AS total, len(vec) AS dims FROM vectors")
+@query("SELECT subject_id, round(CAST(list_sum(vec::DOUBLE[]) AS DOUBLE), 4) AS total, len(vec) AS dims FROM vectors")
 def read_embeddings(s, d):
     """Written as the CSV tables that models leave, and read again."""
     from voxlake.sources.tables import read_embeddings as read
@@ -590,14 +593,14 @@ def read_embeddings(s, d):
     v = view(s, d, "vectors")
     v.select(F.col("subject_id").alias("ID"), *(F.col("vec")[i].alias(f"dim{i + 1}") for i in range(64))).write.option("header", True).csv(path)
     got = read(s, path, 64)
-    return got.select("subject_id", F.round(F.aggregate(F.slice("vec", 1, 8), F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"), F.size("vec").cast("long").alias("dims"))
+    return got.select("subject_id", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"), F.size("vec").cast("long").alias("dims"))
 
 
-@query("SELECT vec_id, len(vec) AS dims, round(vec[1]::DOUBLE, 6) AS dim1, round(vec[64]::DOUBLE, 6) AS dim64 FROM vectors")
+@query("SELECT vec_id, i AS dim, round(vec[i]::DOUBLE, 6) AS value FROM vectors, (SELECT unnest(range(1, 65)) AS i)")
 def vector_columns(s, d):
     wide = view(s, d, "vectors").select("vec_id", *(F.col("vec")[i].alias(f"dim{i + 1}") for i in range(64)))
     back = wide.select("vec_id", F.array(*(f"dim{i + 1}" for i in range(64))).cast("array<float>").alias("vec"))
-    return back.select("vec_id", F.size("vec").cast("long").alias("dims"), F.round(F.col("vec")[0].cast("double"), 6).alias("dim1"), F.round(F.col("vec")[63].cast("double"), 6).alias("dim64"))
+    return back.select("vec_id", F.posexplode("vec").alias("at", "v")).select("vec_id", (F.col("at") + 1).cast("long").alias("dim"), F.round(F.col("v").cast("double"), 6).alias("value"))
 
 
 @query("SELECT region, hemi, model, count(*) AS n FROM (SELECT region, hemi, 'a' AS model FROM vectors UNION ALL SELECT region, hemi, 'b' FROM vectors) GROUP BY ALL")
@@ -684,13 +687,19 @@ def cka_matrix(s, d):
     return embeddings.cka_matrix(models[0].union(models[1]).union(models[2]).union(models[3]))
 
 
-@query()
+@query(
+    """SELECT region, hemi, subject_id, j AS dim, CAST(CAST(sum(v * (((i * j) % 13) - 6)) AS FLOAT) AS DOUBLE) AS value
+FROM (SELECT region, hemi, subject_id, unnest(vec)::DOUBLE AS v, unnest(range(1, 65)) AS i FROM vectors), (SELECT unnest(range(1, 9)) AS j) GROUP BY ALL"""
+)
 def batch_embed(s, d):
+    """A linear encoder whose weights are whole numbers, so that SQL can repeat it; a row for each number it gives."""
+
     def make():
-        weights = np.random.default_rng(3).normal(size=(64, 8)).astype(np.float32)
-        return lambda x: x @ weights
+        weights = (np.outer(np.arange(1, 65), np.arange(1, 9)) % 13 - 6).astype(np.float64)
+        return lambda x: (x.astype(np.float64) @ weights).astype(np.float32)
 
-    return embeddings.batch_embed(view(s, d, "vectors").withColumnRenamed("vec", "values"), make, 64).select("region", "hemi", "subject_id", "vec")
+    out = embeddings.batch_embed(view(s, d, "vectors").withColumnRenamed("vec", "values"), make, 64)
+    return out.select("region", "hemi", "subject_id", F.posexplode("vec").alias("at", "v")).select("region", "hemi", "subject_id", (F.col("at") + 1).cast("long").alias("dim"), F.col("v").cast("double").alias("value"))
 
 
 @query()
@@ -884,3 +893,94 @@ def region_exact(s, d):
 @query("SELECT subject_id, region, hemi FROM vectors WHERE contains(region, '1') OR contains(region, '7')")
 def region_substring(s, d):
     return embeddings.of_regions(view(s, d, "vectors"), ["1", "7"], contains=True).select("subject_id", "region", "hemi")
+
+
+# --- options of operators above ---
+
+
+@query("SELECT side, sulcus, x, y, z, n FROM all_masks WHERE sulcus IN (SELECT sulcus FROM region_sulci WHERE region = 'BUILDING')")
+def count_mask_named(s, d):
+    """Masks of the sulci of one region only."""
+    return voxels.count_mask(view(s, d, "campaign_voxels"), dims(), sulci=view(s, d, "region_sulci").where("region = 'BUILDING'"))
+
+
+@query("SELECT campaign, side, subject_id, sulcus, count(*) AS n FROM campaign_voxels WHERE sulcus <> 'S5' GROUP BY ALL")
+def unnamed_voxels(s, d):
+    """Voxels that lost their name (S5) don't count."""
+    v = view(s, d, "campaign_voxels")
+    return voxels.sulcus_voxels(v.withColumn("sulcus", F.nullif("sulcus", F.lit("S5"))))
+
+
+@query("SELECT side, sulcus, sulcus || CASE WHEN side = 'L' THEN '_left' ELSE '_right' END AS complete, sulcus AS bare FROM campaign_voxels GROUP BY ALL")
+def sulcus_names(s, d):
+    own = view(s, d, "campaign_voxels").select("side", "sulcus").distinct()
+    full = own.withColumn("complete", names.complete_sulcus(F.col("sulcus"), F.col("side")))
+    return full.withColumn("bare", names.bare_sulcus(F.col("complete"), F.col("side")))
+
+
+@query("SELECT p_partkey, CAST(floor(p_retailprice / 500) AS BIGINT) || 'mm' AS folder FROM part")
+def voxel_folders(s, d):
+    return table(s, d, "part").select("p_partkey", names.voxel_folder(F.col("p_retailprice") / 500).alias("folder"))
+
+
+@query("SELECT subject_id, CASE label % 4 WHEN 0 THEN 'train' WHEN 1 THEN 'val' WHEN 2 THEN 'test' END AS subset FROM vectors")
+def split_by_lists(s, d):
+    """Subsets as listed; a quarter of the labels is in no list."""
+    v = view(s, d, "vectors")
+    subset = F.when(F.col("label") % 4 == 0, "train").when(F.col("label") % 4 == 1, "val").when(F.col("label") % 4 == 2, "test")
+    return probe.custom_split(v.select("subject_id"), v.select("subject_id", subset.alias("subset")).where("subset is not null"))
+
+
+@query(
+    """WITH m AS (SELECT region || '_' || hemi AS dataset, vec_id % 10 AS epoch, round(avg(vec[1]::DOUBLE), 6) AS score FROM vectors GROUP BY ALL), best AS (SELECT dataset, arg_max(epoch, (score, -epoch)) AS epoch FROM m GROUP BY 1)
+SELECT dataset, label_name, subset, epoch FROM best, (VALUES ('Sex'), ('Age')) a(label_name), (VALUES ('train'), ('test')) b(subset)"""
+)
+def eval_grid_best(s, d):
+    """The evaluation grid with one epoch a dataset, that of the best model."""
+    v = view(s, d, "vectors").withColumn("dataset", F.concat_ws("_", "region", "hemi"))
+    models = v.groupBy("dataset", (F.col("vec_id") % 10).alias("epoch")).agg(F.round(F.avg(F.col("vec")[0].cast("double")), 6).alias("score"))
+    none = models.select("dataset", F.lit("").alias("label_name"), F.lit("").alias("subset")).where(F.lit(False))
+    grid = probe.eval_grid(models.select("dataset").distinct(), constants(s, "label_name", "Sex", "Age"), constants(s, "subset", "train", "test"), none)
+    return grid.join(probe.best_epoch(models), "dataset").select("dataset", "label_name", "subset", "epoch")
+
+
+@query("SELECT region, hemi, i AS dim, round(avg(v), 6) AS mean, CAST(2 AS BIGINT) AS n_axes FROM (SELECT region, hemi, unnest(vec)::DOUBLE AS v, unnest(range(1, 65)) AS i FROM vectors) GROUP BY ALL")
+def projection_saved(s, d):
+    """A projection written, read back, and its centres."""
+    from voxlake.sources.tables import read_projection, write_projection
+
+    path = shared_folder(s) + "/projection"
+    write_projection(projection.project_fit(view(s, d, "vectors")), path)
+    rows = read_projection(s, path).select("region", "hemi", F.size("axes").cast("long").alias("n_axes"), F.posexplode("mean").alias("at", "v"))
+    return rows.select("region", "hemi", (F.col("at") + 1).cast("long").alias("dim"), F.round("v", 6).alias("mean"), "n_axes")
+
+
+@query("SELECT region, hemi, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT subject_id) AS BIGINT) AS n_subjects FROM vectors GROUP BY ALL")
+def incremental_intake(s, d):
+    """What the intake holds after its three runs: every subject, once."""
+    return incremental_project(s, d).groupBy("region", "hemi").agg(F.count("*").alias("n"), F.count_distinct("subject_id").alias("n_subjects"))
+
+
+@query("SELECT region, hemi, count(*) AS n FROM (SELECT 'all' AS region, hemi FROM vectors) GROUP BY ALL")
+def label_probe_rows(s, d):
+    """How many rows the label probe scored: all, over the folds."""
+    return label_probe(s, d).select("region", "hemi", "n")
+
+
+@query("SELECT path, contains(path, '/v1/') AS found FROM files")
+def paths_found(s, d):
+    f = view(s, d, "files").select("path")
+    return catalog.paths_found(f, f.where(F.col("path").contains("/v1/")))
+
+
+_TEMPLATE = "dataset_name: {dataset}|numpy_all: /crops/2mm/{region}/mask/{side}skeleton.npy|foldlabel_all: /crops/2mm/{region}/mask/{side}label.npy|cutin_mask_path: /crops/2mm/{region}/mask/{side}mask.npy|input_size: (1, {x}, {y}, {z})"
+
+
+@query(
+    f"SELECT region, side, replace(replace(replace(replace(replace(replace('{_TEMPLATE}', '{{dataset}}', region || CASE WHEN side = 'L' THEN '_left' ELSE '_right' END), '{{region}}', region), '{{side}}', side), '{{x}}', size_x::VARCHAR), '{{y}}', size_y::VARCHAR), '{{z}}', size_z::VARCHAR) AS config FROM box"
+)
+def dataset_configs(s, d):
+    """The settings of each region and side, filled into a template."""
+    box = voxels.bounding_box(_region_mask(s, d))
+    values = {"{dataset}": names.dataset_name(F.col("region"), F.col("side")), "{region}": F.col("region"), "{side}": F.col("side")} | {f"{{{c}}}": F.col(f"size_{c}") for c in "xyz"}
+    return box.select("region", "side", names.fill_template(F.lit(_TEMPLATE), values).alias("config"))

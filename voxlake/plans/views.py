@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Every voxel is of one of two campaigns, whose subjects overlap; one sulcus is named S1 in A and S63 in B.
+_IN_A = "l_suppkey % 5 <> 0 AND (l_suppkey % 7 = 0 OR l_returnflag = 'A')"
+
 #: name -> (test table, columns as expressions both engines read alike, condition)
 _SIMPLE = {
     "campaign_voxels": (
         "lineitem",
         [
-            "CASE WHEN l_returnflag = 'A' THEN 'A' ELSE 'B' END AS campaign", "CAST(l_suppkey AS STRING) AS subject_id", "CASE WHEN l_linestatus = 'F' THEN 'L' ELSE 'R' END AS side", "concat('S', CAST(l_partkey % 64 AS STRING)) AS sulcus",
+            f"CASE WHEN {_IN_A} THEN 'A' ELSE 'B' END AS campaign", "CAST(l_suppkey AS STRING) AS subject_id", "CASE WHEN l_linestatus = 'F' THEN 'L' ELSE 'R' END AS side", f"concat('S', CAST(CASE WHEN l_partkey % 63 <> 1 OR {_IN_A} THEN l_partkey % 63 ELSE 63 END AS STRING)) AS sulcus",
             "CASE WHEN l_tax < 0.03 THEN 'aims_bottom' WHEN l_tax < 0.06 THEN 'aims_ss' ELSE 'aims_other' END AS bucket", "CAST(l_quantity AS INT) - 1 AS x", "CAST(l_linenumber AS INT) AS y", "CAST(round(l_discount * 100) AS INT) AS z",
         ],
-        "(l_returnflag = 'A' AND l_suppkey % 5 <> 0 AND l_partkey % 64 <> 1) OR (l_returnflag = 'R' AND l_suppkey % 7 <> 0 AND l_partkey % 64 <> 2)",
+        None,
     ),
-    "region_sulci": ("customer", ["c_mktsegment AS region", "CASE WHEN c_nationkey % 2 = 0 THEN 'L' ELSE 'R' END AS side", "concat('S', CAST(c_nationkey * 2 + c_custkey % 7 AS STRING)) AS sulcus"], "c_acctbal > 9000"),
+    "region_sulci": ("customer", ["c_mktsegment AS region", "CASE WHEN c_nationkey % 2 = 0 THEN 'L' ELSE 'R' END AS side", "concat('S', CAST(c_nationkey * 2 + c_custkey % 7 AS STRING)) AS sulcus"], None),
     "vectors": ("embeddings", ["concat('R', CAST(label AS STRING)) AS region", "CASE WHEN CAST(floor(vec_id / 7) AS BIGINT) % 2 = 0 THEN 'left' ELSE 'right' END AS hemi", "CAST(vec_id AS STRING) AS subject_id", "vec_id", "label", "embedding AS vec"], None),
     "qc": ("labels", ["CAST(doc_id AS STRING) AS participant_id", "CASE WHEN doc_id % 11 = 3 THEN NULL ELSE quality END AS qc"], None),
     "subjects": ("documents", ["CAST(doc_id AS STRING) AS subject_id"], None),
@@ -59,7 +62,8 @@ SQL |= {
     "counts": "SELECT campaign, side, subject_id, sulcus, count(*) AS n FROM campaign_voxels GROUP BY ALL",
     "merged": "SELECT campaign, subject_id, sulcus, arg_max(n, side) AS n FROM counts GROUP BY ALL",
     "mask_voxels": "SELECT campaign AS mask_set, side, sulcus, x, y, z, CAST(count(DISTINCT subject_id) AS INTEGER) AS n FROM campaign_voxels WHERE x BETWEEN 0 AND 49 AND y BETWEEN 0 AND 7 AND z BETWEEN 0 AND 10 GROUP BY ALL",
-    "region_mask": "SELECT region, side, x, y, z, CAST(sum(n) AS INTEGER) AS n FROM mask_voxels JOIN region_sulci USING (side, sulcus) WHERE mask_set = 'A' GROUP BY ALL HAVING sum(n) > 1",
+    "all_masks": "SELECT side, sulcus, x, y, z, CAST(count(DISTINCT subject_id) AS INTEGER) AS n FROM campaign_voxels WHERE x BETWEEN 0 AND 49 AND y BETWEEN 0 AND 7 AND z BETWEEN 0 AND 10 GROUP BY ALL",
+    "region_mask": "SELECT region, side, x, y, z, CAST(sum(n) AS INTEGER) AS n FROM all_masks JOIN region_sulci USING (side, sulcus) GROUP BY ALL HAVING sum(n) > 1",
     "box": "SELECT region, side, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, min(z) AS min_z, max(z) AS max_z, max(x) - min(x) + 1 AS size_x, max(y) - min(y) + 1 AS size_y, max(z) - min(z) + 1 AS size_z FROM region_mask GROUP BY ALL",
     "new_vectors": "SELECT * FROM vectors WHERE vec_id % 20 = 0",
     "reference": "SELECT * FROM vectors WHERE vec_id % 20 <> 0",

@@ -69,6 +69,15 @@ def write_splits(subsets: DataFrame, path: str) -> None:
     subsets.unionByName(subsets.withColumn("subset", F.lit("full"))).write.partitionBy("subset").parquet(path)
 
 
+def write_projection(model: DataFrame, path: str) -> None:
+    """A fitted projection, a partition for each region and hemisphere."""
+    model.write.partitionBy("region", "hemi").parquet(path)
+
+
+def read_projection(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("mean array<double>, axes array<array<double>>, region string, hemi string").parquet(path)
+
+
 def write_manifest(files: DataFrame, path: str) -> None:
     """The files of each region and side, a line of JSON for each."""
     own = files.groupBy("region", "side").agg(F.sort_array(F.collect_list("path")).alias("files"))
