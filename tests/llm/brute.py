@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -88,3 +91,25 @@ def pieces(text, tokenizer, capacity=2048):
     first = (len(ids) - 1) % capacity + 1
     cuts = [0, *range(first, len(ids) + 1, capacity)]
     return [(k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+
+
+def importance(docs, target):
+    """rows (n_features, weight, score, rank) by place in docs"""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def own(text):
+        w = word.findall((text or "").translate(LOWER))
+        return len(w), [zlib.crc32(f.encode()) % 10000 for f in w + [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)]]
+
+    held = [own(t) for _, t in docs]
+    s, t = Counter(b for _, f in held for b in f), Counter(b for x in target for b in own(x)[1])
+    s_all, t_all = sum(s.values()) + 10000.0, sum(t.values()) + 10000.0
+    out = []
+    for (i, _), (_, f) in zip(docs, held, strict=True):
+        weight = sum(math.floor(1000 * math.log((t[b] + 1) * s_all / ((s[b] + 1) * t_all))) for b in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"7:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append([len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32))), None])
+    able = sorted((-out[k][2], docs[k][0] is not None, docs[k][0] or 0, k) for k, (n, _) in enumerate(held) if n >= 20)
+    for rank, (*_, k) in enumerate(able[: 25 * len(able) // 100], 1):
+        out[k][3] = rank
+    return [tuple(x) for x in out]

@@ -577,7 +577,7 @@ def test_sql_of_the_queries(spark):
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "labels"):
+    for t in ("documents", "labels", "benchmark"):
         con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     for name, sql in oracle_sql().items():
         ours, theirs = queries()[name](spark, sf).toPandas(), con.sql(sql).df()

@@ -16,6 +16,7 @@ MODULES = {
     "op8_fingerprints": "fingerprints",
     "op9_quality_classifier": "quality_classifier",
     "op10_minhash": "minhash",
+    "op12_importance_resampling": "resampling",
 }
 
 
