@@ -17,6 +17,7 @@ MODULES = {
     "op9_quality_classifier": "quality_classifier",
     "op10_minhash": "minhash",
     "op12_importance_resampling": "resampling",
+    "op13_slack_packing": "slack_packing",
 }
 
 
