@@ -113,3 +113,43 @@ def importance(docs, target):
     for rank, (*_, k) in enumerate(able[: 25 * len(able) // 100], 1):
         out[k][3] = rank
     return [tuple(x) for x in out]
+
+
+def planted(doc_id, text):
+    """The words of a text, repeated from some place on in one document of ten."""
+    w = WORD.findall(text or "")
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 == 0 and w:
+        g = h // 10
+        a = g % len(w)
+        p = 1 + (len(w) - a) // (3 + g % 8)
+        w = [*w[:a], *(w[a + (i - a) % p] for i in range(a, len(w)))]
+    return w
+
+
+def runs(w, least=12):
+    """(start, length, period) of all runs of a list, by comparing all places of all periods."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            begin = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i > begin and i + q - begin >= max(least, 2 * q):
+                found.setdefault((begin, i + q), q)
+            i += i == begin
+    return sorted((a, b - a, q) for (a, b), q in found.items())
+
+
+def collapsed(w, found):
+    gone = {i for a, n, q in found for i in range(a + q, a + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def run_row(w):
+    """n_runs to collapsed_sha256 of op11"""
+    found = runs(w)
+    best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return len(found), *(best or (None,) * 3), best and 1000 * best[1] // best[2], digest("".join(f"{a},{n},{q}\n" for a, n, q in sorted(found, key=lambda r: (r[0], r[2])))), digest(collapsed(w, found))

@@ -16,6 +16,7 @@ MODULES = {
     "op8_fingerprints": "fingerprints",
     "op9_quality_classifier": "quality_classifier",
     "op10_minhash": "minhash",
+    "op11_periodic_runs": "periodic_runs",
     "op12_importance_resampling": "resampling",
     "op13_slack_packing": "slack_packing",
 }
