@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.functions import names
@@ -28,23 +28,39 @@ def to_remove(subjects: DataFrame, qc: DataFrame) -> DataFrame:
     return subjects.select("subject_id").distinct().join(passing(qc).withColumnRenamed("participant_id", "subject_id"), "subject_id", "left_anti")
 
 
+def substrings(text: Column, n: int) -> Column:
+    """All substrings of n characters of a text that has as many."""
+    return F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n))
+
+
 def files_of(files: DataFrame, subjects: DataFrame, match: str = "exact") -> DataFrame:
     """Files of the subjects: `exact`, the stem is the id or starts with id_ ; `contains`, the id anywhere in the stem.
 
-    Exact joins on the candidates a stem offers, its prefixes that end before an underscore. Contains compares every pair and is for short
-    lists of subjects; it takes more than meant, as sub-1 is in sub-10.
+    Both join on what a stem offers: its prefixes that end before an underscore, or its substrings of the lengths that ids have. Contains takes more than meant,
+    as sub-1 is in sub-10; an empty id names no file.
     """
     own = subjects.select("subject_id").distinct()
     stem = names.file_stem(names.file_name(F.col("path")))
     if match == "contains":
-        small = own.withColumnRenamed("subject_id", "id")
-        return files.withColumn("stem", stem).join(small, F.instr(F.col("stem"), F.col("id")) > 0, "left_semi").drop("stem")
-    parts = F.split(stem, "_")
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "_"))
-    offered = files.select("path", F.explode(prefixes).alias("subject_id")).join(own, "subject_id", "left_semi").select("path")
+        # as many as there are lengths of a file's name, at most
+        sizes = sorted(r[0] for r in own.select(F.length("subject_id")).distinct().collect() if r[0])
+        none = F.array().cast("array<string>")
+        each = [F.when(F.length(stem) >= n, substrings(stem, n)).otherwise(none) for n in sizes]
+        parts = F.array_distinct(F.concat(*each)) if each else none
+    else:
+        words = F.split(stem, "_")
+        parts = F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, F.lit(1), n), "_"))
+    offered = files.select("path", F.explode(parts).alias("subject_id")).join(own, "subject_id", "left_semi").select("path")
     return files.join(offered, "path", "left_semi")
 
 
+def files_in_folders_of(files: DataFrame, subjects: DataFrame) -> DataFrame:
+    """Files below a folder whose name is a subject's id."""
+    folders = F.split("path", "/")
+    offered = files.select("path", F.explode(F.slice(folders, F.lit(1), F.size(folders) - 1)).alias("subject_id"))
+    return files.join(offered.join(subjects.select("subject_id").distinct(), "subject_id", "left_semi").select("path"), "path", "left_semi")
+
+
 def prune_plan(files: DataFrame, qc: DataFrame) -> DataFrame:
     """Each file and whether pruning keeps or deletes it."""
     gone = files_of(files, to_remove(files.select("subject_id"), qc)).select("path", F.lit("delete").alias("action"))
@@ -58,9 +74,12 @@ def erase_plan(files: DataFrame, subject: str) -> DataFrame:
 
 
 def erase_rows(tensor: DataFrame, subject: str) -> DataFrame:
-    """Rows of a tensor without a subject, numbered anew in their order."""
-    order = Window.partitionBy("region", "side", "input_type").orderBy("row_idx")
-    return tensor.where(F.col("subject_id") != subject).withColumn("row_idx", (F.row_number().over(order) - 1).cast("int"))
+    """Rows of a tensor without a subject, numbered anew in their order. Arrays aren't sorted: a row goes back by the rows of the subject before it."""
+    keys = ["region", "side", "input_type"]
+    gone = tensor.where(F.col("subject_id") == subject).groupBy(*keys).agg(F.sort_array(F.collect_list("row_idx")).alias("gone"))
+    before = F.size(F.filter("gone", lambda g: g < F.col("row_idx")))
+    kept = tensor.where(F.col("subject_id") != subject).join(gone, keys, "left")
+    return kept.withColumn("row_idx", (F.col("row_idx") - F.coalesce(before, F.lit(0))).cast("int")).select(*tensor.columns)
 
 
 def first_subjects(subjects: DataFrame, n: int) -> DataFrame:

@@ -388,6 +388,115 @@ def erase_rows(s, d):
     return qc.erase_rows(_tensor(s, d), "12")
 
 
+@query(f"{_SUBQC} SELECT path FROM files f WHERE EXISTS (SELECT 1 FROM gone g WHERE contains({_STEM}, g.subject_id))")
+def prune_files_contains(s, d):
+    """The looser rule, for all subjects that don't pass."""
+    f = view(s, d, "files")
+    return qc.files_of(f, qc.to_remove(f.select("subject_id"), _sub_qc(s, d)), "contains").select("path")
+
+
+def _tree(paths, root: str) -> None:
+    """Empty files, made in the tasks."""
+    import pandas as pd
+    from pyarrow import fs
+
+    def make(batches):
+        for batch in batches:
+            for path in batch["path"]:
+                store, name = fs.FileSystem.from_uri(f"{root}{path}")
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                store.open_output_stream(name).close()
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    paths.select("path").mapInPandas(make, "n long").count()
+
+
+def _left(s, root: str):
+    from voxlake.sources.tables import list_files
+    from voxlake.sources.tensors import open_folder
+
+    return list_files(s, root).select(F.substring("path", F.lit(len(open_folder(root)[1]) + 1), F.length("path")).alias("path"))
+
+
+@query(f"{_SUBQC} SELECT path FROM files f WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE contains({_STEM}, g.subject_id))")
+def prune_applied(s, d):
+    """A folder of all files, pruned by the looser rule and pruned again, and what is left of it."""
+    from voxlake.sources.erasure import prune_failed
+
+    root, f = shared_folder(s) + "/tree", view(s, d, "files")
+    _tree(f, root)
+    for _ in range(2):
+        prune_failed(s, root, f.select("subject_id"), _sub_qc(s, d))
+    return _left(s, root)
+
+
+@query(f"SELECT path FROM files WHERE NOT ({_STEM} = 'sub-12' OR starts_with({_STEM}, 'sub-12_')) AND subject_id <> 'sub-14' UNION ALL SELECT replace(path, '/mask/', '/sub-13/') FROM files WHERE subject_id NOT IN ('sub-12', 'sub-13', 'sub-14')")
+def purge_applied(s, d):
+    """A folder of all files, and the same in folders of other names, after three subjects were purged: sub-13 is one of the folders, sub-14 a file's name."""
+    from voxlake.sources.erasure import purge_subject
+
+    root, f = shared_folder(s) + "/tree", view(s, d, "files")
+    _tree(f.union(f.withColumn("path", F.replace("path", F.lit("/mask/"), F.lit("/sub-13/"))).where("subject_id <> 'sub-13'")), root)
+    for subject in ("sub-12", "sub-14"):
+        purge_subject(s, root, subject)
+    return _left(s, root)
+
+
+def _arrays(s, d):
+    """Every vector, as an array of 4 by 16, in the tensor of its region and side; numbers within a tensor follow vec_id."""
+    from pyspark.sql import Window
+
+    row = (F.row_number().over(Window.partitionBy("region", "hemi").orderBy("vec_id")) - 1).cast("long")
+    return view(s, d, "vectors").select(F.concat_ws("/", "region", "hemi", F.lit("vector")).alias("tensor"), row.alias("row_idx"), "subject_id", F.array(F.lit(4), F.lit(16)).alias("shape"), F.col("vec").alias("values"))
+
+
+def _summed(rows):
+    """Tensors read back, as tensor_scan shows them."""
+    at = F.split("tensor", "/")
+    total = F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double")), 4)
+    return rows.select(at[0].alias("region"), at[1].alias("side"), at[2].alias("input_type"), F.col("row_idx").cast("int").alias("row_idx"), "subject_id", total.alias("total"), F.aggregate("shape", F.lit(1), lambda a, x: a * x).cast("long").alias("n_values"))
+
+
+@query(f"WITH {_TENSOR} SELECT * FROM tn")
+def tensor_arrays(s, d):
+    """Tensors written as .npy in parts of some 64 rows and read back, a task for 16 rows."""
+    from voxlake.sources.tensors import read_tensors, write_tensors
+
+    path = shared_folder(s) + "/tensors"
+    write_tensors(_arrays(s, d), path, file_bytes=64 * 256)
+    return _summed(read_tensors(s, path, partition_bytes=16 * 256))
+
+
+_GONE = "CAST(subject_id AS BIGINT) % 17 = 5"
+
+
+def _erased(s, d):
+    """Tensors in small parts, from which every 17th subject is erased, twice."""
+    from voxlake.sources.tensors import erase_subjects, write_tensors
+
+    path = shared_folder(s) + "/tensors"
+    write_tensors(_arrays(s, d), path, file_bytes=64 * 256)
+    gone = view(s, d, "vectors").where(_GONE).select("subject_id")
+    return path, [erase_subjects(s, path, gone, dry_run, 64 * 256) for dry_run in (True, False, False)]
+
+
+@query(f"WITH {_TENSOR} SELECT * REPLACE (CAST(row_number() OVER (PARTITION BY region, side, input_type ORDER BY row_idx) - 1 AS INTEGER) AS row_idx) FROM tn WHERE NOT ({_GONE})")
+def erase_arrays(s, d):
+    from voxlake.sources.tensors import read_tensors
+
+    return _summed(read_tensors(s, _erased(s, d)[0]))
+
+
+@query(
+    f"SELECT run, region || '/' || hemi || '/vector' AS tensor, CAST(count(*) AS BIGINT) AS n_removed FROM vectors, (SELECT unnest(['planned', 'done']) AS run) WHERE {_GONE} GROUP BY ALL"
+)
+def erase_arrays_report(s, d):
+    """What a dry run, the erasure and its repetition found to remove; the last one finds nothing."""
+    planned, done, again = (r.groupBy("tensor").agg(F.sum("n_removed").alias("n_removed")) for r in _erased(s, d)[1])
+    runs = [r.select(F.lit(n).alias("run"), "tensor", "n_removed") for n, r in (("planned", planned), ("done", done), ("again", again))]
+    return runs[0].union(runs[1]).union(runs[2])
+
+
 @query("SELECT DISTINCT subject_id FROM subjects ORDER BY subject_id LIMIT 50")
 def first_n_subjects(s, d):
     return qc.first_subjects(view(s, d, "subjects"), 50)

@@ -30,26 +30,17 @@ def read_nomenclature(spark: SparkSession, path: str) -> DataFrame:
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, length) of the files below a folder; their content isn't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select(F.regexp_replace("path", "^file:", "").alias("path"), "length")
+    from voxlake.sources.listing import Listing
 
+    spark.dataSource.register(Listing)
+    return spark.read.format("listing").option("glob", glob).load(path)
 
-def read_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """(path, row_idx, shape, values) of .npy files, a row for each first index."""
-    import io
-
-    import numpy as np
-    import pandas as pd
 
-    def load(batches):
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                array = np.load(io.BytesIO(content), allow_pickle=False)
-                shape = [int(x) for x in array.shape[1:]]
-                yield pd.DataFrame({"path": name, "row_idx": range(len(array)), "shape": [shape] * len(array), "values": [row.astype(np.float32).ravel() for row in array]})
+def read_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """(path, row_idx, shape, values) of .npy files, a row for each first index; files are read by ranges of rows."""
+    from voxlake.sources.tensors import read_tensors
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").option("recursiveFileLookup", True).load(path).select("path", "content")
-    return files.mapInPandas(load, "path string, row_idx int, shape array<int>, values array<float>")
+    return read_tensors(spark, path).select("path", F.col("row_idx").cast("int").alias("row_idx"), "shape", "values")
 
 
 def write_masks(masks: DataFrame, path: str) -> None:
