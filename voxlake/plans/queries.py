@@ -1070,6 +1070,54 @@ def incremental_intake(s, d):
     return incremental_project(s, d).groupBy("region", "hemi").agg(F.count("*").alias("n"), F.count_distinct("subject_id").alias("n_subjects"))
 
 
+_PLANES = """pl AS (SELECT region || '/' || k AS region, hemi, subject_id, 'parity' AS label_name, label % 2 AS label, vec[2 * k + 1]::DOUBLE AS a, vec[2 * k + 2]::DOUBLE AS b FROM vectors, (SELECT unnest(range(32)) AS k)),
+fo AS (SELECT subject_id, CAST((row_number() OVER (PARTITION BY label % 2 ORDER BY md5(subject_id || '-0'), subject_id) - 1) % 5 AS INTEGER) AS fold FROM vectors),
+pr AS (SELECT pl.*, fold, 2 * label - 1 AS y FROM pl JOIN fo USING (subject_id))"""
+#: The normal equations of two numbers and an intercept, for each fold from all other folds.
+_LEAST = """ms AS (SELECT p.region, p.hemi, f.fold, count(*)::DOUBLE AS n, sum(p.label) AS pos, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM pr p, (SELECT unnest(range(5)) AS fold) f WHERE p.fold <> f.fold GROUP BY ALL),
+cs AS (SELECT p.region, p.hemi, m.fold, any_value(ma) AS ma, any_value(mb) AS mb, any_value(my) AS my, sum((a - ma) * (a - ma)) + 0.1::DOUBLE * any_value(n) AS aa, sum((b - mb) * (b - mb)) + 0.1::DOUBLE * any_value(n) AS bb, sum((a - ma) * (b - mb)) AS ab,
+  sum((a - ma) * (y - my)) AS ay, sum((b - mb) * (y - my)) AS yb FROM pr p JOIN ms m ON m.region = p.region AND m.hemi = p.hemi AND p.fold <> m.fold WHERE pos > 0 AND pos < n GROUP BY ALL),
+sc AS (SELECT pr.region, pr.hemi, subject_id, pr.label, my + ((a - ma) * (bb * ay - ab * yb) + (b - mb) * (aa * yb - ab * ay)) / (aa * bb - ab * ab) AS score FROM pr JOIN cs USING (region, hemi, fold))"""
+
+
+def _planes(s, d):
+    """Each vector as 32 pairs of numbers, a region of its own for each, and the parity of its label."""
+    v = view(s, d, "vectors")
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.struct(k.alias("k"), F.slice("vec", 2 * k + 1, F.lit(2)).alias("vec")))).alias("pair")
+    own = v.select("region", "hemi", "subject_id", pair).select(F.concat_ws("/", "region", F.col("pair.k").cast("string")).alias("region"), "hemi", "subject_id", F.col("pair.vec").alias("vec"))
+    return own, v.select("subject_id", F.lit("parity").alias("label_name"), (F.col("label") % 2).alias("label"))
+
+
+@query(f"WITH {_PLANES}, {_LEAST} SELECT region, hemi, subject_id, round(score, 6) AS score FROM sc")
+def probe_least_squares(s, d):
+    """Scores of one round, for hundreds of regions at once."""
+    return probe.probe_scores(*_planes(s, d), rounds=1).select("region", "hemi", "subject_id", F.round("score", 6).alias("score"))
+
+
+@query(
+    f"""WITH {_PLANES}, {_LEAST}, k AS (SELECT *, rank() OVER (PARTITION BY region, hemi ORDER BY score) + (count(*) OVER (PARTITION BY region, hemi, score) - 1) / 2 AS rk FROM (SELECT region, hemi, label AS y, round(score, 9) AS score FROM sc))
+SELECT region, hemi, 'parity' AS label_name, count(*) AS n, CASE WHEN sum(y) > 0 AND sum(y) < count(*) THEN round((sum(rk) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * (count(*) - sum(y))), 6) END AS auc FROM k GROUP BY ALL"""
+)
+def probe_least_squares_auc(s, d):
+    scores = probe.probe_scores(*_planes(s, d), rounds=1)
+    return probe.auc(scores.withColumn("score", F.round("score", 9)), ["region", "hemi", "label_name"])
+
+
+@query(
+    _cka_sql("region, hemi", "SELECT * FROM bs JOIN (SELECT region, hemi FROM st WHERE status = 'ok') USING (region, hemi)").replace(
+        "WITH src AS (",
+        """WITH bs AS (SELECT region, hemi, subject_id, CASE WHEN region = 'R1' AND vec_id % 3 = 0 THEN NULL ELSE vec[1:32] END AS x, CASE WHEN region = 'R2' AND vec_id % 2 = 0 THEN vec[33:48] ELSE vec[33:64] END AS y FROM vectors),
+st AS (SELECT region, hemi, count(*) AS n, CASE WHEN count(*) > count(x) THEN 'null vector' WHEN min(len(y)) < max(len(y)) THEN 'lengths differ' ELSE 'ok' END AS status FROM bs GROUP BY ALL), src AS (""",
+    ).replace("SELECT region, hemi, n, round(", "SELECT st.*, round(").replace("FROM cn  JOIN", "FROM cn JOIN").replace("FROM cn JOIN gxy", "FROM st LEFT JOIN gxy").replace("JOIN gxx", "LEFT JOIN gxx").replace("JOIN gyy", "LEFT JOIN gyy")
+)
+def cka_statuses(s, d):
+    """Two regions whose vectors can't be compared are reported, the others have their CKA."""
+    both = _sets(s, d).withColumn("id", F.col("subject_id").cast("long"))
+    x = F.when((F.col("region") == "R1") & (F.col("id") % 3 == 0), F.lit(None)).otherwise(F.col("x"))
+    y = F.when((F.col("region") == "R2") & (F.col("id") % 2 == 0), F.slice("y", 1, 16)).otherwise(F.col("y"))
+    return embeddings.cka_status(both.withColumn("x", x).withColumn("y", y), ["region", "hemi"])
+
+
 @query("SELECT region, hemi, count(*) AS n FROM (SELECT 'all' AS region, hemi FROM vectors) GROUP BY ALL")
 def label_probe_rows(s, d):
     """How many rows the label probe scored: all, over the folds."""
