@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlake.operators.embeddings import ROI, _added, grams
+from voxlake.operators.neighbours import knn as knn
 
 
 def project_fit(reference: DataFrame) -> DataFrame:
@@ -32,59 +33,6 @@ def project(embeddings: DataFrame, model: DataFrame, others: tuple[str, ...] = (
     return embeddings.join(model, ROI).select(*ROI, "subject_id", *others, on(0).alias("u"), on(1).alias("v"))
 
 
-#: Vectors of a block of the reference, and of a block of new subjects.
-REFERENCE_BLOCK, NEW_BLOCK = 50_000, 5_000
-
-
-def _nearest(new: np.ndarray, new_ids: np.ndarray, reference: np.ndarray, ids: np.ndarray, k: int):
-    """(new index, reference index, distance) of the k nearest of each new vector; ties by id. Products of matrices name the candidates, whose distances are then taken exactly."""
-    square = (reference**2).sum(1)
-    for a in range(0, len(new), 256):
-        part = new[a : a + 256]
-        near = square - 2 * part @ reference.T + (part**2).sum(1)[:, None]
-        near[new_ids[a : a + 256, None] == ids[None]] = np.inf
-        edge = np.partition(near, min(k, near.shape[1]) - 1, axis=1)[:, min(k, near.shape[1]) - 1]
-        i, j = np.nonzero((near <= edge[:, None] + 1e-9 * (1 + square.max())) & np.isfinite(near))
-        exact = np.sqrt(((part[i] - reference[j]) ** 2).sum(1))
-        order = np.lexsort((ids[j], exact, i))
-        i, j, exact = i[order], j[order], exact[order]
-        first = np.searchsorted(i, i)
-        best = np.arange(len(i)) - first < k
-        yield a + i[best], j[best], exact[best]
-
-
-def knn(new: DataFrame, reference: DataFrame, k: int = 15) -> DataFrame:
-    """The k nearest reference subjects of each new one in its region and hemisphere; ties by id. No subject is its own neighbour.
-
-    Blocks of new subjects meet blocks of the reference as products of matrices, so that a region's whole cloud never is in one task; the best k of each block are merged.
-    """
-    def dealt(rows: DataFrame, column: str, size: int):
-        n = rows.groupBy(*ROI).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-        blocks = max(1, -(-n // size))
-        return rows.select(*ROI, "subject_id", "vec", F.pmod(F.xxhash64("subject_id"), F.lit(blocks)).cast("int").alias(column)), blocks
-
-    a, new_blocks = dealt(new, "a", NEW_BLOCK)
-    b, blocks = dealt(reference, "b", REFERENCE_BLOCK)
-    a = a.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    b = b.withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(new_blocks - 1))))
-
-    def meet(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        of, to, far = [], [], []
-        if len(x) and len(y):
-            new_ids, ids = x.subject_id.to_numpy(object), y.subject_id.to_numpy(object)
-            for i, j, d in _nearest(np.array(x.vec.tolist(), float), new_ids, np.array(y.vec.tolist(), float), ids, k):
-                of += new_ids[i].tolist()
-                to += ids[j].tolist()
-                far += d.tolist()
-        columns = {"region": [key[0]] * len(of), "hemi": [key[1]] * len(of), "subject_id": of, "ref_id": to}
-        return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in columns.items()} | {"d": pd.Series(far, dtype=float)})
-
-    keys = [*ROI, "a", "b"]
-    found = a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(meet, "region string, hemi string, subject_id string, ref_id string, d double")
-    best = F.row_number().over(Window.partitionBy(*ROI, "subject_id").orderBy("d", "ref_id"))
-    return found.withColumn("rank", best).where(F.col("rank") <= k).select(*ROI, "subject_id", "ref_id", F.round("d", 6).alias("d"), "rank")
-
-
 def knn_project(neighbours: DataFrame, coords: DataFrame) -> DataFrame:
     """New subjects at the mean of their neighbours' coordinates, weighted by inverse distance."""
     own = neighbours.join(coords.withColumnRenamed("subject_id", "ref_id"), [*ROI, "ref_id"]).withColumn("w", 1 / (F.col("d") + F.lit(1e-6)))

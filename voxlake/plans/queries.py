@@ -829,7 +829,7 @@ _KNN = "kn AS (SELECT n.region, n.hemi, n.subject_id, r.subject_id AS ref_id, li
 
 @query(f"WITH {_KNN} SELECT region, hemi, subject_id, ref_id, round(d, 6) AS d, rank FROM kr WHERE rank <= 15")
 def knn(s, d):
-    return projection.knn(*_search(s, d))
+    return projection.knn(*_search(s, d), cell_rows=16)
 
 
 @query(
