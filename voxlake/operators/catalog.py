@@ -147,3 +147,13 @@ def migrate_plan(legacy: DataFrame, versioned: DataFrame, overwrite: bool = Fals
     there = versioned.select("region").distinct().withColumn("there", F.lit(True))
     old = legacy.groupBy("region").agg(F.count("*").alias("n_files"))
     return old.join(there, "region", "left").select("region", "n_files", F.when(F.col("there").isNull(), "move").otherwise("overwrite" if overwrite else "conflict").alias("action"))
+
+
+def in_order(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows sorted by the columns, nulls first, with their place from 1 on. Ranges are sorted side by side; only their sizes meet."""
+    spark = rows.sparkSession
+    place = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *columns).sortWithinPartitions(*columns).withColumn("place", F.monotonically_increasing_id()).persist()
+    sizes = place.groupBy(F.shiftright("place", 33).alias("part")).agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = place.withColumn("part", F.shiftright("place", 33)).join(F.broadcast(sizes.select("part", before.alias("before"))), "part")  # a row for each range
+    return own.withColumn("place", F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1) + 1).drop("part", "before")

@@ -56,6 +56,20 @@ def of_regions(rows: DataFrame, regions: list[str], contains: bool = False) -> D
     return found
 
 
+def chosen(rows: DataFrame, **wanted: list[str] | None) -> DataFrame:
+    """The rows with one of the values wanted in each column named, such as region, side or kind; None takes all. A value that no row has is an error, as it is a slip of the pen.
+
+    Plain comparisons, so they reach the folders of partitioned tables.
+    """
+    for column, values in wanted.items():
+        if values is not None:
+            rows = rows.where(F.col(column).isin(*values))
+    for column, values in wanted.items():
+        if values is not None and (missing := set(values) - {r[0] for r in rows.select(column).distinct().collect()}):
+            raise ValueError(f"no rows with {column} {', '.join(sorted(missing))}")
+    return rows
+
+
 def pair_by_region(a: DataFrame, b: DataFrame) -> DataFrame:
     """Regions of either set: (region, hemi, status)."""
     x, y = (d.select(*ROI).distinct().withColumn(f, F.lit(True)) for d, f in ((a, "in_a"), (b, "in_b")))

@@ -824,6 +824,51 @@ def project_new(s, d):
     return projection.project(both, model, ("kind",))
 
 
+def _axes_sql(rows: str) -> str:
+    """Principal axes by squaring covariance matrices again and again, which leaves the projector on the first axis; once more without that axis for the second."""
+    def squared(name: str) -> str:
+        product = "list_transform(p, lambda r: list_transform(p, lambda c: list_inner_product(r, c)))"
+        return f"SELECT region, hemi, list_transform(q, lambda r: list_transform(r, lambda x: x / t)), k + 1 FROM (SELECT *, list_sum(list_transform(range(1, len(q) + 1), lambda i: q[i][i])) AS t FROM (SELECT region, hemi, k, {product} AS q FROM {name} WHERE k < 18))"
+
+    # the column of the projector with the largest entry on the diagonal, scaled to length 1; its largest loading is positive
+    column = "(SELECT list_transform(c, lambda x: x * sign(c[list_position(list_transform(c, lambda y: abs(y)), list_max(list_transform(c, lambda y: abs(y))))]) / sqrt(list_inner_product(c, c))) FROM (SELECT p[list_position(list_transform(range(1, len(p) + 1), lambda i: p[i][i]), list_max(list_transform(range(1, len(p) + 1), lambda i: p[i][i])))] AS c))"
+    return f"""ce AS (SELECT *, avg(x) OVER (PARTITION BY region, hemi, i) AS m FROM (SELECT region, hemi, subject_id, unnest(vec)::DOUBLE AS x, unnest(range(64)) AS i FROM {rows})),
+cv AS (SELECT region, hemi, list(p ORDER BY i) AS p FROM (SELECT region, hemi, i, list(v ORDER BY j) AS p FROM (
+  SELECT a.region, a.hemi, a.i, b.i AS j, avg((a.x - a.m) * (b.x - b.m)) AS v FROM ce a JOIN ce b USING (region, hemi, subject_id) GROUP BY ALL) GROUP BY ALL) GROUP BY ALL),
+mn AS (SELECT region, hemi, list(m ORDER BY i) AS m FROM (SELECT region, hemi, i, any_value(m) AS m FROM ce GROUP BY ALL) GROUP BY ALL),
+p1 AS (SELECT region, hemi, p, 0 AS k FROM cv UNION ALL {squared('p1')}),
+a1 AS (SELECT region, hemi, {column} AS a FROM p1 WHERE k = 18),
+d1 AS (SELECT region, hemi, list_transform(p, lambda r, i: list_transform(r, lambda x, j: x - l * a[i] * a[j])) AS p FROM (SELECT *, list_inner_product(list_transform(p, lambda r: list_inner_product(r, a)), a) AS l FROM cv JOIN a1 USING (region, hemi))),
+p2 AS (SELECT region, hemi, p, 0 AS k FROM d1 UNION ALL {squared('p2')}),
+a2 AS (SELECT region, hemi, {column} AS b FROM p2 WHERE k = 18),
+ax AS (SELECT * FROM mn JOIN a1 USING (region, hemi) JOIN a2 USING (region, hemi))"""
+
+
+def _with_axes(rows: str, body: str) -> str:
+    return f"WITH RECURSIVE {_axes_sql(rows)} {body}"
+
+
+@query(_with_axes("reference", "SELECT region, hemi, unnest(range(1, 65)) AS dim, round(unnest(m), 6) AS mean, round(unnest(a), 6) AS axis_1, round(unnest(b), 6) AS axis_2 FROM ax"))
+def projection_axes(s, d):
+    """The centre and the two axes of each region, number by number."""
+    rows = projection.project_fit(_new(s, d)[1])
+    at = F.posexplode(F.arrays_zip("mean", F.col("axes")[0].alias("a"), F.col("axes")[1].alias("b"))).alias("at", "z")
+    return rows.select("region", "hemi", at).select("region", "hemi", (F.col("at") + 1).cast("long").alias("dim"), *(F.round(F.col("z")[c], 6).alias(n) for c, n in (("mean", "mean"), ("a", "axis_1"), ("b", "axis_2"))))
+
+
+@query(_with_axes("reference", """SELECT region, hemi, subject_id, CASE WHEN vec_id % 20 = 0 THEN 'new' ELSE 'reference' END AS kind, round(list_inner_product(c, a), 5) AS u, round(list_inner_product(c, b), 5) AS v
+FROM (SELECT region, hemi, subject_id, vec_id, a, b, list_transform(vec, lambda x, i: x::DOUBLE - m[i]) AS c FROM vectors JOIN ax USING (region, hemi))"""))
+def projection_points(s, d):
+    """Where reference and new subjects lie on the axes."""
+    return project_new(s, d).withColumns({"u": F.round("u", 5), "v": F.round("v", 5)})
+
+
+@query("SELECT row_number() OVER (ORDER BY region, side, path) AS place, region, side, path FROM files")
+def ordered_files(s, d):
+    """The order that listings come in: by region, side and path. Sorted by ranges, and places counted on from range to range."""
+    return catalog.in_order(view(s, d, "files"), ["region", "side", "path"]).select("place", "region", "side", "path")
+
+
 _KNN = "kn AS (SELECT n.region, n.hemi, n.subject_id, r.subject_id AS ref_id, list_distance(n.vec::DOUBLE[], r.vec::DOUBLE[]) AS d FROM new_vectors n JOIN vectors r USING (region, hemi) WHERE r.subject_id <> n.subject_id), kr AS (SELECT *, CAST(row_number() OVER (PARTITION BY region, hemi, subject_id ORDER BY d, ref_id) AS INTEGER) AS rank FROM kn)"
 
 
@@ -859,7 +904,7 @@ def projection_pairs(s, d):
 @query()
 def incremental_project(s, d):
     """Embeddings arrive in two slices, which overlap and hold all between them, and once not at all; each subject is projected once."""
-    from voxlake.streaming.intake import project_new_files
+    from voxlake.streaming.intake import project_new_files, read_intake
 
     base = shared_folder(s)
     v = view(s, d, "vectors").select("region", "hemi", "subject_id", "vec", "vec_id")
@@ -870,7 +915,7 @@ def incremental_project(s, d):
         if part:
             v.where(part).drop("vec_id").write.mode("append").parquet(f"{base}/in")
         project_new_files(s, "region string, hemi string, subject_id string, vec array<float>", f"{base}/in", model, f"{base}/out", f"{base}/checkpoint")
-    return s.read.parquet(f"{base}/out")
+    return read_intake(s, f"{base}/out")
 
 
 # --- splits and probes ---
@@ -1004,6 +1049,26 @@ def region_substring(s, d):
     return embeddings.of_regions(view(s, d, "vectors"), ["1", "7"], contains=True).select("subject_id", "region", "hemi")
 
 
+@query("SELECT side, sulcus, x, y, z, n FROM all_masks")
+def count_mask_stored(s, d):
+    """Masks stored, and added to by runs whose subjects overlap; the last adds all again."""
+    from voxlake.sources.masks import add_subjects, read_mask
+
+    path, v = shared_folder(s) + "/masks", view(s, d, "campaign_voxels")
+    for part in ("subject_id % 3 = 0", "subject_id % 3 <> 1", "true", "true"):
+        add_subjects(s, path, v.where(part), dims())
+    return read_mask(s, path)
+
+
+@query("SELECT path, region, side, kind FROM files WHERE side = 'L' AND kind IN ('crop', 'skeleton') AND region IN ('Brand#1', 'Brand#7', 'Brand#12')")
+def choose_inputs(s, d):
+    """Files of a side, two kinds and three regions, from a table in folders by them: the choice reaches the folders."""
+    path = shared_folder(s) + "/inputs"
+    view(s, d, "files").select("path", "region", "side", "kind").write.partitionBy("region", "side", "kind").parquet(path)
+    stored = s.read.schema("path string, region string, side string, kind string").parquet(path)
+    return embeddings.chosen(stored, region=["Brand#1", "Brand#7", "Brand#12"], side=["L"], kind=["crop", "skeleton"])
+
+
 # --- options of operators above ---
 
 

@@ -93,7 +93,8 @@ def oracle(body: str) -> str:
     views = ", ".join(f"{n} AS ({SQL[n]})" for n in SQL if n in need)
     if not views:
         return body
-    return f"WITH {views}, {body[5:]}" if body.startswith("WITH ") else f"WITH {views} {body}"
+    head = "WITH RECURSIVE " if body.startswith("WITH RECURSIVE ") else "WITH "
+    return f"{head}{views}, {body.removeprefix(head)}" if body.startswith(head) else f"{head}{views} {body}"
 
 
 def dims() -> tuple[int, int, int]:
