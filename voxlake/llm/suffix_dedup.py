@@ -443,7 +443,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, others: tuple[str, ...] =
     shared = staged(_shared_samples(_samples(docs, length, buckets)))
     shared = shared.groupBy(*row).agg(F.collect_set("spot").alias("spots"))
 
-    copies = docs.select(*row, F.md5("text").alias("digest"), F.octet_length("text").alias("n"))
+    copies = docs.select(*row, F.sha2("text", 256).alias("digest"), F.octet_length("text").alias("n"))
     first = staged(copies.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows"))
     repeats = staged(copies.join(first, "digest").where("doc_id > first").groupBy(*row).agg(F.first("n").alias("n")))
     # both uses of the texts read the same exchange
