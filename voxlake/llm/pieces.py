@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import mix, span_hash, steps
+from voxlake.llm.common import mix, steps
 
 SPACE_MARK = "▁"
 #: Words longer than this are merged one at a time, by a heap.
@@ -39,6 +39,14 @@ def _codes(points: np.ndarray) -> np.ndarray:
     return mix(points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
+class _Numbers(dict):
+    """A number for each word, from 0 on, in the order in which words are met. Words are told apart by their characters, not by a hash of them."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Pieces:
     """The pieces of a model file, ready for probing."""
 
@@ -85,15 +93,8 @@ class Pieces:
         self._fits = np.zeros(1 << 20, bool)
 
     def forget(self) -> None:
-        self.known = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
-
-    def remember(self, key: np.ndarray, begin: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
-        """Keeps the ids of words met, for the texts that follow; of more than KNOWN words, none."""
-        if len(self.known[0]) + len(key) > KNOWN:
-            return self.forget()
-        every = np.concatenate((self.known[0], key))
-        order = np.argsort(every)
-        self.known = every[order], np.concatenate((self.known[1], begin.astype(np.int32)))[order], np.concatenate((self.known[2], count.astype(np.int32)))[order], ids
+        """No word has been met: a word's number by its characters, where its ids begin and how many they are, and the ids of all."""
+        self.numbers, self.begin, self.count, self.ids = _Numbers(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _splits(self) -> None:
         """For each piece the pair it is merged from, as its own text is merged, and its rank; pieces that merging doesn't reach are never candidates."""
@@ -289,39 +290,39 @@ def encode(pieces: Pieces, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nd
     cut[first[:-1][first[:-1] < len(points)]] = True
     start = np.flatnonzero(cut)
     end = np.append(start[1:], len(points))
-    key, one, word = np.unique(span_hash(_codes(points), start, end), return_index=True, return_inverse=True)
-    known_key, known_begin, known_count, known_ids = pieces.known
-    at = np.minimum(np.searchsorted(known_key, key), max(len(known_key) - 1, 0))
-    hit = known_key[at] == key if len(known_key) else np.zeros(len(key), bool)
-    begin, count = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
-    begin[hit], count[hit] = known_begin[at[hit]], known_count[at[hit]]
+    if len(pieces.numbers) > KNOWN:
+        pieces.forget()
+    before, raw = len(pieces.numbers), points.astype(np.uint32).tobytes()
+    word = np.fromiter(map(pieces.numbers.__getitem__, [raw[i:j] for i, j in zip((4 * start).tolist(), (4 * end).tolist(), strict=True)]), np.int64, len(start))
+    # words met for the first time, in the order of their numbers
+    one = np.flatnonzero(word > np.maximum.accumulate(np.concatenate(([before - 1], word[:-1]))))
     start_1, size = start[one], (end - start)[one]
+    begin, count = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64)
     runs = np.zeros(len(one), bool)
-    if pieces.merges:  # runs of spaces have pieces of equal scores
+    if pieces.merges and len(one):  # runs of spaces have pieces of equal scores
         double = np.concatenate(((points[1:] == ord(SPACE_MARK)) & (points[:-1] == ord(SPACE_MARK)), [False]))
         runs = np.add.reduceat(double, start)[one] > 0
-    ids, places = [known_ids], []
-    for n in np.unique(size[~hit]):
-        own = np.flatnonzero((size == n) & ~hit & ~runs & (size <= LONG))
+    ids, places = [pieces.ids], []
+    for n in np.unique(size):
+        own = np.flatnonzero((size == n) & ~runs & (size <= LONG))
         if len(own):
             got, many = _encode_equal(pieces, points[start_1[own][:, None] + np.arange(n)])
             ids.append(got.astype(np.int32))
             count[own] = many
             places.append(own)
-    for k in np.flatnonzero(~hit & (runs | (size > LONG))):
+    for k in np.flatnonzero(runs | (size > LONG)):
         text = points[start_1[k] : start_1[k] + size[k]].astype(np.uint32).tobytes().decode("utf-32-le")
         got = np.array(merge(pieces, text), np.int64) if pieces.merges else _encode_equal(pieces, points[None, start_1[k] : start_1[k] + size[k]])[0]
         ids.append(got.astype(np.int32))
         count[k] = len(got)
         places.append(np.array([k]))
-    ids = np.concatenate(ids)
     if places:
         places = np.concatenate(places)
-        begin[places] = len(known_ids) + np.cumsum(count[places]) - count[places]
-        pieces.remember(key[places], begin[places], count[places], ids)
-    many = count[word]
+        begin[places] = len(pieces.ids) + np.cumsum(count[places]) - count[places]
+        pieces.begin, pieces.count, pieces.ids = np.concatenate((pieces.begin, begin)), np.concatenate((pieces.count, count)), np.concatenate(ids)
+    begin, ids, many = pieces.begin[word], pieces.ids, pieces.count[word]
     total = np.cumsum(many)
-    flat = ids[np.repeat(begin[word] - (total - many), many) + np.arange(total[-1])]
+    flat = ids[np.repeat(begin - (total - many), many) + np.arange(total[-1])]
     at = np.concatenate(([0], total))[np.searchsorted(start, first)]
     odd = flat < 0
     if odd.any():
