@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +75,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def places(n: int) -> np.ndarray:
-    """A fixed odd number for each of the first n places of a span, without a law that texts could be built to cancel."""
+    """A fixed odd number for each of the first n places of a span."""
     global _PLACES
     if len(_PLACES) < n:
         _PLACES = mix(np.arange(1, (1 << (n - 1).bit_length()) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -99,7 +100,8 @@ def steps(batch: pa.RecordBatch, column: str = "text", end: str = " ", most: int
 
 
 def span_hash(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the spans [start, end) of a sequence of 64-bit codes, equal for equal spans wherever they stand: each code times the number of its place in the span, summed."""
+    """64-bit hashes of the spans [start, end) of a sequence of 64-bit codes, equal for equal spans wherever they stand: each code times the number of its place in the span, summed. Spans can be
+    built that share a hash, so it names candidates and features, and decides nothing."""
     size = ends - starts
     longest, total = int(size.max(initial=0)), int(size.sum())
     by = places(longest)
@@ -126,5 +128,38 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     return starts, ends, row, span_hash(_BYTE_CODE[LOWER[data] if lower else data], starts, ends)
 
 
+class _Names(dict):
+    """A 64-bit name of each word met, by a cryptographic hash."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = name = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        return name
+
+
+_NAMES = _Names()
+#: Names that are kept from step to step.
+MOST_NAMES = 1 << 18
+
+
+def named_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of each, name) of the words, as `words` has them, lower-cased; names are hashes for which no two words can be built that share one but by trying some 2^32."""
+    if len(_NAMES) > MOST_NAMES:
+        _NAMES.clear()
+    held = LOWER[data].tobytes().split()
+    gap = np.concatenate(([True], SPACE[data]))
+    starts = np.flatnonzero(gap[:-1] & ~gap[1:])
+    return np.searchsorted(offsets, starts, "right") - 1, np.fromiter(map(_NAMES.__getitem__, held), np.uint64, len(held))
+
+
+def chained(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of short spans [start, end) of codes, one code after the other: no sum, whose parts could be made to cancel."""
+    size = ends - starts
+    out = mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    for k in range(int(size.max(initial=0))):
+        own = size > k
+        out[own] = mix(out[own] * np.uint64(0xD6E8FEB86659FD93) + codes[starts[own] + k])
+    return out
+
+
 def byte_codes(data: np.ndarray) -> np.ndarray:
     return _BYTE_CODE[data]

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxlake.llm.common import mix, span_hash, staged, steps, words
+from voxlake.llm.common import chained, mix, named_words, staged, steps
 from voxlake.llm.components import components
 
 #: 44 bands of 8 components from 176 permutations: two sets of Jaccard similarity s share a band with probability
@@ -29,12 +29,12 @@ _BAND_SALT = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n_rows: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of each text, text by text: (hashes, offsets). Fewer words than `width` are one shingle, no words none."""
-    *_, row, h = words(data, offsets)
+    row, h = named_words(data, offsets)
     count = np.bincount(row, minlength=n_rows)
     begin = np.concatenate(([0], np.cumsum(count)))
     n = len(h)
     start = np.flatnonzero((np.arange(n) + width <= begin[row + 1]) | (np.arange(n) == begin[row]))
-    key, row = span_hash(h, start, np.minimum(start + width, begin[row[start] + 1])), row[start]
+    key, row = chained(h, start, np.minimum(start + width, begin[row[start] + 1])), row[start]
     order = np.lexsort((key, row))
     key, row = key[order], row[order]
     new = np.ones(len(key), bool)
@@ -94,15 +94,15 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(id, set) of texts: the first digest of the set, and its shingles."""
+    """(id, set) of texts: the shingles of each."""
 
     def make(batches):
         for batch in batches:
             for rows, data, offsets in steps(batch):
                 key, at = shingles(data, offsets, rows.num_rows, width)
-                yield pa.RecordBatch.from_arrays([pa.array(set_digests(key, at)[:, 0].view(np.int64)), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(key.view(np.int64)))], names=["id", "set"])
+                yield pa.RecordBatch.from_arrays([rows.column("id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(key.view(np.int64)))], names=["id", "set"])
 
-    return docs.mapInArrow(make, "id long, set array<long>")
+    return docs.select("id", "text").mapInArrow(make, "id long, set array<long>")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """Groups documents whose sets of `width`-word shingles have a Jaccard similarity of `percent` / 100 or more.
 
     Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Returns a row for each row of `docs` (doc_id and text are read, other columns aren't):
-    doc_id, tag (a hash of the text), label (of the group; null for an empty set), n_shingles, component_id (the smallest doc_id reachable by links), kept (doc_id = component_id).
+    doc_id, tag (a hash of the text), label (a number of the group; null for an empty set), n_shingles, component_id (the smallest doc_id reachable by links), kept (doc_id = component_id).
 
     Links: documents with equal sets are one class. Of each bucket of a band, the member with the smallest component
     is compared with the others; components of the links found shrink the buckets, and this is done up to three times while it
@@ -199,13 +199,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"), "text")
     signed = staged(_signatures(docs, width))
     full = signed.where("n_shingles > 0")
-    # a class is known by the first digest of its set
-    classes = staged(full.groupBy(F.col("set_a").alias("id")).agg(F.min_by(F.struct("bands", "doc_id", "tag"), F.struct("doc_id", "tag")).alias("one")).select("id", "one.*"))
+    # a class is known by both digests and the size of its set, and has a number of its own
+    digests = ["set_a", "set_b", "n_shingles"]
+    one = full.groupBy(*digests).agg(F.min_by(F.struct("bands", "doc_id", "tag"), F.struct("doc_id", "tag")).alias("one"), F.min("doc_id").alias("least"))
+    classes = staged(one.select(F.monotonically_increasing_id().alias("id"), *digests, "least", "one.*"))
     dealt = _bands(classes)
     shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = staged(dealt.join(shared, "key"))
     suspects = classes.select("id", "doc_id", "tag").join(buckets.select("id").distinct(), "id", "left_semi")
-    texts = docs.join(suspects.select("doc_id", "tag").distinct(), ["doc_id", "tag"], "left_semi").select("text")
+    texts = docs.join(suspects.select("id", "doc_id", "tag"), ["doc_id", "tag"])
     sets = staged(_sets(texts, width).groupBy("id").agg(F.first("set").alias("set")))
 
     links = tested = None
@@ -229,11 +231,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         if not found.isEmpty():
             group = staged(components(links.unionByName(found)))
     # the smallest doc_id of a class, then of a component
-    least = full.groupBy(F.col("set_a").alias("id")).agg(F.min("doc_id").alias("least")).join(group, F.col("id") == F.col("node"), "left").withColumn("c", F.coalesce("component", "id"))
-    least = staged(least.select("id", "c", "least"))
+    least = classes.select("id", *digests, "least").join(group, F.col("id") == F.col("node"), "left").withColumn("c", F.coalesce("component", "id"))
+    least = staged(least.select(*digests, "c", "least"))
     lowest = staged(least.groupBy("c").agg(F.min("least").alias("component")))
-    whole = least.join(lowest, "c").select(F.col("id").alias("set_a"), F.col("c").alias("label"), "component")
-    out = signed.join(whole, "set_a", "left")
+    whole = least.join(lowest, "c").select(*digests, F.col("c").alias("label"), "component")
+    out = signed.join(whole, digests, "left")
     id_, component = F.col("doc_id"), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component")), F.col("doc_id"))
     return out.select(F.nullif(id_, F.lit(null_id)).alias("doc_id"), "tag", F.when(F.col("n_shingles") > 0, F.col("label")).alias("label"), "n_shingles", F.nullif(component, F.lit(null_id)).alias("component_id"), (id_ == component).alias("kept"))
 
