@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from voxlake.operators import volumes
+
 
 def sulcus_voxels(voxels: DataFrame) -> DataFrame:
     """Voxels of each subject and sulcus; voxels without a name are left out."""
@@ -59,13 +61,9 @@ def region_mask(masks: DataFrame, region_sulci: DataFrame, threshold: int) -> Da
 
 
 def dilate(mask: DataFrame, radius: int) -> DataFrame:
-    """The mask grown by `radius` voxels (largest coordinate difference), one axis after the other."""
+    """The mask grown by `radius` voxels (largest coordinate difference), one axis after the other, as columns of bits."""
     keys = [c for c in mask.columns if c not in ("x", "y", "z", "n")]
-    out = mask.select(*keys, "x", "y", "z")
-    for c in "xyz":
-        rest = [k for k in out.columns if k != c]
-        out = out.select(*rest, F.explode(F.sequence(F.col(c) - radius, F.col(c) + radius)).alias(c)).distinct()
-    return out.select(*keys, "x", "y", "z")
+    return volumes.voxels_of(volumes.grown(volumes.columns_of(mask, keys), radius))
 
 
 def bounding_box(mask: DataFrame) -> DataFrame:
@@ -102,17 +100,13 @@ def crop(voxels: DataFrame, box: DataFrame) -> DataFrame:
 
 
 def crop_tensor(cropped: DataFrame) -> DataFrame:
-    """A dense array, row-major, for each subject of a region and side, and its place among them."""
+    """A dense array, row-major, for each subject of a region and side, and its place among them. Voxels are laid out batch by batch, after subjects are numbered."""
     spot = (F.col("x") * F.col("size_y") + F.col("y")) * F.col("size_z") + F.col("z")
-    cells = cropped.select("region", "side", "subject_id", "size_x", "size_y", "size_z", spot.alias("spot"), "value").dropDuplicates(["region", "side", "subject_id", "spot"])
-    rows = cells.groupBy("region", "side", "subject_id", "size_x", "size_y", "size_z").agg(F.sort_array(F.collect_list(F.struct("spot", "value"))).alias("at"))
-    total, at = F.col("size_x") * F.col("size_y") * F.col("size_z"), F.col("at")
-    # from filled spot to filled spot, with the zeros between them
-    zeros = lambda n: F.array_repeat(F.lit(0).cast(cropped.schema["value"].dataType), n)
-    runs = F.transform(at, lambda c, i: F.concat(zeros(c["spot"] - F.coalesce(F.get(at, i - 1)["spot"], F.lit(-1)) - 1), F.array(c["value"])))
-    values = F.concat(F.flatten(runs), zeros(total - F.element_at(at, -1)["spot"] - 1))
+    keys, sizes = ["region", "side", "subject_id"], ["size_x", "size_y", "size_z"]
+    rows = cropped.groupBy(*keys, *sizes).agg(F.collect_list(F.struct(spot.cast("int").alias("spot"), "value")).alias("at"))
     place = F.row_number().over(Window.partitionBy("region", "side").orderBy("subject_id")) - 1
-    return rows.select("region", "side", place.alias("row_idx"), "subject_id", F.array("size_x", "size_y", "size_z").alias("shape"), values.alias("values"))
+    numbered = rows.select("region", "side", place.alias("row_idx"), "subject_id", F.array(*sizes).alias("shape"), "at", (F.col("size_x") * F.col("size_y") * F.col("size_z")).alias("cells"))
+    return volumes.dense(numbered, "at", "cells", "value").drop("cells")
 
 
 #: Cells of a subject's box that a task holds at most; sparser subjects are compared voxel by voxel, in slices.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.functions import names
-from voxlake.operators import campaign, catalog, embeddings, masks, probe, projection, qc, voxels
+from voxlake.operators import campaign, catalog, embeddings, masks, probe, projection, qc, volumes, voxels
 from voxlake.operators.catalog import constants
 from voxlake.plans.views import dims, halves, oracle, table, view
 
@@ -256,6 +256,28 @@ def mask_dilate(s, d):
     return voxels.dilate(_region_mask(s, d), 2)
 
 
+@query("SELECT region, side, x, y, 0 AS w, bit_or(1::BIGINT << z) AS bits FROM region_mask GROUP BY ALL")
+def volume_columns(s, d):
+    """Region masks as columns of bits."""
+    return volumes.columns_of(_region_mask(s, d), ["region", "side"])
+
+
+@query("SELECT side, sulcus, x, y, z FROM campaign_voxels GROUP BY ALL")
+def volume_union(s, d):
+    """Voxels of each sulcus in one campaign or the other, from the columns of both."""
+    v = view(s, d, "campaign_voxels")
+    return volumes.voxels_of(volumes.union(*(volumes.columns_of(v.where(F.col("campaign") == c), ["side", "sulcus"]) for c in "AB")))
+
+
+@query(
+    """SELECT region, side, min(x) - 3 AS min_x, max(x) + 3 AS max_x, min(y) - 3 AS min_y, max(y) + 3 AS max_y, min(z) - 3 AS min_z, max(z) + 3 AS max_z,
+  max(x) - min(x) + 7 AS size_x, max(y) - min(y) + 7 AS size_y, max(z) - min(z) + 7 AS size_z FROM region_mask GROUP BY ALL"""
+)
+def volume_grown_box(s, d):
+    """Boxes of the region masks grown by three voxels."""
+    return volumes.box_of(volumes.grown(volumes.columns_of(_region_mask(s, d), ["region", "side"]), 3), ["region", "side"])
+
+
 @query("SELECT * FROM box")
 def mask_bbox(s, d):
     return voxels.bounding_box(_region_mask(s, d))
