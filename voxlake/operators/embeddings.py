@@ -142,19 +142,20 @@ def by_key(batch: pa.RecordBatch, keys: list[str]):
 
 
 def added_up(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Sums of the tasks (keys, _SUMS), added up to at most SALTS rows a key and pair of lengths; partial sums stream through, so a task holds one at a time."""
+    """Sums of the tasks (keys, _SUMS), added up to about SALTS rows a key and pair of lengths at most; partial sums stream through tasks that hold HELD_BYTES."""
 
-    def add(key: tuple[Any, ...], frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(frames):
         total = Sums(keys)
         for frame in frames:
             for row in frame.itertuples(index=False):
-                own = row[: len(keys)]
-                at = tuple(None if pd.isna(k) else k for k in own)
-                total._put((*at, row.p, row.q), [row.n, *(np.frombuffer(m) for m in row[len(keys) + 3 : len(keys) + 8])])
+                at = tuple(None if pd.isna(k) else k for k in row[: len(keys)])
+                total._put((*at, row.p, row.q), [row.n, *map(np.frombuffer, row[len(keys) + 3 : len(keys) + 8])])
+            if total.full():
+                yield total.frame()
         yield total.frame()
 
-    schema = sums_schema(parts, keys)
-    return parts.withColumn("salt", F.spark_partition_id() % SALTS).groupBy(*keys, "p", "q", "salt").applyInPandas(add, schema)
+    dealt = parts.withColumn("salt", F.spark_partition_id() % SALTS).repartition(*keys, "salt").drop("salt")
+    return dealt.mapInPandas(add, sums_schema(parts, keys))
 
 
 def grams(pairs: DataFrame, keys: list[str]) -> DataFrame:
