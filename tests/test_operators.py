@@ -193,14 +193,6 @@ def test_count_mask_of_named_sulci(spark):
     assert {r.sulcus for r in voxels.sulcus_voxels(named).collect()} == {"S", "T"}
 
 
-@pytest.mark.parametrize("most", [voxels.MOST_CELLS, 40])
-def test_bottom_distance_equals_all_pairs(most, monkeypatch):
-    monkeypatch.setattr(voxels, "MOST_CELLS", most)
-    rng = np.random.default_rng(5)
-    cells, bottom = rng.integers(-9, 9, (200, 3)), rng.integers(-12, 12, (7, 3))
-    assert voxels._square_distance(cells, bottom).tolist() == ((cells[:, None] - bottom[None]) ** 2).sum(2).min(1).tolist()
-
-
 def test_no_paths_to_check_is_an_error(spark):
     paths = spark.createDataFrame([("/a",), ("/b",)], "path string")
     assert {r.path: r.found for r in catalog.paths_found(paths, paths.where("path = '/a'")).collect()} == {"/a": True, "/b": False}

@@ -4,11 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from voxlake.operators import volumes
 
@@ -107,42 +104,3 @@ def crop_tensor(cropped: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("region", "side").orderBy("subject_id")) - 1
     numbered = rows.select("region", "side", place.alias("row_idx"), "subject_id", F.array(*sizes).alias("shape"), "at", (F.col("size_x") * F.col("size_y") * F.col("size_z")).alias("cells"))
     return volumes.dense(numbered, "at", "cells", "value").drop("cells")
-
-
-#: Cells of a subject's box that a task holds at most; sparser subjects are compared voxel by voxel, in slices.
-MOST_CELLS = 1 << 25
-
-
-def _square_distance(cells: np.ndarray, bottom: np.ndarray) -> np.ndarray:
-    """Of each cell the squared distance to the nearest of `bottom`: one axis after the other over the box of both, as squares of the axes add up."""
-    low, high = np.minimum(cells.min(0), bottom.min(0)), np.maximum(cells.max(0), bottom.max(0))
-    shape = high - low + 1
-    if shape.prod() > MOST_CELLS:
-        step = max(1, MOST_CELLS // (8 * len(bottom)))
-        return np.concatenate([((cells[k : k + step, None] - bottom[None]) ** 2).sum(2).min(1) for k in range(0, len(cells), step)])
-    far = np.int64(4) * (shape**2).sum()
-    box = np.full(shape, far, np.int64)
-    box[tuple((bottom - low).T)] = 0
-    for axis in range(3):
-        lines = np.moveaxis(box, axis, 0)
-        out = lines.copy()
-        for by in range(1, len(lines)):
-            np.minimum(out[by:], lines[:-by] + by * by, out=out[by:])
-            np.minimum(out[:-by], lines[by:] + by * by, out=out[:-by])
-        box = np.moveaxis(out, 0, axis)
-    return box[tuple((cells - low).T)]
-
-
-def bottom_distance(voxels: DataFrame, keys: tuple[str, ...] = ("subject_id", "side")) -> DataFrame:
-    """Of each voxel the distance to the nearest bottom voxel of its crop: rows of the same `keys`. Crops without a bottom voxel have no rows."""
-    cells = voxels.groupBy(*keys, "x", "y", "z").agg(F.max(F.col("bucket") == "aims_bottom").alias("bottom"))
-
-    def one(rows: pa.Table) -> pa.Table:
-        at = np.stack([rows[c].to_numpy().astype(np.int64) for c in "xyz"], 1)
-        low = rows["bottom"].to_numpy(zero_copy_only=False).astype(bool)
-        if not low.any():
-            at, rows = at[:0], rows.slice(0, 0)
-        far = np.round(np.sqrt(_square_distance(at, at[low]).astype(float)), 6) if len(at) else np.zeros(0)
-        return rows.drop_columns(["bottom"]).append_column("distance", pa.array(far, pa.float64()))
-
-    return cells.groupBy(*keys).applyInArrow(one, StructType([*(f for f in cells.schema if f.name != "bottom"), StructField("distance", DoubleType())]))

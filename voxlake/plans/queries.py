@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlake.functions import names
-from voxlake.operators import campaign, catalog, embeddings, masks, probe, projection, qc, volumes, voxels
+from voxlake.operators import campaign, catalog, distances, embeddings, masks, probe, projection, qc, volumes, voxels
 from voxlake.operators.catalog import constants
 from voxlake.plans.views import dims, halves, oracle, table, view
 
@@ -324,7 +324,18 @@ def input_volumes(s, d):
 SELECT subject_id, side, x, y, z, round(sqrt(min((x - bx) * (x - bx) + (y - by_) * (y - by_) + (z - bz) * (z - bz))), 6) AS distance FROM v JOIN b USING (subject_id, side) GROUP BY ALL"""
 )
 def dist_bottom(s, d):
-    return voxels.bottom_distance(view(s, d, "campaign_voxels"))
+    return distances.bottom_distance(view(s, d, "campaign_voxels"))
+
+
+@query(
+    """WITH r AS (SELECT DISTINCT region, side, subject_id, x, y, z, bucket FROM campaign_voxels JOIN region_sulci USING (side, sulcus)), v AS (SELECT DISTINCT region, side, subject_id, x, y, z FROM r),
+b AS (SELECT DISTINCT region, side, subject_id, x AS bx, y AS by_, z AS bz FROM r WHERE bucket = 'aims_bottom')
+SELECT region, side, subject_id, x, y, z, round(sqrt(min((x - bx) * (x - bx) + (y - by_) * (y - by_) + (z - bz) * (z - bz))), 6) AS distance FROM v JOIN b USING (region, side, subject_id) GROUP BY ALL"""
+)
+def crop_dist_bottom(s, d):
+    """Within the crop of each region, side and subject."""
+    own = view(s, d, "campaign_voxels").join(view(s, d, "region_sulci"), ["side", "sulcus"])
+    return distances.bottom_distance(own, ("region", "side", "subject_id"))
 
 
 @query("SELECT * FROM region_sulci")
