@@ -499,8 +499,35 @@ def test_html_of_the_given_pages(spark):
         assert r.text == " ".join("".join(plain.parts).split())
 
 
+@pytest.mark.parametrize("wrapper", ["div class='social-science'", "div class='promotion-of-health'", "div class='related-works'", "article><p class='share-price'", "div id='commentary'", "section class='footerless'", "div class='adaptive'"])
+def test_html_names_that_only_sound_like_side_elements(wrapper):
+    page = f"<body><nav><a href=/>Home</a></nav><{wrapper}>{WHOLE}</div></article><footer>&copy; us</footer>"
+    assert html_text.main_text(page, html_text.default_tree()) == WHOLE.strip()
+
+
+@pytest.mark.parametrize(
+    "wrapper", ["ol class='commentlist'", "div id='userComments'", "div class='user-feedback'", "div class='siteFooter'", "div class='cookieBanner'", "section class='more-stories'", "div id='comment-17'", "div class='article__comments js-x'", "div class=SideBar", "ul class='related-posts-list'"]
+)
+def test_html_names_of_side_elements_in_any_spelling(wrapper):
+    page = f"<body><article><p>{WHOLE}</article><{wrapper}><p>{WHOLE}</{wrapper.split()[0]}></body>"
+    assert html_text.main_text(page, html_text.default_tree()) == WHOLE.strip()
+
+
+def test_html_short_sentences_and_a_word_in_a_line():
+    tree = html_text.default_tree()
+    assert html_text.main_text("<div><p>He said yes.</p><p>She said no.</p></div>", tree) == "He said yes. She said no."
+    assert html_text.main_text("<body><ul><li><a href=1>One</a></ul><p>All rights reserved.</p><a href=2>Two</a></body>", tree) == ""
+    assert html_text.main_text(f"<article><p>{WHOLE}the <span class='social'>social</span> one</article>", tree) == f"{WHOLE}the social one".strip()
+
+
+def test_html_rows_without_an_id_and_repeated_ones(spark):
+    rows = [(None, None, f"<article><p>{WHOLE}</article>")] * 2 + [(7, None, None)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert sorted((r.page_id or 0, r.text) for r in got.collect()) == [(0, WHOLE.strip())] * 2 + [(7, "")]
+
+
 def test_html_tree_learns_its_table():
-    table = np.array(html_text.LABELLED)
+    table = html_text.labelled()
     tree = html_text.default_tree()
     assert all(html_text.classify(tree, r[:-1]) == r[-1] for r in table)
 
