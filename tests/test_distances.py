@@ -53,3 +53,40 @@ def test_only_tiles_that_may_be_nearest_are_met(spark):
     cells = cells.withColumn("tile", F.struct(*(F.floor(F.col(c) / 32).alias(c) for c in "xyz")))
     met = distances.needed_tiles(cells, ["crop"], 32).groupBy("tile").count().collect()
     assert len(met) == 125 and max(r["count"] for r in met) <= 3
+
+
+def _wide():
+    """Subjects of regions that share sulci, more regions than a word has bits; some crops longer than a batch, some without a bottom."""
+    rng = np.random.default_rng(8)
+    sulci = [(f"R{r:02}", "L", f"S{s}") for r in range(70) for s in range(4) if (r + s) % 3]
+    voxels = [(f"s{i % 5}", "L", f"S{rng.integers(0, 4)}", *map(int, rng.integers(0, 30, 3)), "aims_bottom" if i % 5 and rng.random() < 0.1 else "aims_ss") for i in range(400)]
+    return voxels + voxels[:40], sulci
+
+
+def test_regions_of_voxels_come_as_rows_after_one_shuffle(spark):
+    from voxlake.operators import voxels as own
+
+    rows, sulci = _wide()
+    given, regions = spark.createDataFrame(rows, "subject_id string, side string, sulcus string, x int, y int, z int, bucket string"), spark.createDataFrame(sulci, "region string, side string, sulcus string")
+    expected = {}
+    for s, d, u, *at, b in rows:
+        for r in (r for r, _, v in sulci if v == u):
+            key = (r, d, s, *at)
+            expected[key] = expected.get(key, False) or b == "aims_bottom"
+    out = own.region_voxels(given, regions)
+    assert sorted(map(tuple, out.collect())) == sorted((*k, b) for k, b in expected.items())
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_crops_within_a_tile_need_no_tiles(spark, monkeypatch):
+    rows, sulci = _wide()
+    given, regions = spark.createDataFrame(rows, "subject_id string, side string, sulcus string, x int, y int, z int, bucket string"), spark.createDataFrame(sulci, "region string, side string, sulcus string")
+    joined = given.join(regions, ["side", "sulcus"])
+    expected = sorted(map(tuple, distances.bottom_distance(joined, ("subject_id", "side", "region"), 8).collect()))
+    monkeypatch.setattr(distances, "needed_tiles", None)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        assert sorted(map(tuple, distances.region_distance(given, regions).collect())) == expected
+        assert sorted(map(tuple, distances.bottom_distance(joined, ("subject_id", "side", "region")).collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 
 from voxlake.operators import volumes
 
+#: Voxels of a task, where those of a subject are brought together.
+TASK_ROWS = 500_000
+
+
+def dealt(voxels: DataFrame, *keys: str) -> DataFrame:
+    """The voxels in as many partitions by `keys` as their number asks for, so that a task's share doesn't grow with the table; grouping by these keys and others needs no further shuffle."""
+    return voxels.repartition(max(voxels.sparkSession.sparkContext.defaultParallelism, -(-voxels.count() // TASK_ROWS)), *keys)
+
 
 def sulcus_voxels(voxels: DataFrame) -> DataFrame:
     """Voxels of each subject and sulcus; voxels without a name are left out."""
@@ -51,6 +59,22 @@ def contributors(voxels: DataFrame) -> DataFrame:
     return voxels.groupBy("side", "sulcus").agg(F.count_distinct("subject_id").alias("n_subjects"), F.count("*").alias("n_voxels"))
 
 
+def region_voxels(voxels: DataFrame, region_sulci: DataFrame) -> DataFrame:
+    """(region, side, subject_id, x, y, z, bottom): the voxels of the sulci of each region, once, and whether one of them is of the fold's bottom (column bucket).
+
+    The regions of a voxel are bits while voxels meet, 64 to a word, and become rows after that; so each voxel is shuffled once, by subject and side, however many regions have it.
+    """
+    n = F.dense_rank().over(Window.partitionBy("side").orderBy("region")) - 1
+    words = region_sulci.select("side", "sulcus", "region", F.floor(n / volumes.BITS).cast("int").alias("word"), (n % volumes.BITS).alias("bit"))
+    codes = words.groupBy("side", "sulcus", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    numbered = words.select("side", "region", "word", "bit").distinct()
+    low = F.when(F.col("bucket") == "aims_bottom", F.col("bits")).otherwise(F.lit(0).cast("long")) if "bucket" in voxels.columns else F.lit(0).cast("long")
+    own = dealt(voxels, "subject_id", "side").join(F.broadcast(codes), ["side", "sulcus"])  # names are few
+    own = own.groupBy("subject_id", "side", "x", "y", "z", "word").agg(F.bit_or("bits").alias("bits"), F.bit_or(low).alias("low"))
+    each = own.join(F.broadcast(numbered), ["side", "word"]).where(F.getbit("bits", F.col("bit")) == 1)
+    return each.select("region", "side", "subject_id", "x", "y", "z", (F.getbit("low", F.col("bit")) == 1).alias("bottom"))
+
+
 def region_mask(masks: DataFrame, region_sulci: DataFrame, threshold: int) -> DataFrame:
     """The voxels of each region whose sulcus masks sum up to more than `threshold`."""
     own = masks.join(region_sulci, ["side", "sulcus"])
