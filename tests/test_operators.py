@@ -208,3 +208,14 @@ def test_best_epoch_of_equals_is_the_earlier(spark):
 def test_voxels_without_a_name_do_not_count(spark):
     rows = spark.createDataFrame([("A", "L", "1", None), ("A", "L", "1", "S1")], "campaign string, side string, subject_id string, sulcus string")
     assert [(r.sulcus, r.n) for r in voxels.sulcus_voxels(rows).collect()] == [("S1", 1)]
+
+
+def test_contains_offers_only_what_ids_begin_with(spark):
+    """Names that share long words aren't joined by the substrings of these."""
+    names_ = ["sub-12_cropped_skeleton", "xsub-120", "sub-7_sub-31", "su-12", "sub-", "31", "ub-12sub-12", "", "cropped"]
+    files = spark.createDataFrame([(f"/d/{n}.nii",) for n in names_], "path string")
+    found = lambda *ids: {r[0][3:-4] for r in qc.files_of(files, spark.createDataFrame([(i,) for i in ids], "subject_id string"), "contains").collect()}
+    for ids in (["sub-12", "sub-3", None, ""], ["sub-12"], ["sub-12", "31", "cropped_skeleton"], ["é1", "éa"], [None]):
+        assert found(*ids) == {n for n in names_ if any(i and i in n for i in ids)}
+    own = spark.createDataFrame([("sub-12",), ("sub-3",)], "subject_id string")
+    assert max(r["count"] for r in qc.offered(files, own, "contains").groupBy("path").count().collect()) <= 4
