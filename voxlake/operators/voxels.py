@@ -33,7 +33,7 @@ def to_template(voxels: DataFrame, space: DataFrame, size: float) -> DataFrame:
     a, v = F.col("affine"), F.col("voxel_size")
     i, j, k = (F.col(c) * v[n] for n, c in enumerate("ijk"))
     axis = lambda r: F.rint((a[4 * r] * i + a[4 * r + 1] * j + a[4 * r + 2] * k + a[4 * r + 3]) / F.lit(size)).cast("int")
-    moved = voxels.join(space, ["subject_id", "side"]).select("subject_id", "side", "sulcus", *(axis(r).alias(c) for r, c in enumerate("xyz")))
+    moved = dealt(voxels, "subject_id", "side").join(space.hint("shuffle_hash"), ["subject_id", "side"]).select("subject_id", "side", "sulcus", *(axis(r).alias(c) for r, c in enumerate("xyz")))
     return moved.dropDuplicates()
 
 
