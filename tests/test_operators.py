@@ -219,3 +219,5 @@ def test_contains_offers_only_what_ids_begin_with(spark):
         assert found(*ids) == {n for n in names_ if any(i and i in n for i in ids)}
     own = spark.createDataFrame([("sub-12",), ("sub-3",)], "subject_id string")
     assert max(r["count"] for r in qc.offered(files, own, "contains").groupBy("path").count().collect()) <= 4
+    names_of = qc.files_of(files.limit(5), own.limit(1), "contains")
+    assert "BroadcastHashJoin" not in names_of._jdf.queryExecution().executedPlan().toString()
