@@ -95,8 +95,10 @@ def bounding_box(mask: DataFrame) -> DataFrame:
 
 
 def mask_apply(voxels: DataFrame, mask: DataFrame) -> DataFrame:
-    """The voxels that lie in the mask of their region and side."""
-    return voxels.join(mask.select("region", "side", "x", "y", "z"), ["region", "side", "x", "y", "z"], "left_semi")
+    """The voxels that lie in the mask of their region and side. Masks, which don't grow with the subjects, go to every task as columns of bits."""
+    columns = volumes.columns_of(mask, ["region", "side"]).withColumnsRenamed({"w": "mask_w", "bits": "mask_bits"})
+    own = voxels.withColumn("mask_w", F.floor(F.col("z") / volumes.BITS).cast("int")).join(F.broadcast(columns), ["region", "side", "x", "y", "mask_w"])
+    return own.where(F.getbit("mask_bits", F.pmod("z", F.lit(volumes.BITS))) == 1).select(*voxels.columns)
 
 
 def input_volumes(voxels: DataFrame) -> DataFrame:
