@@ -118,16 +118,19 @@ def input_volumes(voxels: DataFrame) -> DataFrame:
 
 def crop(voxels: DataFrame, box: DataFrame) -> DataFrame:
     """Voxels in the box of their region and side, from the box's corner on."""
-    own = voxels.join(box, ["region", "side"])
+    own = voxels.join(F.broadcast(box), ["region", "side"])  # a row for each region and side
     own = own.where(reduce(Column.__and__, (F.col(c).between(F.col(f"min_{c}"), F.col(f"max_{c}")) for c in "xyz")))
     return own.select(*(c for c in voxels.columns if c not in "xyz"), *((F.col(c) - F.col(f"min_{c}")).alias(c) for c in "xyz"), "size_x", "size_y", "size_z")
 
 
 def crop_tensor(cropped: DataFrame) -> DataFrame:
-    """A dense array, row-major, for each subject of a region and side, and its place among them. Voxels are laid out batch by batch, after subjects are numbered."""
+    """A dense array, row-major, for each subject of a region and side, and its place among them. Subjects are numbered by their ids alone; voxels meet by subject and side and are laid out batch by batch."""
     spot = (F.col("x") * F.col("size_y") + F.col("y")) * F.col("size_z") + F.col("z")
     keys, sizes = ["region", "side", "subject_id"], ["size_x", "size_y", "size_z"]
     rows = cropped.groupBy(*keys, *sizes).agg(F.collect_list(F.struct(spot.cast("int").alias("spot"), "value")).alias("at"))
     place = F.row_number().over(Window.partitionBy("region", "side").orderBy("subject_id")) - 1
-    numbered = rows.select("region", "side", place.alias("row_idx"), "subject_id", F.array(*sizes).alias("shape"), "at", (F.col("size_x") * F.col("size_y") * F.col("size_z")).alias("cells"))
+    places = cropped.select(*keys).distinct().withColumn("row_idx", place).groupBy("subject_id", "side").agg(F.map_from_entries(F.collect_list(F.struct("region", "row_idx"))).alias("places"))
+    places = places.withColumnsRenamed({"subject_id": "of_subject", "side": "of_side"}).hint("shuffle_hash")
+    own = rows.join(places, F.col("subject_id").eqNullSafe(F.col("of_subject")) & (F.col("side") == F.col("of_side")))
+    numbered = own.select("region", "side", F.element_at("places", F.col("region")).alias("row_idx"), "subject_id", F.array(*sizes).alias("shape"), "at", (F.col("size_x") * F.col("size_y") * F.col("size_z")).alias("cells"))
     return volumes.dense(numbered, "at", "cells", "value").drop("cells")
