@@ -7,10 +7,11 @@ import uuid
 from urllib.parse import unquote
 
 from pyarrow import fs
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlake.operators.voxels import count_mask
+from voxlake.operators.voxels import dealt, inside
 from voxlake.sources.tensors import open_folder
 
 CLASS = ["side", "sulcus"]
@@ -46,12 +47,23 @@ def add_subjects(spark: SparkSession, path: str, voxels: DataFrame, dims: tuple[
     """
     current = _current(path)
     seen = _stored(spark, path, "subjects", current).select(*CLASS, "subject_id")
-    fresh = voxels.join(seen, [*CLASS, "subject_id"], "left_anti")
+    # shuffled once and kept on the executors' disks, as classes, masks and subjects all come from it
+    once = dealt(voxels.select("subject_id", *CLASS, "x", "y", "z"), "subject_id", *CLASS).dropDuplicates()
+    fresh = once.join(seen.hint("shuffle_hash"), [*CLASS, "subject_id"], "left_anti").persist(StorageLevel.DISK_ONLY)
+    try:
+        return _add(spark, path, fresh, dims, current)
+    finally:
+        fresh.unpersist()
+
+
+def _add(spark: SparkSession, path: str, fresh: DataFrame, dims: tuple[int, int, int], current: list[dict]) -> int:
+    """Adds voxels that are there once and not counted yet."""
     touched = {(r.side, r.sulcus) for r in fresh.select(*CLASS).distinct().collect()}  # as many as there are classes
     if not touched:
         return 0
     old = [c for c in current if (c["side"], c["sulcus"]) in touched]
-    masks = _stored(spark, path, "voxels", old).select(*CLASS, "x", "y", "z", "n").unionByName(count_mask(fresh, dims).select(*CLASS, "x", "y", "z", "n"))
+    new = fresh.where(inside(dims)).groupBy(*CLASS, "x", "y", "z").agg(F.count("*").cast("int").alias("n"))
+    masks = _stored(spark, path, "voxels", old).select(*CLASS, "x", "y", "z", "n").unionByName(new)
     masks = masks.groupBy(*CLASS, "x", "y", "z").agg(F.sum("n").cast("int").alias("n")).withColumn("kind", F.lit("voxels"))
     subjects = _stored(spark, path, "subjects", old).select(*CLASS, "subject_id").unionByName(fresh.select(*CLASS, "subject_id").distinct()).withColumn("kind", F.lit("subjects"))
     version = uuid.uuid4().hex
